@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import chat, packing, quality_rules, token_counts, url_filters, warc
+from tessera.llm import chat, packing, pii, quality_rules, token_counts, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -21,6 +22,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+#: The key of the pseudonyms; a deployment passes its own secret.
+PII_KEY = "rotate-me"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pii.pseudonymise(docs.withColumn("original", F.col("text")), PII_KEY).select("doc_id", "text", (F.col("text") != F.col("original")).alias("changed"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "<|im_end|><|im_start|>assistant ok"
     own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
@@ -51,5 +61,5 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(_read(spark, sf_dir, "documents"), lambda df: materialize(df, "quality"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op3_chat, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules)}
 ORACLE: dict[str, str] = {}

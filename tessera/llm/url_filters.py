@@ -136,8 +136,10 @@ class Cascade:
                 inside[own] = refused_at(levels, a[own], b[own]) % 2 == 1
             return pd.Series(np.split(inside, np.cumsum(sizes)[:-1]))
 
-        hashed = [F.transform(keys, lambda k, s=s: F.shiftrightunsigned(F.xxhash64(F.lit(s), k), 2)) for s in SEEDS]
-        return run(*hashed, F.transform(keys, lambda k: F.pmod(F.xxhash64(F.lit(7), k), F.lit(shards))))
+        def hashed_with(seed: int) -> Column:
+            return F.transform(keys, lambda k: F.shiftrightunsigned(F.xxhash64(F.lit(seed), k), 2))
+
+        return run(*map(hashed_with, SEEDS), F.transform(keys, lambda k: F.pmod(F.xxhash64(F.lit(7), k), F.lit(shards))))
 
 
 def judge(pages: DataFrame, allow: list[str], block: list[str], blocked_hosts: DataFrame | None = None, url: str = "url", key: str = "page_id") -> DataFrame:
