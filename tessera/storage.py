@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
@@ -36,3 +37,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     """A table of ``schema`` without rows."""
     return spark.createDataFrame([], schema)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
+    """``df`` with a broadcast hint where it has at most ``rows`` rows (narrow ones); beyond that Spark's own choice."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
