@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, packing, pii, quality_rules, token_counts, url_filters, warc
+from tessera.llm import chat, embedding_dedup, jaccard, packing, pii, quality_rules, token_counts, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -38,6 +38,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.9)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache is new for each run, so that a run shows the cost of all its distinct texts."""
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), scratch_path(spark, "token-counts"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -61,5 +65,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(_read(spark, sf_dir, "documents"), lambda df: materialize(df, "quality"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules)}
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.shingle_components(_read(spark, sf_dir, "documents"), 3, 90)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard)}
 ORACLE: dict[str, str] = {}
