@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, embedding_dedup, jaccard, packing, pii, quality_rules, token_counts, url_filters, warc
+from tessera.llm import bpe, chat, embedding_dedup, jaccard, packing, pii, quality_rules, token_counts, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -69,5 +69,10 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.shingle_components(_read(spark, sf_dir, "documents"), 3, 90)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe)}
 ORACLE: dict[str, str] = {}
