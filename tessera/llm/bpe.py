@@ -4,8 +4,8 @@ The words of all texts are counted once; each distinct word is encoded by Spark'
 pairs of hexadecimal digits) form an array, ``aggregate`` merges the neighbours of least rank until none has a rank, and
 ranks come from a literal map. As Spark searches a map from its start, the literal is an array of small maps, found by hash.
 
-Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, and the ids) is broadcast up to
-``most_words`` words, the most frequent ones, and a task looks its words up there. Beyond that bound the other words' ids
+Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, and the ids) is kept in the shared
+folder for up to ``most_words`` words, the most frequent ones; each worker loads it and looks its words up there. Beyond that bound the other words' ids
 are joined to the texts that hold them, by text digest.
 
 Null text is empty and has no ids; rows with null or repeated ids keep their rows; a single word of any length is one row
@@ -21,11 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.storage import materialize
+from tessera.storage import materialize, scratch_path
 
 NONE = 2**31 - 1
 BUCKETS = 1 << 15
@@ -121,6 +123,27 @@ class Code:
         return self.ids[shift + np.arange(len(shift))], n
 
 
+_loaded: dict[str, Code] = {}
+
+
+def load_code(path: str, kind: str) -> Code:
+    """The code of words from the shared folder, once for each worker; it never passes through the driver."""
+    if path not in _loaded:
+        _loaded.clear()
+        store, root = fs.FileSystem.from_uri(path)
+        hashes, sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, kind)]
+        for info in sorted(store.get_file_info(fs.FileSelector(root)), key=lambda x: x.path):
+            if info.base_name.endswith(".parquet"):
+                with store.open_input_file(info.path) as f:
+                    table = pq.read_table(f)
+                column = table["ids"].combine_chunks()
+                hashes.append(table["h"].to_numpy())
+                sizes.append(column.value_lengths().to_numpy(zero_copy_only=False))
+                ids.append(column.flatten().to_numpy(zero_copy_only=False).astype(kind))
+        _loaded[path] = Code(np.concatenate(hashes), np.concatenate(sizes).astype(np.int64), np.concatenate(ids))
+    return _loaded[path]
+
+
 def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), 0)
 
@@ -134,7 +157,7 @@ def word_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str)
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 8_000_000, slice_words: int = 1_000_000) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 1_000_000) -> DataFrame:
     """``RESULT`` for every row: the ids of its whole text and the bytes that they decode to, by digest."""
     spark = docs.sparkSession
     known = word_ids(docs, ranks, pattern, text)
@@ -145,7 +168,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
             break
     else:
         raise RuntimeError("no hash tells all words apart")
-    least = 0  # words that occur at least so often are broadcast
+    least = 0  # words that occur at least so often are loaded by every worker
     if total > most_words:
         spread = sorted(((r.k, r.c) for r in known.groupBy(F.floor(F.log2("n") * 4).alias("k")).agg(F.count("*").alias("c")).collect()), reverse=True)
         fits, least = 0, 2.0**60
@@ -156,14 +179,12 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
             least = 2.0 ** (k / 4)
     often = hashed.where(F.floor(F.log2("n") * 4) >= F.lit(int(round(np.log2(least) * 4)))) if least else hashed
     small = "uint16" if max(ranks.values(), default=0) < 1 << 16 else "uint32"
-    table = often.select("h", "ids").toArrow()
-    ids = table["ids"].combine_chunks()
-    code = Code(table["h"].to_numpy(), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), ids.flatten().to_numpy(zero_copy_only=False).astype(small))
-    del table, ids
+    path = scratch_path(spark, "code")
+    often.select("h", "ids").write.parquet(path)
     tokens = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
-    shared = spark.sparkContext.broadcast((code, tokens))
+    shared = spark.sparkContext.broadcast(tokens)
 
     words = words_of(F.col(text), pattern)
     rows = docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)).alias("h"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("digest"))
@@ -176,7 +197,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
         rows = rows.select("doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, tokens = shared.value
+        code, tokens = load_code(path, small), shared.value
         names = [str(i) for i in range(len(tokens))]
         for batch in batches:
             offsets = batch["h"].offsets.to_numpy()
