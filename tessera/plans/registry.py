@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from tessera.plans import keyed  # noqa: F401
+from tessera.plans.base import ORACLE, QUERIES  # noqa: F401
