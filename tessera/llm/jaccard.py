@@ -55,8 +55,9 @@ class Words:
         known = self.known
         if len(known) > self.most:
             known.clear()
-        for w in {*words} - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in {*words}:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), U, len(words))
 
 
