@@ -7,10 +7,11 @@ bands therefore has a band on which both agree. Documents are grouped by size, s
 group fixes d and the number of bands. A document emits one key a band that has tokens (a linear hash of the band's
 bits); should it have no more than d such bands, it emits its empty bands too, so no pair is missed.
 
-Pairs are not enumerated inside a bucket. Exact copies are joined by digest beforehand. Then in rounds each bucket whose
-documents lie in more than one component names a few pivots, these are compared with the bucket's other components by
-their exact sets, links join components, and pivots leave the bucket. A bucket ends when it lies in one component or has
-no pivot left, so every candidate pair is either compared or already connected.
+Pairs are not enumerated inside a bucket. Exact copies are joined by digest beforehand, and a bucket is a star around its
+least document; the components of the stars, for each size group, are clusters that hold every candidate pair. A cluster
+is compared inside tasks, in pairs of blocks of bounded size if it is large: a matrix of Hamming distances of dense parity
+sketches leaves the pairs that can reach the similarity, and those whose documents are not yet connected are verified by
+their exact sets. A task gives a spanning forest of what it linked.
 
 Null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one token. Rows with
 a null id get a null component and take no part; rows that share an id are one document. Other columns are not touched.
@@ -34,8 +35,8 @@ from tessera.storage import broadcast_if_small, materialize
 
 U = np.uint64
 FEATURES = "doc_id string, n_shingles long, digest binary, keys array<long>"
-#: Pivots of a bucket in each round; the last number holds from then on.
-PIVOTS = (1, 3, 8, 16, 32)
+#: Documents in a block of a cluster, and bits of the dense sketch.
+BLOCK, BITS = 2048, 2048
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -105,7 +106,7 @@ def band_keys(tokens: np.ndarray, group: int, percent: int) -> np.ndarray:
     if len(used) <= differ:
         empty = np.setdiff1d(np.arange(bands), used)
         used, parity = np.concatenate([used, empty]), np.concatenate([parity, np.zeros(len(empty), U)])
-    return mix(parity ^ mix(used.astype(U) + (U(group) << U(40))))
+    return (mix(parity ^ mix(used.astype(U) + (U(group) << U(40)))) & ~U(63)) | U(group & 63)  # the group stays readable
 
 
 def keys_of(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -148,17 +149,68 @@ def _sets(size: int):
     return run
 
 
-def _similar(percent: int):
-    @F.pandas_udf("boolean")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pd.Series(out, dtype=bool)
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """A dense parity sketch."""
+    odd = np.bincount((tokens & U(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(U)
+
+
+def link_forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
+    """Roots of the documents by links between different sides (or inside the one side there is)."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    sketches = np.stack([sketch(x) for x in sets])
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    both = bool((side != side[0]).any())
+    for low in range(0, n, 64):
+        rows = slice(low, min(n, low + 64))
+        total = sizes[rows, None] + sizes[None, :]
+        far = np.zeros(total.shape, np.int64)
+        for w in range(sketches.shape[1]):
+            far += np.bitwise_count(sketches[rows, w][:, None] ^ sketches[None, :, w])
+        may = (far * (100 + percent) <= (100 - percent) * total) & (np.arange(n)[None, :] > np.arange(low, rows.stop)[:, None])
+        may &= 100 * np.minimum(sizes[rows, None], sizes[None, :]) >= percent * np.maximum(sizes[rows, None], sizes[None, :])
+        if both:
+            may &= side[rows, None] != side[None, :]
+        i, j = np.nonzero(may)
+        order = np.argsort(far[i, j], kind="stable")
+        for x, y in zip((i[order] + low).tolist(), j[order].tolist(), strict=True):
+            p, q = find(x), find(y)
+            if p != q:
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= percent * (sizes[x] + sizes[y] - common):
+                    root[max(p, q)] = min(p, q)
+    return np.array([find(x) for x in range(n)])
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def judged(docs, sides, sets):
+            if len(docs) < 2:
+                return []
+            roots = link_forest([np.frombuffer(t, U) for t in sets], np.array(sides), percent)
+            return [(d, docs[r]) for d, r in zip(docs, roots, strict=True) if d != docs[r]]
+
+        current, docs, sides, sets, out = None, [], [], [], []
+        for batch in batches:
+            for key, doc, side, tokens in zip(zip(batch["cluster"], batch["g"], batch["i"], batch["j"], strict=True), batch["doc"], batch["block"], batch["tokens"], strict=True):
+                if key != current:
+                    out += judged(docs, sides, sets)
+                    current, docs, sides, sets = key, [], [], []
+                docs.append(doc)
+                sides.append(side)
+                sets.append(tokens)
+            if out:
+                yield pd.DataFrame(out, columns=["src", "dst"])
+                out = []
+        yield pd.DataFrame(judged(docs, sides, sets), columns=["src", "dst"])
 
     return run
 
@@ -170,44 +222,23 @@ def shingle_components(docs: DataFrame, size: int, percent: int, text: str = "te
     found = materialize(found, "features")
     named = found.where("doc_id is not null and digest is not null")
     least = named.groupBy("digest").agg(F.min("doc_id").alias("dst"), F.max("doc_id").alias("most")).where("dst < most").drop("most")
-    links = [materialize(named.select("doc_id", "digest").join(least, "digest").where("doc_id > dst").select(F.col("doc_id").alias("src"), "dst").distinct(), "copies")]
-    labels = connected_components(links[0])
+    copies = materialize(named.select("doc_id", "digest").join(least, "digest").where("doc_id > dst").select(F.col("doc_id").alias("src"), "dst").distinct(), "copies")
 
-    by_key = Window.partitionBy("key")
+    node = lambda c: F.struct(F.col("key").bitwiseAND(63).alias("g"), F.col(c).alias("doc"))
     buckets = found.where("keys is not null").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    buckets = buckets.withColumns({"a": F.min("doc").over(by_key), "b": F.max("doc").over(by_key)}).where("a < b").select("key", "doc").distinct()
-    buckets = materialize(buckets, "buckets")
-    wanted = broadcast_if_small(materialize(buckets.select("doc").distinct(), "candidates"))
-    texts = docs.select(F.col("doc_id").alias("doc"), F.col(text).alias("text")).join(wanted, "doc", "left_semi")
-    sets = materialize(texts.mapInPandas(_sets(size), "doc long, tokens binary"), "sets")
-
-    tested = None
-    for turn in range(1000):
-        rank = lambda i, turn=turn: F.xxhash64(F.lit(turn * 1000 + i), F.col("doc"))
-        state = buckets.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("c"))
-        pivots = [F.min_by(F.struct("doc", "c"), rank(i)) for i in range(PIVOTS[min(turn, len(PIVOTS) - 1)])]
-        open_ = state.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.array_distinct(F.array(*pivots)).alias("pivots")).where("c1 < c2")
-        work = materialize(state.join(open_.select("key", "pivots"), "key"), "open")
-        if not work.limit(1).count():
-            break
-        pairs = work.select("doc", "c", F.explode("pivots").alias("p")).where("p.c != c")
-        pairs = pairs.select(F.col("p.doc").alias("pivot"), "doc").distinct()
-        ordered = [F.least("pivot", "doc"), F.greatest("pivot", "doc")]
-        pairs = pairs.withColumns({"lo": ordered[0], "hi": ordered[1]}).dropDuplicates(["lo", "hi"])
-        if tested is not None:
-            pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
-        other = pairs.join(sets.select("doc", F.col("tokens").alias("b")), "doc")  # one set a pair is shuffled, by the pivot
-        judged = other.join(sets.select(F.col("doc").alias("pivot"), F.col("tokens").alias("a")), "pivot")
-        judged = materialize(judged.select("lo", "hi", _similar(percent)("a", "b").alias("similar")), "judged")
-        tested = judged.select("lo", "hi") if tested is None else tested.union(judged.select("lo", "hi"))
-        links.append(judged.where("similar").select(F.col("hi").alias("src"), F.col("lo").alias("dst")))
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.union(more)
-        labels = connected_components(edges)
-        buckets = materialize(work.where(~F.array_contains(F.transform("pivots", lambda p: p["doc"]), F.col("doc"))).select("key", "doc"), "buckets")
-    else:
-        raise RuntimeError("buckets are still open after 1000 rounds")
+    stars = buckets.withColumn("least", F.min("doc").over(Window.partitionBy("key"))).where("least < doc")
+    clusters = connected_components(stars.select(node("doc").alias("src"), node("least").alias("dst")))
+    clusters = materialize(clusters.select("node.g", "node.doc", F.col("component.doc").alias("cluster")).distinct(), "clusters")
+    blocks = clusters.groupBy("g", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    place = clusters.join(blocks, ["g", "cluster"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    place = materialize(place, "places")
+    texts = docs.select(F.col("doc_id").alias("doc"), F.col(text).alias("text"))
+    sets = texts.join(broadcast_if_small(place.select("doc").distinct()), "doc", "left_semi").mapInPandas(_sets(size), "doc long, tokens binary")
+    dealt = sets.join(broadcast_if_small(place), "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("cluster", "g", "i", "j", "block", "doc", "tokens")
+    dealt = dealt.repartition("cluster", "g", "i", "j").sortWithinPartitions("cluster", "g", "i", "j", "doc")
+    linked = materialize(dealt.mapInPandas(_compare(percent), "src long, dst long"), "linked")
+    labels = connected_components(copies.union(linked))
     out = found.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 

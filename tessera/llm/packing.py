@@ -14,6 +14,7 @@ each; ids may be null; an empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,7 +107,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
         part, names, ids, size = 0, [], [], 0
         for batch in batches:
             for part, name, t in zip(batch["part"], batch["doc"], batch["text"], strict=True):
-                kept = tool.chunks(t)
+                kept = tool.words(t)
                 own = np.array(tool.whole(t), "<u4") if kept is None else np.frombuffer(b"".join(kept), "<u4")
                 names.append(name)
                 ids.append(np.append(own, np.uint32(END)))
@@ -141,4 +142,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
 
 
 def _as_ids(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return array("I", ids).tobytes()

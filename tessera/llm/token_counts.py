@@ -44,7 +44,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
         for batch in batches:
             counts = []
             for t in batch["text"]:
-                kept = tool.chunks(t)
+                kept = tool.words(t)
                 counts.append(len(tool.whole(t)) if kept is None else sum(kept))
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts, "tokenizer": version})
 

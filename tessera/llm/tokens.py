@@ -1,9 +1,9 @@
-"""Token ids by a tokenizer file, chunk by chunk, with a bounded cache of chunks in each worker.
+"""Token ids by a tokenizer file, word by word, with a bounded cache of words in each worker.
 
-For a byte-level tokenizer that splits before words and keeps one leading blank with its word, a blank between two
-characters that are no white space always starts a new piece. A text without doubled, leading or trailing white space
-beside its blanks is therefore cut there and its chunks are encoded by the library one by one; other texts, and texts
-that hold an added token, go to the library whole.
+For a byte-level tokenizer that splits before words and keeps one leading blank with its word, a blank or a newline
+between two characters that are no white space always starts a new piece, and so does a full stop or comma after letters.
+A text without doubled, leading or trailing white space is therefore cut there and its words are encoded by the library
+one by one; other texts, and texts that hold an added token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -11,42 +11,60 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from itertools import chain
 
 EDGE = re.compile(r"\s\s|^\s|\s$")
 
 
-class ChunkEncoder:
-    """Encodes whole texts as the library does; ``kind`` makes what is kept of a chunk from its ids."""
+class WordEncoder:
+    """Encodes whole texts as the library does; ``kind`` makes what is kept of a word from its ids and must add up by ``+``."""
 
-    def __init__(self, path: str, kind: Callable = tuple, most: int = 400_000):
+    def __init__(self, path: str, kind: Callable, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.kind, self.most, self.known = kind, most, {}
+        self.kind, self.most = kind, most
+        self.spaced: dict = {}  # word -> what is kept of " " + word
+        self.bare: dict = {}  # first word of a line -> what is kept of it
+        self.marks = {m: kind(self.whole(m)) for m in (".", ",", "\n")}
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def chunks(self, text: str) -> list | None:
-        """What is kept of each chunk, or None where the text must be encoded whole."""
+    def _learn(self, words: set[str], known: dict, blank: str) -> None:
+        if len(known) + len(words) > self.most:
+            known.clear()
+        words = {w for w in words if w not in known}
+        stems = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha()}
+        new = [w for w in {stems.get(w, w) for w in words} if w not in known]
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            for w, e in zip(part, self.library.encode_batch_fast([blank + w for w in part], add_special_tokens=False), strict=True):
+                known[w] = self.kind(e.ids)
+        for w, stem in stems.items():
+            known[w] = known[stem] + self.marks[w[-1]]
+
+    def words(self, text: str) -> list | None:
+        """What is kept of each word and newline, or None where the text must be encoded whole."""
         if not text or EDGE.search(text) or any(a in text for a in self.added):
             return None
-        parts = text.split(" ")
-        parts[1:] = [" " + p for p in parts[1:]]
-        known = self.known
-        found = list(map(known.get, parts))
-        if None in found:
-            if len(known) > self.most:
-                known.clear()
-            new = list({p for p, f in zip(parts, found, strict=True) if f is None})
-            for i in range(0, len(new), 4096):
-                for p, e in zip(new[i : i + 4096], self.library.encode_batch_fast(new[i : i + 4096], add_special_tokens=False), strict=True):
-                    known[p] = self.kind(e.ids)
-            found = [known[p] if f is None else f for p, f in zip(parts, found, strict=True)]
-        return found
+        lines = [line.split(" ") for line in text.split("\n")]
+        heads = [line.pop(0) for line in lines]
+        if not all(map(self.bare.__contains__, heads)):
+            self._learn(set(heads), self.bare, "")
+        rest = {*chain.from_iterable(lines)}
+        if not all(map(self.spaced.__contains__, rest)):
+            self._learn(rest, self.spaced, " ")
+        out: list = []
+        for head, line in zip(heads, lines, strict=True):
+            out.append(self.bare[head])
+            out += map(self.spaced.__getitem__, line)
+            out.append(self.marks["\n"])
+        out.pop()
+        return out
 
 
 def file_digest(path: str) -> str:
@@ -55,15 +73,15 @@ def file_digest(path: str) -> str:
         return hashlib.file_digest(f, "sha256").hexdigest()
 
 
-_encoders: dict[tuple, ChunkEncoder] = {}
+_encoders: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, kind: Callable = tuple) -> ChunkEncoder:
+def encoder(path: str, kind: Callable) -> WordEncoder:
     """One encoder for each worker process, file and kind."""
     key = (path, kind)
     if key not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _encoders[key] = ChunkEncoder(path, kind)
+        _encoders[key] = WordEncoder(path, kind)
     return _encoders[key]

@@ -73,6 +73,14 @@ def test_shingle_components(spark, size, percent):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in got}) and kept.columns == df.columns
 
 
+def test_clusters_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = dict(enumerate(family(rng, 90, 150, 6) + family(rng, 40, 150, 1)))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    assert {tuple(r) for r in jaccard.shingle_components(df, 3, 90).collect()} == brute_components(texts, 3, 90)
+
+
 def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (2, "a b c d"), (3, "a b c d"), (3, "other words entirely here"), (1, "Other words entirely here")], "doc_id long, text string")
     got = sorted((tuple(r) for r in jaccard.shingle_components(df, 3, 90).collect()), key=str)
