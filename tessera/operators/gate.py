@@ -25,7 +25,8 @@ def protect(rows: DataFrame, terms: DataFrame, aliases: DataFrame | None = None,
     if not listed.limit(1).count():
         raise GateError("the table of protected terms is empty")
     raw = rows.select(key, F.explode(tags).alias("tag"))
-    forms = raw.select(key, F.explode(F.array_distinct(F.array(F.lower("tag"), normalize_tag(F.col("tag"))))).alias("form")).distinct()
+    bare = F.trim(F.regexp_replace(F.regexp_replace(F.lower("tag"), r"[\s_\\\\]+", " "), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    forms = raw.select(key, F.explode(F.array_distinct(F.array(F.lower("tag"), normalize_tag(F.col("tag")), bare))).alias("form")).distinct()
     if aliases is not None:
         to = aliases.select(F.col("alias").alias("form"), F.lower("canonical").alias("canonical"))
         forms = forms.select(key, "form").union(forms.join(to, "form").select(key, F.col("canonical").alias("form"))).distinct()
