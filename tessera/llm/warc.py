@@ -219,4 +219,5 @@ def read_warc(spark: SparkSession, path: str, html: bool = True, batch_bytes: in
                         held, size = [], 0
             yield pd.DataFrame(held, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return files.repartition("file").mapInPandas(read, RECORD)
+    # one task a file: a stated number is not coalesced by their small names, as adaptive execution would do
+    return files.repartition(max(1, files.count())).mapInPandas(read, RECORD)
