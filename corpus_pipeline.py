@@ -15,18 +15,32 @@ from tessera.llm.queries import PII_KEY
 from tessera.storage import materialize
 
 
+#: Rows in an Arrow batch: texts may be long, and both the executor and its Python workers hold whole batches.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in an Arrow batch to ``BATCH_ROWS``; a smaller limit stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or whose host is rejected go."""
+    bound_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one with the least id stays."""
+    bound_batches(spark)
     return jaccard.keep_one(docs, 5, 80)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become pseudonyms; ``n_chars`` follows the new text."""
+    bound_batches(spark)
     out = pii.pseudonymise(docs.withColumn("__was", F.col("text")), PII_KEY)
     changed = F.when(F.col("text") != F.col("__was"), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(*docs.columns)
@@ -34,6 +48,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of the remaining documents."""
+    bound_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

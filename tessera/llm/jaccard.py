@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Words:
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 150_000):
         self.most, self.known = most, {}
 
     def hashes(self, words: list[bytes]) -> np.ndarray:

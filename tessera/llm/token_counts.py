@@ -47,6 +47,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
                 kept = tool.words(t)
                 counts.append(len(tool.whole(t)) if kept is None else sum(kept))
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts, "tokenizer": version})
+        tool.forget()
 
     misses.mapInPandas(encode, STORED).write.mode("append").parquet(cache)
     counts = stored_counts(spark, cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))

@@ -19,7 +19,7 @@ EDGE = re.compile(r"\s\s|^\s|\s$")
 class WordEncoder:
     """Encodes whole texts as the library does; ``kind`` makes what is kept of a word from its ids and must add up by ``+``."""
 
-    def __init__(self, path: str, kind: Callable, most: int = 1_000_000):
+    def __init__(self, path: str, kind: Callable, most: int = 200_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -29,6 +29,7 @@ class WordEncoder:
         self.kind, self.most = kind, most
         self.spaced: dict = {}  # word -> what is kept of " " + word
         self.bare: dict = {}  # first word of a line -> what is kept of it
+        self.older: dict[str, dict] = {"": {}, " ": {}}  # the full caches before these; frequent words are taken over from them
         self.marks = {m: kind(self.whole(m)) for m in (".", ",", "\n")}
 
     def whole(self, text: str) -> list[int]:
@@ -36,7 +37,11 @@ class WordEncoder:
 
     def _learn(self, words: set[str], known: dict, blank: str) -> None:
         if len(known) + len(words) > self.most:
+            self.older[blank] = dict(known)
             known.clear()
+        older = self.older[blank]
+        words = {w for w in words if w not in known}
+        known.update((w, older[w]) for w in words if w in older)
         words = {w for w in words if w not in known}
         stems = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha()}
         new = [w for w in {stems.get(w, w) for w in words} if w not in known]
@@ -66,6 +71,11 @@ class WordEncoder:
         out.pop()
         return out
 
+    def forget(self) -> None:
+        """Empty the caches; a task calls this at its end, so that its worker has the memory for other work."""
+        for known in (self.spaced, self.bare, *self.older.values()):
+            known.clear()
+
 
 def file_digest(path: str) -> str:
     """The version of a tokenizer: the digest of its file."""
