@@ -286,6 +286,12 @@ def components(read):
     return connected_components(e)
 
 
+@query()
+def components_all(read):
+    """Components over every line item, orders as even and parts as odd nodes; ``components`` is the part that its SQL can hold."""
+    return connected_components(read("lineitem").select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")))
+
+
 def _near(read):
     codes = planted(read).select("vec_id", "label", D.sign_bits(F.col("e")).alias("code"))
     return codes, materialize(D.hamming_pairs(codes, "vec_id", "code", 4), "near")
