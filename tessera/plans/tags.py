@@ -9,6 +9,7 @@ from tessera.operators.gate import protect
 from tessera.operators.wash import Rules
 from tessera.operators.wash import wash as wash_tags
 from tessera.plans.base import query
+from tessera.storage import materialize
 
 #: Tokens of whole texts, the normal form of each, and a vocabulary from the corpus, in SQL.
 TOK = """WITH raw AS (SELECT doc_id, source, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\r\\f]+'), lambda w: w <> '') AS ws FROM documents),
@@ -84,6 +85,13 @@ def near_terms(read):
     return V.near_terms(v.where("posts = 2 AND length(name) BETWEEN 5 AND 7").select(F.col("name").alias("term")), v, 50, 2)
 
 
+@query()
+def near_terms_all(read):
+    """Spellings for every word below the known count, of any length and script; ``near_terms`` is the part that its SQL can hold."""
+    v = materialize(vocabulary(tokens(read)), "vocabulary")
+    return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2)
+
+
 @query("SELECT p_type AS head, p_name AS name, count(*) AS posts FROM part GROUP BY p_type, p_name QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY contains(p_name, lower(p_type[1:2])) DESC, count(*) DESC, p_name) <= 5")
 def suffix_hint(read):
     g = read("part").groupBy(F.col("p_type").alias("head"), F.col("p_name").alias("name")).agg(F.count("*").alias("posts"))

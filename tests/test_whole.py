@@ -37,3 +37,27 @@ def test_components_all(spark, sf, tmp_path, given):
     edges = [(2 * r.l_orderkey, 2 * r.l_partkey + 1) for r in spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_partkey").collect()]
     got = [tuple(r) for r in registry.QUERIES["components_all"](spark, folder).select("node", "component").collect()]
     assert len(got) == len(set(got)) and dict(got) == union_find(edges)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_near_terms_all(spark, tmp_path):
+    often = {"straße": 60, "strasse": 50, "straßen": 70, "niño": 55, "слово": 50, "internationalisation": 80, "stra": 51, "über": 90}
+    rare = {"straßee": 1, "straß": 49, "strasze": 2, "niños": 3, "словa": 1, "internationalizatiom": 1, "stràße": 1, "überr": 2, "ni": 4, "lonely": 2}
+    posts = often | rare
+    text = " ".join(" ".join([w] * n) for w, n in posts.items())
+    table(spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string"), tmp_path, "documents")
+    want = set()
+    for t in rare:
+        near = sorted((distance(t, n), -posts[n], n) for n in often if n[:3] == t[:3] and distance(t, n) <= 2)
+        want |= {(t, n, d, r) for r, (d, _, n) in enumerate(near[:3], 1)}
+    got = [tuple(r) for r in registry.QUERIES["near_terms_all"](spark, str(tmp_path)).select("term", "name", "distance", "r").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {"straßee", "straß", "niños", "словa", "internationalizatiom", "überr"} <= {t for t, *_ in want}
