@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
+from tessera.storage import materialize
 
 
 def sign_bits(v: Column) -> Column:
@@ -97,6 +98,37 @@ def keeper_rank(df: DataFrame, group: str, order: list, ident: str) -> DataFrame
     return df.groupBy(group).agg(F.max_by(ident, F.struct(*order)).alias("keeper"), F.count("*").alias("n")).where("n > 1")
 
 
+def judged_pairs(near: DataFrame, rows: DataFrame, key: str, pixels: str) -> DataFrame:
+    """``near(a, b, distance)`` with ``ssim`` and the differences ``d`` of the two rows' arrays."""
+    side = lambda k, p: rows.select(F.col(key).alias(k), F.col(pixels).alias(p))
+    j = near.join(side("a", "pa"), "a").join(side("b", "pb"), "b")
+    return j.select("a", "b", "distance", ssim(F.col("pa"), F.col("pb")).alias("ssim"), differences(F.col("pa"), F.col("pb")).alias("d"))
+
+
+def dedup_tiers(rows: DataFrame, key: str, pixels: str, code: str, order: list, distance: int = 4, same: float = 0.995, review: float = 0.97) -> DataFrame:
+    """``(tier, decision, keeper, dropped, distance, ssim)`` of exact, near and similar rows; a similar pair is only reported.
+
+    The keepers of exact groups and the rows without one are compared. Only pairs with SSIM ``same`` are united,
+    and near rows carry the distance and SSIM to their keeper. Keepers are best by ``order``.
+    """
+    digest = F.sha2(F.array_join(F.transform(pixels, lambda x: x.cast("string")), ","), 256)
+    groups = materialize(keeper_rank(rows.withColumn("h", digest), "h", order, key), "exact")
+    exact = materialize(rows.withColumn("h", digest).join(groups, "h").where(F.col(key) != F.col("keeper")).select("keeper", F.col(key).alias("dropped")), "exact")
+    left = materialize(rows.join(exact, F.col(key) == F.col("dropped"), "left_anti"), "left")
+    judged = materialize(judged_pairs(hamming_pairs(left, key, code, distance), left, key, pixels).where(F.col("ssim") >= review).drop("d"), "judged")
+    member = materialize(left.join(connected_components(judged.where(F.col("ssim") >= same), "a", "b"), F.col(key) == F.col("node")), "member")
+    kept = keeper_rank(member, "component", order, key).join(left.select(F.col(key).alias("keeper"), F.col(pixels).alias("pa"), F.col(code).alias("ca")), "keeper")
+    near = member.join(kept, "component").where(F.col(key) != F.col("keeper"))
+    near = near.select("keeper", F.col(key).alias("dropped"), hamming(F.col("ca"), F.col(code)).cast("long").alias("distance"), ssim(F.col("pa"), F.col(pixels)).alias("ssim"))
+    rank = left.select(F.col(key).alias("k"), F.struct(*order).alias("o"))
+    similar = judged.where(F.col("ssim") < same).join(rank.select(F.col("k").alias("a"), F.col("o").alias("oa")), "a").join(rank.select(F.col("k").alias("b"), F.col("o").alias("ob")), "b")
+    first = F.col("oa") >= F.col("ob")
+    similar = similar.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("keeper"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("dropped"), "distance", "ssim")
+    exact = exact.withColumns({"distance": F.lit(0).cast("long"), "ssim": F.lit(None).cast("double")})
+    tier = lambda df, name, decision: df.select(F.lit(name).alias("tier"), F.lit(decision).alias("decision"), "keeper", "dropped", "distance", "ssim")
+    return tier(exact, "exact", "drop").union(tier(near, "near", "drop")).union(tier(similar, "similar", "review"))
+
+
 def greedy_dedup(members: DataFrame, near: DataFrame, family: str, key: str, order: str) -> DataFrame:
     """Non-transitive: in each family by ``order`` descending, a row goes if it is near a row that was kept.
 

@@ -306,6 +306,16 @@ def dedup_report(read):
     return connected_components(_near(read)[1], "a", "b").select(F.col("node").alias("vec_id"), F.col("component").alias("keeper"))
 
 
+def _pixels(read):
+    return planted(read).select("vec_id", "label", F.transform("e", lambda v: v * 127 + 128).alias("p"), D.sign_bits(F.col("e")).alias("code"))
+
+
+@query()
+def dedup_tiers(read):
+    """The three tiers: exact and near rows to drop, similar pairs to review; ``dedup_report`` unites by the hash alone."""
+    return D.dedup_tiers(_pixels(read), "vec_id", "p", "code", [-F.col("vec_id")])
+
+
 @query()
 def greedy_dedup(read):
     codes, near = _near(read)

@@ -61,3 +61,54 @@ def test_near_terms_all(spark, tmp_path):
     got = [tuple(r) for r in registry.QUERIES["near_terms_all"](spark, str(tmp_path)).select("term", "name", "distance", "r").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert {"straßee", "straß", "niños", "словa", "internationalizatiom", "überr"} <= {t for t, *_ in want}
+
+
+def vectors(spark, folder, label=0):
+    """Seven given vectors: 1, 2 equal; 3, 4 a tenth of an element apart; 6, 7 apart by one changed sign; ids no million apart."""
+    base = [[((i * 37 + k * 11) % 23 - 11.5) / 60 for i in range(64)] for k in range(4)]
+    change = lambda v, i, x: [*v[:i], x, *v[i + 1 :]]
+    rows = [base[0], base[0], base[1], change(base[1], 5, base[1][5] * 0.9), base[2], base[3], change(base[3], 9, -base[3][9])]
+    table(spark.createDataFrame([(i, v, label) for i, v in zip((1, 2, 3, 4, 6, 7, 8), rows, strict=True)], "vec_id long, embedding array<float>, label int"), folder, "embeddings")
+    return str(folder)
+
+
+def brute_pairs(rows):
+    """{(a, b): (distance, ssim, mean, max, block)} of pairs within four sign bits; a row is (id, elements)."""
+    import numpy as np
+
+    at = {k: np.array(v, float) for k, v in rows}
+    out = {}
+    for a in at:
+        for b in at:
+            d = int(((at[a] > 0) != (at[b] > 0)).sum())
+            if a < b and d <= 4:
+                x, y = at[a] * 127 + 128, at[b] * 127 + 128
+                c1, c2 = (0.01 * 255) ** 2, (0.03 * 255) ** 2
+                cov = ((x - x.mean()) * (y - y.mean())).mean()
+                s = (2 * x.mean() * y.mean() + c1) * (2 * cov + c2) / ((x.mean() ** 2 + y.mean() ** 2 + c1) * (x.var() + y.var() + c2))
+                diff = abs(x - y)
+                out[a, b] = d, s, diff.mean(), diff.max(), diff.reshape(8, 8).mean(1).max()
+    return out
+
+
+def planted_rows(spark, folder):
+    from tessera.plans.assets import planted
+
+    return [(r.vec_id, tuple(r.e)) for r in planted(lambda t: spark.read.parquet(f"{folder}/{t}.parquet")).collect()]
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_dedup_tiers(spark, sf, tmp_path, given):
+    folder = sf if given else vectors(spark, tmp_path)
+    rows = planted_rows(spark, folder)
+    first = {}
+    for k, v in sorted(rows):
+        first.setdefault(v, k)
+    want = {("exact", "drop", first[v], k) for k, v in rows if first[v] != k}
+    pairs = brute_pairs([(k, v) for v, k in first.items()])
+    roots = union_find([p for p, x in pairs.items() if x[1] >= 0.995])
+    want |= {("near", "drop", c, k) for k, c in roots.items() if k != c}
+    want |= {("similar", "review", *p) for p, x in pairs.items() if 0.97 <= x[1] < 0.995}
+    got = [(r.tier, r.decision, r.keeper, r.dropped) for r in registry.QUERIES["dedup_tiers"](spark, folder).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {t for t, *_ in want} >= {"exact", "similar" if given else "near"}
