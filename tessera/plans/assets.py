@@ -310,6 +310,20 @@ def _pixels(read):
     return planted(read).select("vec_id", "label", F.transform("e", lambda v: v * 127 + 128).alias("p"), D.sign_bits(F.col("e")).alias("code"))
 
 
+def _judged(read):
+    """Every near pair of all vectors with its evidence and whether it is one item, by the reference's limits."""
+    px = _pixels(read)
+    j = D.judged_pairs(D.hamming_pairs(px, "vec_id", "code", 4), px, "vec_id", "p")
+    same = (F.col("ssim") >= 0.995) & (F.col("d.mean") <= 2) & (F.col("d.max") <= 24) & (F.col("d.block") <= 8)
+    return j.select("a", "b", "distance", "ssim", F.col("d.mean").alias("mean"), F.col("d.max").alias("most"), F.col("d.block").alias("block"), same.alias("same"))
+
+
+@query()
+def same_pairs(read):
+    """The whole same-item test on the near pairs of all vectors; ``same_item`` judges the planted copies alone."""
+    return _judged(read)
+
+
 @query()
 def dedup_tiers(read):
     """The three tiers: exact and near rows to drop, similar pairs to review; ``dedup_report`` unites by the hash alone."""
@@ -318,8 +332,8 @@ def dedup_tiers(read):
 
 @query()
 def greedy_dedup(read):
-    codes, near = _near(read)
-    return D.greedy_dedup(codes.withColumn("o", -F.col("vec_id")), near, "label", "vec_id", "o")
+    same = materialize(_judged(read).where("same").select("a", "b"), "same")
+    return D.greedy_dedup(planted(read).select("vec_id", "label", (-F.col("vec_id")).alias("o")), same, "label", "vec_id", "o")
 
 
 @query(SIG.replace("WITH v", "WITH RECURSIVE v") + ", n AS (SELECT x.vec_id AS a, y.vec_id AS b FROM s x JOIN s y ON x.vec_id < y.vec_id AND x.label <> y.label AND list_inner_product(x.e, y.e) >= 0.42), w AS (SELECT a, b FROM n UNION SELECT b, a FROM n), r(node, c) AS (SELECT a, a FROM w UNION SELECT w.b, r.c FROM r JOIN w ON w.a = r.node) SELECT min(c) AS family, node AS vec_id FROM r GROUP BY node")

@@ -112,3 +112,31 @@ def test_dedup_tiers(spark, sf, tmp_path, given):
     got = [(r.tier, r.decision, r.keeper, r.dropped) for r in registry.QUERIES["dedup_tiers"](spark, folder).collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert {t for t, *_ in want} >= {"exact", "similar" if given else "near"}
+
+
+def is_same(x):
+    return x[0] <= 4 and x[1] >= 0.995 and x[2] <= 2 and x[3] <= 24 and x[4] <= 8
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_same_pairs(spark, sf, tmp_path, given):
+    folder = sf if given else vectors(spark, tmp_path)
+    want = brute_pairs(planted_rows(spark, folder))
+    got = {(r.a, r.b): r for r in registry.QUERIES["same_pairs"](spark, folder).collect()}
+    assert set(got) == set(want)
+    for p, r in got.items():
+        assert (r.distance, r.ssim, r.mean, r.most, r.block) == pytest.approx(want[p]) and r.same == is_same(want[p])
+    assert given or {p for p, x in want.items() if is_same(x)} >= {(1, 2), (3, 4)} and not got[7, 8].same
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_greedy_dedup(spark, sf, tmp_path, given):
+    folder = sf if given else vectors(spark, tmp_path)
+    same = {p for p, x in brute_pairs(planted_rows(spark, folder)).items() if is_same(x)}
+    label = {r.vec_id % 1000000: r.label for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    kept, want = [], set()
+    for k, _ in sorted(planted_rows(spark, folder)):
+        by = [x for x in kept if (x, k) in same and label[x % 1000000] == label[k % 1000000]]
+        want |= {(k, by[0])} if by else set()
+        kept += [] if by else [k]
+    assert {(r.dropped, r.of) for r in registry.QUERIES["greedy_dedup"](spark, folder).collect()} == want
