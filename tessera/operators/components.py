@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.storage import materialize
+from tessera.storage import discard, materialize
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -17,7 +17,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 
     Edges with a null end and self loops are ignored, repeated edges count once; without edges the result is empty.
     Minima are partial aggregates and the joins are plain equi-joins, so a hub that owns a third of the edges
-    is combined before the shuffle and split by adaptive execution. Each round is written to the shared folder.
+    is combined before the shuffle and split by adaptive execution. Each round is written to the shared folder and the
+    round before it deleted.
     """
     a, b = F.col(src), F.col(dst)
     cur = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
@@ -31,7 +32,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         large = cur.join(least, F.col("v") == F.col("x")).select("u", F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        cur = materialize(rest.union(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        nxt = materialize(rest.union(low.select("u", F.col("m").alias("v"))).distinct(), "components")
+        discard(cur)
+        cur = nxt
         before, sign = sign, _signature(cur)
         if sign == before:
             break

@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+#: Bytes that a broadcast side may take, by ``broadcast_if_small``.
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset and all runs in this process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
@@ -31,7 +36,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back, so that later jobs reuse the files."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``materialize``, after their last reader has ended."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -39,6 +54,13 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
-    """``df`` with a broadcast hint where it has at most ``rows`` rows (narrow ones); beyond that Spark's own choice."""
+def row_bytes(df: DataFrame) -> int:
+    """Bytes that a row of ``df`` takes in a broadcast hash table, by its fixed-width types; strings count 48, nested values 256."""
+    wide = {"string": 48, "binary": 48}
+    return 32 + sum(wide.get(kind, 256 if "<" in kind else 16) for _, kind in df.dtypes)
+
+
+def broadcast_if_small(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint where its rows take at most ``most_bytes`` bytes; beyond that Spark's own choice."""
+    rows = most_bytes // row_bytes(df)
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
