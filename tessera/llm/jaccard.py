@@ -7,14 +7,23 @@ bands therefore has a band on which both agree. Documents are grouped by size, s
 group fixes d and the number of bands. A document emits one key a band that has tokens (a linear hash of the band's
 bits); should it have no more than d such bands, it emits its empty bands too, so no pair is missed.
 
-Pairs are not enumerated inside a bucket. Exact copies are joined by digest beforehand, and a bucket is a star around its
-least document; the components of the stars, for each size group, are clusters that hold every candidate pair. A cluster
-is compared inside tasks, in pairs of blocks of bounded size if it is large: a matrix of Hamming distances of dense parity
-sketches leaves the pairs that can reach the similarity, and those whose documents are not yet connected are verified by
-their exact sets. A task gives a spanning forest of what it linked.
-
-Null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one token. Rows with
-a null id get a null component and take no part; rows that share an id are one document. Other columns are not touched.
+Pairs are not enumerated inside a bucket. Exact copies are joined by digest beforehand, and only keys that occur twice
+are kept. Then, each step leaving less to the next:
+
+1. each member of a bucket is held against the bucket's least document by dense sketches, whose distance must allow the
+   similarity; what passes gives families;
+2. buckets whose other members lie in several families are compared inside tasks, sketches only, and add a forest of
+   passing pairs;
+3. the members of a family are verified by their exact sets against its least document;
+4. those that it did not link are verified against the whole family, in blocks of bounded size.
+
+Blocks and streamed parts are bounded by documents and by tokens, so a hot bucket or family is split over tasks. The links
+found connect whatever the pairs of the similarity connect: a pair that is skipped lies in one component already.
+
+Null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one token. A very
+long text is one set and one sketch of a size in proportion to it. Rows with a null id get a null component and take no
+part; rows that share an id are one document; an empty table gives an empty result. Other columns are not touched, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -26,17 +35,18 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.operators.components import connected_components
-from tessera.storage import broadcast_if_small, materialize
+from tessera.storage import broadcast_if_small, discard, materialize
 
 U = np.uint64
-FEATURES = "doc_id string, n_shingles long, digest binary, keys array<long>"
-#: Documents in a block of a cluster, and bits of the dense sketch.
-BLOCK, BITS = 2048, 2048
+FEATURES = "doc_id string, n_shingles long, digest binary, sketch array<long>, keys array<long>"
+#: Documents and tokens in a block that a task holds, and in a part that it streams.
+BLOCK, TOKENS = 2048, 2_000_000
+#: Streamed documents that a task compares at once.
+CHUNK = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -117,7 +127,26 @@ def keys_of(tokens: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate([own, band_keys(tokens, group + 1, percent)]) if n * 100 // percent >= _firsts(percent)[group + 1] else own
 
 
+def sketch_bits(n: int, percent: int) -> int:
+    """Bits of the dense sketch of a set of ``n`` tokens: a power of two, at least the last size of its group."""
+    last = geometry(percent)[int(np.searchsorted(_firsts(percent), n, "right")) - 1][1]
+    return max(256, 1 << (last - 1).bit_length())
+
+
+def sketch(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """A dense parity sketch; XOR of its halves is the sketch of half as many bits."""
+    odd = np.bincount((tokens & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
+
+
+def fold(words: np.ndarray, size: int) -> np.ndarray:
+    """A sketch folded to ``size`` words."""
+    return np.bitwise_xor.reduce(words.reshape(-1, size), axis=0)
+
+
 def _features(size: int, percent: int):
+    names = [c.split()[0] for c in FEATURES.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, seen = Words(), set()
         for batch in batches:
@@ -125,17 +154,18 @@ def _features(size: int, percent: int):
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 tokens = shingle_set(text, size, words)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-                keys = None
-                if digest and doc is not None and digest not in seen:  # one copy in each task is enough
-                    if len(seen) < 1_000_000:
-                        seen.add(digest)
+                keys = dense = None
+                if digest and doc is not None and (digest, doc) not in seen:  # a repeated row adds nothing
+                    if len(seen) < 200_000:
+                        seen.add((digest, doc))
                     keys = keys_of(tokens, percent).view(np.int64)
-                    total += len(keys)
-                out.append((doc, len(tokens), digest, keys))
-                if total > 1_000_000:
-                    yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "keys"])
+                    dense = sketch(tokens, sketch_bits(len(tokens), percent)).view(np.int64)
+                    total += len(keys) + len(dense)
+                out.append((doc, len(tokens), digest, dense, keys))
+                if total > 500_000:
+                    yield pd.DataFrame(out, columns=names)
                     out, total = [], 0
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "keys"])
+            yield pd.DataFrame(out, columns=names)
 
     return run
 
@@ -144,102 +174,249 @@ def _sets(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for batch in batches:
-            yield pd.DataFrame({"doc": batch["doc"], "tokens": [shingle_set(t, size, words).tobytes() for t in batch["text"]]})
+            out, total = [], 0
+            for doc, text in zip(batch["doc"], batch["text"], strict=True):
+                tokens = shingle_set(text, size, words)
+                out.append((doc, tokens.tobytes()))
+                total += len(tokens)
+                if total > 1_000_000:
+                    yield pd.DataFrame(out, columns=["doc", "tokens"])
+                    out, total = [], 0
+            yield pd.DataFrame(out, columns=["doc", "tokens"])
 
     return run
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """A dense parity sketch."""
-    odd = np.bincount((tokens & U(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(U)
+class Block:
+    """Documents that a task holds, and the links to them of those that stream past."""
 
+    def __init__(self, percent: int, exact: bool):
+        self.percent, self.exact = percent, exact
+        self.docs: list[int] = []
+        self.sets: list[np.ndarray] = []  # token sets, or sketches unless exact
+        self.sizes: list[int] = []
+        self.up: dict[int, int] = {}
+        self.dense: tuple | None = None
+        self.out: list[tuple[int, int]] = []
 
-def link_forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
-    """Roots of the documents by links between different sides (or inside the one side there is)."""
-    n = len(sets)
-    sizes = np.array([len(x) for x in sets], np.int64)
-    sketches = np.stack([sketch(x) for x in sets])
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
+    def find(self, x: int) -> int:
+        up = self.up
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up.setdefault(y, y)
+            x = up[x]
         return x
 
-    both = bool((side != side[0]).any())
-    for low in range(0, n, 64):
-        rows = slice(low, min(n, low + 64))
-        total = sizes[rows, None] + sizes[None, :]
-        far = np.zeros(total.shape, np.int64)
-        for w in range(sketches.shape[1]):
-            far += np.bitwise_count(sketches[rows, w][:, None] ^ sketches[None, :, w])
-        may = (far * (100 + percent) <= (100 - percent) * total) & (np.arange(n)[None, :] > np.arange(low, rows.stop)[:, None])
-        may &= 100 * np.minimum(sizes[rows, None], sizes[None, :]) >= percent * np.maximum(sizes[rows, None], sizes[None, :])
-        if both:
-            may &= side[rows, None] != side[None, :]
+    def hold(self, doc: int, comp: int, n: int, data: bytes) -> None:
+        self.docs.append(doc)
+        self.sizes.append(n)
+        self.sets.append(np.frombuffer(data, U))
+        self._known(doc, comp)
+
+    def _known(self, doc: int, comp: int) -> None:
+        p, q = self.find(doc), self.find(comp)
+        self.up[max(p, q)] = min(p, q)
+
+    def _sketch(self, data: np.ndarray, n: int) -> np.ndarray:
+        return sketch(data, sketch_bits(n, self.percent)) if self.exact else data
+
+    def meet(self, rows: list[tuple[int, int, int, np.ndarray]]) -> None:
+        """Compare streamed ``(doc, comp, n, data)`` with the held documents."""
+        if not rows or not self.docs:
+            return
+        if self.dense is None:
+            own = [self._sketch(s, n) for s, n in zip(self.sets, self.sizes, strict=True)]
+            least = min(map(len, own))
+            self.dense = (np.stack([fold(x, least) for x in own]), np.array(self.sizes, np.int64), np.array(self.docs, np.int64))
+        mine, sizes, docs = self.dense
+        new = [r[3] for r in rows]
+        theirs = [self._sketch(s, r[2]) for s, r in zip(new, rows, strict=True)]
+        width = min(mine.shape[1], *map(len, theirs))
+        if width < mine.shape[1]:
+            mine = np.bitwise_xor.reduce(mine.reshape(len(mine), -1, width), axis=1)
+            self.dense = (mine, sizes, docs)
+        theirs = np.stack([fold(x, width) for x in theirs])
+        n = np.array([r[2] for r in rows], np.int64)
+        far = np.zeros((len(rows), len(sizes)), np.int64)
+        for w in range(width):
+            far += np.bitwise_count(theirs[:, w][:, None] ^ mine[None, :, w])
+        a, b = n[:, None], sizes[None, :]
+        may = (far * (100 + self.percent) <= (100 - self.percent) * (a + b)) & (100 * np.minimum(a, b) >= self.percent * np.maximum(a, b))
+        may &= np.array([r[0] for r in rows], np.int64)[:, None] != docs[None, :]
         i, j = np.nonzero(may)
         order = np.argsort(far[i, j], kind="stable")
-        for x, y in zip((i[order] + low).tolist(), j[order].tolist(), strict=True):
-            p, q = find(x), find(y)
-            if p != q:
-                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * common >= percent * (sizes[x] + sizes[y] - common):
-                    root[max(p, q)] = min(p, q)
-    return np.array([find(x) for x in range(n)])
-
+        for r in rows:
+            self._known(r[0], r[1])
+        for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            p, q = self.find(rows[x][0]), self.find(self.docs[y])
+            if p == q:
+                continue
+            if self.exact:
+                common = len(np.intersect1d(new[x], self.sets[y], assume_unique=True))
+                if 100 * common < self.percent * (rows[x][2] + self.sizes[y] - common):
+                    continue
+            self.up[max(p, q)] = min(p, q)
+            self.out.append((rows[x][0], self.docs[y]))
+
+
+def _compare(percent: int, exact: bool):
+    """Links of sorted rows ``(group, side, doc, comp, n, data)``; the rows of side 0 of a group come first and are held.
+
+    A group without rows of side 1 is compared with itself.
+    """
 
-def _compare(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def judged(docs, sides, sets):
-            if len(docs) < 2:
-                return []
-            roots = link_forest([np.frombuffer(t, U) for t in sets], np.array(sides), percent)
-            return [(d, docs[r]) for d, r in zip(docs, roots, strict=True) if d != docs[r]]
+        block, current, rows, streamed = Block(percent, exact), None, [], False
+        out: list[tuple[int, int]] = []
+
+        def ended() -> list[tuple[int, int]]:
+            mine = rows if streamed else list(zip(block.docs, block.docs, block.sizes, block.sets, strict=True))
+            for i in range(0, len(mine), CHUNK):
+                block.meet(mine[i : i + CHUNK])
+            return block.out
 
-        current, docs, sides, sets, out = None, [], [], [], []
         for batch in batches:
-            for key, doc, side, tokens in zip(zip(batch["cluster"], batch["g"], batch["i"], batch["j"], strict=True), batch["doc"], batch["block"], batch["tokens"], strict=True):
-                if key != current:
-                    out += judged(docs, sides, sets)
-                    current, docs, sides, sets = key, [], [], []
-                docs.append(doc)
-                sides.append(side)
-                sets.append(tokens)
+            for group, side, doc, comp, n, data in zip(*(batch[c] for c in ("group", "side", "doc", "comp", "n", "data")), strict=True):
+                if group != current:
+                    out += ended()
+                    block, current, rows, streamed = Block(percent, exact), group, [], False
+                if not side:
+                    block.hold(doc, comp, n, data)
+                else:
+                    streamed = True
+                    rows.append((doc, comp, n, np.frombuffer(data, U)))
+                    if len(rows) >= CHUNK:
+                        block.meet(rows)
+                        rows = []
             if out:
                 yield pd.DataFrame(out, columns=["src", "dst"])
                 out = []
-        yield pd.DataFrame(judged(docs, sides, sets), columns=["src", "dst"])
+        yield pd.DataFrame(out + ended(), columns=["src", "dst"])
 
     return run
 
 
+def _linked(rows: DataFrame, key: list[str], percent: int, exact: bool) -> DataFrame:
+    """Links inside groups of ``rows(*key, side, doc, comp, n, data)``."""
+    dealt = rows.select(F.xxhash64(*key).alias("group"), *key, "side", "doc", "comp", "n", "data").repartition(*key)
+    dealt = dealt.sortWithinPartitions(*key, "side", "doc").select("group", "side", "doc", "comp", "n", "data")
+    return dealt.mapInPandas(_compare(percent, exact), "src long, dst long")
+
+
+def _parts(docs: Column, tokens: Column) -> Column:
+    """In how many parts a group of so many documents and tokens is dealt."""
+    return F.ceil(F.greatest(docs / F.lit(BLOCK), tokens / F.lit(TOKENS), F.lit(1))).cast("int")
+
+
+def _place(parts: str) -> Column:
+    return F.pmod(F.xxhash64("doc"), F.col(parts)).cast("int")
+
+
+def _may_reach(percent: int) -> Column:
+    """Whether sizes ``n``, ``m`` and dense sketches ``sketch``, ``other`` allow the similarity."""
+    half = lambda a: F.zip_with(F.slice(a, F.lit(1), F.size(a) / 2), F.slice(a, F.size(a) / 2 + 1, F.size(a) / 2), lambda x, y: x.bitwiseXOR(y))
+    a, b = F.col("sketch"), F.col("other")
+    for _ in range(int(np.ceil(np.log2((100 / percent) ** 2)))):  # sizes of neighbouring groups
+        a, b = F.when(F.size(a) > F.size(b), half(a)).otherwise(a), F.when(F.size(b) > F.size(a), half(b)).otherwise(b)
+    far = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    n, m = F.col("n"), F.col("m")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (far * (100 + percent) <= (100 - percent) * (n + m))
+
+
+def _candidates(found: DataFrame, copies: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``(members, sketches)``: documents by key for keys of several documents, and their sketches; both written."""
+    own = found.where("keys is not null").join(broadcast_if_small(copies.select(F.col("src").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
+    repeated = materialize(keys.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1").select("key"), "repeated")
+    members = materialize(keys.join(broadcast_if_small(repeated), "key"), "members")
+    discard(repeated)
+    sketched = found.where("keys is not null").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "digest")
+    some = materialize(members.select("doc").distinct(), "some")
+    sketches = materialize(sketched.join(broadcast_if_small(some), "doc", "left_semi").dropDuplicates(["doc", "digest"]).drop("digest"), "sketches")
+    discard(some)
+    return members, sketches
+
+
+def _families(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``(doc, family)``, written: components of pairs whose sketches allow the similarity; no such pair lies across two."""
+    least = members.groupBy("key").agg(F.min("doc").alias("least"))
+    rest = materialize(members.join(least, "key").where("least < doc"), "rest")
+    pairs = rest.select("doc", "least").distinct().join(sketches, "doc")
+    pairs = pairs.join(sketches.select(F.col("doc").alias("least"), F.col("n").alias("m"), F.col("sketch").alias("other")), "least")
+    near = materialize(pairs.where(_may_reach(percent)).select(F.col("doc").alias("src"), F.col("least").alias("dst")), "near")
+    labels = connected_components(near).select(F.col("node").alias("doc"), F.col("component").alias("comp"))
+    placed = materialize(rest.select("key", "doc").join(labels, "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp")), "placed")
+    discard(rest)
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs")).where("low < high")
+    mixed = mixed.select("key", _parts(F.col("docs"), F.lit(0)).alias("parts"))
+    open_ = placed.join(mixed, "key").withColumn("part", _place("parts"))
+    held = open_.select("key", "doc", "comp", F.col("part").alias("block"), F.lit(0).alias("side"))
+    passing = open_.where("parts > 1").select("key", "doc", "comp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block"), F.lit(1).alias("side"))
+    dealt = held.union(passing)
+    data = F.unhex(F.array_join(F.transform("sketch", lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    dealt = dealt.join(sketches.select("doc", "n", data.alias("data")), "doc")
+    more = materialize(_linked(dealt, ["key", "block"], percent, False), "more")
+    discard(placed)
+    families = connected_components(near.union(more)).select(F.col("node").alias("doc"), F.col("component").alias("family"))
+    families = materialize(families, "families")
+    discard(near, more)
+    return families
+
+
+def _verified(docs: DataFrame, text: str, families: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links by exact sets that connect what the similarity connects inside families; written."""
+    texts = docs.select(F.col("doc_id").alias("doc"), F.col(text).alias("text"))
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        return texts.join(broadcast_if_small(wanted), "doc", "left_semi").mapInPandas(_sets(size), "doc long, tokens binary")
+
+    def judged(dealt: DataFrame, name: str) -> DataFrame:
+        wanted = materialize(dealt.select("doc").distinct(), "wanted")
+        rows = sets(wanted).withColumn("n", F.octet_length("tokens") / 8).select("doc", F.col("n").cast("long").alias("n"), F.col("tokens").alias("data"))
+        out = materialize(_linked(rows.join(broadcast_if_small(dealt), "doc"), ["family", "block", "part"], percent, True), name)
+        discard(wanted)
+        return out
+
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["family", "block", "part", "side", "doc", "comp"]
+    sized = materialize(families.join(sketches.groupBy("doc").agg(F.max("n").alias("n")), "doc"), "sized")
+    total = sized.groupBy("family").agg(_parts(F.count("*"), F.sum("n")).alias("parts"))
+    here = sized.join(total, "family").withColumns({"block": F.lit(0), "comp": F.col("doc")})
+    centre = here.where("doc = family").withColumns({"part": every("parts"), "side": F.lit(0)}).select(*columns)
+    others = here.where("doc <> family").withColumns({"part": _place("parts"), "side": F.lit(1)}).select(*columns)
+    first = materialize(centre.union(others), "dealt")
+    links = judged(first, "links")
+    discard(first)
+
+    done = links.select(F.col("src").alias("doc"), F.lit(True).alias("done")).distinct()
+    state = sized.join(broadcast_if_small(done), "doc", "left").withColumn("done", F.coalesce("done", F.col("doc") == F.col("family")))
+    left = state.where("NOT done").groupBy("family").agg(_parts(F.count("*"), F.sum("n")).alias("blocks"))
+    state = materialize(state.join(broadcast_if_small(left), "family").join(total, "family").withColumn("comp", F.when(F.col("done"), F.col("family")).otherwise(F.col("doc"))), "state")
+    held = state.where("NOT done").withColumns({"block": _place("blocks"), "part": every("parts"), "side": F.lit(0)}).select(*columns)
+    passing = state.where("doc <> family").withColumns({"block": every("blocks"), "part": _place("parts"), "side": F.lit(1)}).select(*columns)
+    second = materialize(held.union(passing), "dealt")
+    out = materialize(links.union(judged(second, "links")), "links")
+    discard(sized, state, second, links)
+    return out
+
+
 def shingle_components(docs: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row; similarity is at least ``percent`` / 100."""
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"))
     found = rows.mapInPandas(_features(size, percent), FEATURES).withColumn("doc_id", F.col("doc_id").cast("long"))
     found = materialize(found, "features")
+    base = materialize(found.select("doc_id", "n_shingles"), "sizes")
     named = found.where("doc_id is not null and digest is not null")
     least = named.groupBy("digest").agg(F.min("doc_id").alias("dst"), F.max("doc_id").alias("most")).where("dst < most").drop("most")
     copies = materialize(named.select("doc_id", "digest").join(least, "digest").where("doc_id > dst").select(F.col("doc_id").alias("src"), "dst").distinct(), "copies")
-
-    node = lambda c: F.struct(F.col("key").bitwiseAND(63).alias("g"), F.col(c).alias("doc"))
-    buckets = found.where("keys is not null").select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    stars = buckets.withColumn("least", F.min("doc").over(Window.partitionBy("key"))).where("least < doc")
-    clusters = connected_components(stars.select(node("doc").alias("src"), node("least").alias("dst")))
-    clusters = materialize(clusters.select("node.g", "node.doc", F.col("component.doc").alias("cluster")).distinct(), "clusters")
-    blocks = clusters.groupBy("g", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    place = clusters.join(blocks, ["g", "cluster"]).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    place = materialize(place, "places")
-    texts = docs.select(F.col("doc_id").alias("doc"), F.col(text).alias("text"))
-    sets = texts.join(broadcast_if_small(place.select("doc").distinct()), "doc", "left_semi").mapInPandas(_sets(size), "doc long, tokens binary")
-    dealt = sets.join(broadcast_if_small(place), "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("cluster", "g", "i", "j", "block", "doc", "tokens")
-    dealt = dealt.repartition("cluster", "g", "i", "j").sortWithinPartitions("cluster", "g", "i", "j", "doc")
-    linked = materialize(dealt.mapInPandas(_compare(percent), "src long, dst long"), "linked")
-    labels = connected_components(copies.union(linked))
-    out = found.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members, sketches = _candidates(found, copies, percent)
+    discard(found)
+    families = _families(members, sketches, percent)
+    discard(members)
+    links = _verified(docs, text, families, sketches, size, percent)
+    discard(families, sketches)
+    labels = connected_components(copies.union(links))
+    discard(copies, links)
+    out = base.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
