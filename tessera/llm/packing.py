@@ -14,7 +14,6 @@ each; ids may be null; an empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.tokens import encoder
+from tessera.llm.tokens import encoder, slices
 
 WINDOW, SMALLEST, END = 1024, 128, 0
 PIECES = "doc string, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, window long, step_group long"
@@ -103,27 +102,27 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
     """
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list, list]]:
-        tool = encoder(tokenizer, _as_ids)
+        tool = encoder(tokenizer)
         part, names, ids, size = 0, [], [], 0
         for batch in batches:
-            for part, name, t in zip(batch["part"], batch["doc"], batch["text"], strict=True):
-                kept = tool.words(t)
-                own = np.array(tool.whole(t), "<u4") if kept is None else np.frombuffer(b"".join(kept), "<u4")
-                names.append(name)
-                ids.append(np.append(own, np.uint32(END)))
-                size += len(ids[-1])
-                if size >= block_tokens:
-                    yield int(part), names, ids
-                    names, ids, size = [], [], 0
+            docs_, texts = batch["doc"].tolist(), batch["text"].tolist()
+            part = int(batch["part"].iloc[0]) if len(batch) else part
+            for first, last in slices(texts):
+                for name, own in zip(docs_[first:last], tool.encode(texts[first:last]), strict=True):
+                    names.append(name)
+                    ids.append(np.append(own, np.uint32(END)).astype("<u4", copy=False))
+                    size += len(ids[-1])
+                    if size >= block_tokens:
+                        yield part, names, ids
+                        names, ids, size = [], [], 0
         if names:
-            yield int(part), names, ids
-        tool.forget()
+            yield part, names, ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         serial = 0
+        dealt: dict[int, int] = {}  # the last group that got a sequence of each length, over all blocks of the task
         for part, names, ids in blocks(batches):
             sizes = list(map(len, ids))
-            dealt: dict[int, int] = {}
             rows = []
             for window, pieces in pack(sizes):
                 group = (dealt.get(window, part) + 1) % groups
@@ -140,7 +139,3 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
     rows = rows.sortWithinPartitions("doc", "text").select(F.spark_partition_id().alias("part"), "doc", "text")
     out = rows.mapInPandas(run, PIECES)
     return out.select(F.col("doc").cast("long").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", F.col("sequence").alias("sequence_id"), "offset", "window", "step_group")
-
-
-def _as_ids(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes()

@@ -1,10 +1,11 @@
 """Token counts by a digest cache.
 
 Content is normalised (null becomes empty; ``normalise`` may do more where the tokenizer does the same) and digested;
-(content digest, tokenizer version) is the key of a stored table of counts. Digests that the table lacks are encoded
-once each and appended; then every document gets its count. Hot texts collapse before the shuffle, since the distinct
-texts come from an aggregation with map-side combining. Repeated rows and null ids keep their rows; an empty table gives
-an empty result and appends nothing.
+(content digest, tokenizer version) is the key of a stored table of counts. Digests are held against the table first; only
+texts whose digest it lacks are fetched, encoded once each and appended; then every document gets its count. Hot texts
+collapse before the shuffle, since the distinct texts come from an aggregation with map-side combining. Repeated rows and
+null ids keep their rows; texts of any length are counted whole; an empty table gives an empty result and appends nothing;
+other columns are not touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.tokens import encoder, file_digest
-from tessera.storage import empty
+from tessera.llm.tokens import encoder, file_digest, slices
+from tessera.storage import broadcast_if_small, discard, empty, materialize
 
 STORED = "digest binary, n_tokens long, tokenizer string"
 
@@ -37,19 +38,26 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
     rows = docs.select("doc_id", content.alias("text"))
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     own = stored_counts(spark, cache).where(F.col("tokenizer") == version).select("digest", "n_tokens")
-    misses = rows.groupBy(digest.alias("digest")).agg(F.first("text").alias("text")).join(own, "digest", "left_anti")
+    missing = materialize(rows.select(digest.alias("digest")).distinct().join(own, "digest", "left_anti"), "missing")
+    wanted = broadcast_if_small(missing)
+    hashed = rows.select(digest.alias("digest"), "text")
+    if wanted is not missing:  # few: other texts are not shuffled at all
+        hashed = hashed.join(wanted, "digest", "left_semi")
+    misses = hashed.groupBy("digest").agg(F.first("text").alias("text"))
+    if wanted is missing:
+        misses = misses.join(missing, "digest", "left_semi")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = encoder(tokenizer, len)
+        tool = encoder(tokenizer)
         for batch in batches:
-            counts = []
-            for t in batch["text"]:
-                kept = tool.words(t)
-                counts.append(len(tool.whole(t)) if kept is None else sum(kept))
+            texts = batch["text"].tolist()
+            counts = [int(n) for first, last in slices(texts) for n in tool.counts(texts[first:last])]
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts, "tokenizer": version})
-        tool.forget()
 
     misses.mapInPandas(encode, STORED).write.mode("append").parquet(cache)
+    discard(missing)
     counts = stored_counts(spark, cache).where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # written, so that both sides of a join are plain shuffles and a digest that owns a third of the rows can be split
+    counts = broadcast_if_small(materialize(counts, "counts"))
     out = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest.alias("digest")).join(counts, "digest", "left")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
