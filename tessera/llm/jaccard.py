@@ -34,14 +34,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.tokens import slices
 from tessera.operators.components import connected_components
 from tessera.storage import broadcast_if_small, discard, materialize
 
 U = np.uint64
+BLANKS = " \t\n\r\x0b\x0c"
 FEATURES = "doc_id string, n_shingles long, digest binary, sketch array<long>, keys array<long>"
 #: Documents and tokens in a block that a task holds, and in a part that it streams.
 BLOCK, TOKENS = 2048, 2_000_000
@@ -56,37 +60,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class Words:
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __init__(self, most: int = 150_000):
-        self.most, self.known = most, {}
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for w in {*words}:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), U, len(words))
-
-
-def shingle_set(text: str | None, size: int, words: Words) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of ``text``."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, U)
-    h = words.hashes(found)
-    if len(h) < size:
-        return mix(np.array([xxhash.xxh3_64_intdigest(b"\0".join(found))], U))
-    n = len(h) - size + 1
-    out = np.zeros(n, U)
-    for k in range(size):
-        out = mix(out * U(0x9E3779B97F4A7C15) + h[k : k + n] + U(k))
+def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
+    """64-bit hashes of the words of each text; only the distinct words of the batch are hashed."""
+    parts = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string()))))
+    coded = parts.values.dictionary_encode()
+    known = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pandas()), U, len(coded.dictionary))
+    ends = np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False))
+    own = np.split(known[coded.indices.to_numpy()], ends[:-1]) if texts else []
+    return [h if t and t.strip(BLANKS) else h[:0] for h, t in zip(own, texts, strict=True)]
+
+
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text's word hashes; fewer words than ``size`` are one shingle."""
+    if not len(words):
+        return words
+    width = min(size, len(words))
+    n = len(words) - width + 1
+    out = np.full(n, U(size - width))
+    for k in range(width):
+        out = mix(out * U(0x9E3779B97F4A7C15) + words[k : k + n] + U(k))
     return np.unique(out)
 
 
+def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
+    """The set of each text."""
+    for first, last in slices([t or "" for t in texts]):
+        yield from (shingle_set(h, size) for h in word_hashes(texts[first:last]))
+
+
 @lru_cache
 def geometry(percent: int) -> list[tuple[int, int, int, int]]:
     """Size groups ``(first, last, most differing tokens, bands)`` for a similarity of ``percent``."""
@@ -148,11 +149,10 @@ def _features(size: int, percent: int):
     names = [c.split()[0] for c in FEATURES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, seen = Words(), set()
+        seen: set[tuple] = set()
         for batch in batches:
             out, total = [], 0
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                tokens = shingle_set(text, size, words)
+            for doc, tokens in zip(batch["doc_id"], shingle_sets(batch["text"].tolist(), size), strict=True):
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
                 keys = dense = None
                 if digest and doc is not None and (digest, doc) not in seen:  # a repeated row adds nothing
@@ -172,11 +172,9 @@ def _features(size: int, percent: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
         for batch in batches:
             out, total = [], 0
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                tokens = shingle_set(text, size, words)
+            for doc, tokens in zip(batch["doc"], shingle_sets(batch["text"].tolist(), size), strict=True):
                 out.append((doc, tokens.tobytes()))
                 total += len(tokens)
                 if total > 1_000_000:

@@ -117,6 +117,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
                         names, ids, size = [], [], 0
         if names:
             yield part, names, ids
+        tool.forget()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         serial = 0

@@ -53,6 +53,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
             texts = batch["text"].tolist()
             counts = [int(n) for first, last in slices(texts) for n in tool.counts(texts[first:last])]
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts, "tokenizer": version})
+        tool.forget()
 
     misses.mapInPandas(encode, STORED).write.mode("append").parquet(cache)
     discard(missing)

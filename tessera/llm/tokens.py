@@ -43,6 +43,7 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
+        """Empty the table; a task calls this at its end, so that its worker has the memory for other work."""
         self.known: dict[str, int] = {}
         self.sizes, self.ids, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32), 0
         self.starts = np.zeros(1 << 12, np.int64)

@@ -104,7 +104,7 @@ def write_warc(pages: DataFrame, path: str, shard_bytes: int = 32 << 20, file_by
     marks = keepers(rows.select("page_id", "digest", "size"), least).distinct()
     marks = marks.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "digest", F.lit(0).cast("long").alias("size"), "keeper")
     both = rows.withColumn("keeper", F.lit(None).cast("long")).unionByName(marks).withColumn("shard", shard(F.coalesce("page_id", F.lit(-(2**63)))))
-    both = both.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", F.col("keeper").desc_nulls_last(), "url")
+    both = both.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "digest", F.col("keeper").desc_nulls_last(), "url")
     keys = {c: F.col(c).cast("string") for c in ("page_id", "keeper")}  # pandas turns a long with nulls into doubles
     both = both.withColumns(keys)
 
