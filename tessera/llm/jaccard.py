@@ -40,6 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.memory import release
 from tessera.llm.tokens import slices
 from tessera.operators.components import connected_components
 from tessera.storage import broadcast_if_small, discard, materialize
@@ -166,6 +167,7 @@ def _features(size: int, percent: int):
                     yield pd.DataFrame(out, columns=names)
                     out, total = [], 0
             yield pd.DataFrame(out, columns=names)
+        release()
 
     return run
 
@@ -181,6 +183,7 @@ def _sets(size: int):
                     yield pd.DataFrame(out, columns=["doc", "tokens"])
                     out, total = [], 0
             yield pd.DataFrame(out, columns=["doc", "tokens"])
+        release()
 
     return run
 
@@ -289,6 +292,7 @@ def _compare(percent: int, exact: bool):
                 yield pd.DataFrame(out, columns=["src", "dst"])
                 out = []
         yield pd.DataFrame(out + ended(), columns=["src", "dst"])
+        release()
 
     return run
 

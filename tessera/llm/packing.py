@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.memory import release
 from tessera.llm.tokens import encoder, slices
 
 WINDOW, SMALLEST, END = 1024, 128, 0
@@ -135,6 +136,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, text: str = "text", block_to
                     offset += length
             for i in range(0, len(rows), 50_000):
                 yield pd.DataFrame(rows[i : i + 50_000], columns=[c.split()[0] for c in PIECES.split(", ")])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.sortWithinPartitions("doc", "text").select(F.spark_partition_id().alias("part"), "doc", "text")

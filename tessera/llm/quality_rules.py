@@ -6,11 +6,15 @@ as they occur. Texts are processed whole; a document's counts need memory in pro
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.memory import release
+
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: A host whose shrunk failure rate is above this is rejected.
@@ -47,8 +51,10 @@ def features(text: str | Column) -> Column:
     """A struct of the base counts of ``text``."""
 
     @F.pandas_udf(FEATURES)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_features(x) for x in texts], columns=[c.split()[0] for c in FEATURES.split(", ")], dtype="int64")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([text_features(x) for x in texts], columns=[c.split()[0] for c in FEATURES.split(", ")], dtype="int64")
+        release()
 
     return run(text)
 

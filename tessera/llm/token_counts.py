@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.memory import release
 from tessera.llm.tokens import encoder, file_digest, slices
 from tessera.storage import broadcast_if_small, discard, empty, materialize
 
@@ -54,6 +55,7 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, text: str = "text"
             counts = [int(n) for first, last in slices(texts) for n in tool.counts(texts[first:last])]
             yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts, "tokenizer": version})
         tool.forget()
+        release()
 
     misses.mapInPandas(encode, STORED).write.mode("append").parquet(cache)
     discard(missing)

@@ -25,7 +25,7 @@ SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
 class WordEncoder:
     """Encodes whole texts as the library does; ``most`` words (and one batch) bound the table of known words, which begins anew when full."""
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
