@@ -36,7 +36,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,8 @@ BLANKS = " \t\n\r\x0b\x0c"
 FEATURES = "doc_id string, n_shingles long, digest binary, sketch array<long>, keys array<long>"
 #: Documents and tokens in a block that a task holds, and in a part that it streams.
 BLOCK, TOKENS = 2048, 2_000_000
+#: Bits of the table of repeated keys (16 MB); fuller tables let more single keys through.
+TABLE_BITS = 1 << 27
 #: Streamed documents that a task compares at once.
 CHUNK = 256
 
@@ -324,30 +328,71 @@ def _may_reach(percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (far * (100 + percent) <= (100 - percent) * (n + m))
 
 
-def _candidates(found: DataFrame, copies: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``(members, sketches)``: documents by key for keys of several documents, and their sketches; both written."""
+def key_bit(key: Column) -> Column:
+    """The place of a key in the bit table; the group in a key's low bits is left out."""
+    return F.pmod(F.shiftright(key, 6), F.lit(TABLE_BITS)) + 1
+
+
+def load_bits(path: str) -> np.ndarray:
+    """The bit table from the shared folder, read by each task that needs it."""
+    store, root = fs.FileSystem.from_uri(path)
+    bits = np.zeros(TABLE_BITS // 8, np.uint8)
+    for info in store.get_file_info(fs.FileSelector(root)):
+        if info.base_name.endswith(".parquet"):
+            with store.open_input_file(info.path) as f:
+                for row in pq.read_table(f).to_pylist():
+                    part = np.frombuffer(row["bits"], np.uint8)
+                    bits[(row["bucket"] - 1) * len(part) : row["bucket"] * len(part)] = part
+    return bits
+
+
+def _repeated_keys(path: str):
+    """Rows ``(key, doc)`` of keys whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = load_bits(path)
+        for batch in batches:
+            lists = batch["keys"]
+            keys = lists.flatten().to_numpy(zero_copy_only=False)
+            docs = np.repeat(batch["doc_id"].to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False))
+            place = (keys >> 6) % TABLE_BITS
+            on = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([pa.array(keys[on], pa.int64()), pa.array(docs[on], pa.int64())], names=["key", "doc"])
+        release()
+
+    return run
+
+
+def _candidates(found: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rest, sketches)``: by key the documents behind the key's least one, and the sketches of all these; both written.
+
+    Keys are counted first. Those that occur twice set the bits of a table of fixed size, and only keys whose bit is set
+    are shuffled with their documents; a bit that a single key shares lets that key through and costs a row, no more.
+    """
+    spark = found.sparkSession
     own = found.where("keys is not null").join(broadcast_if_small(copies.select(F.col("src").alias("doc_id")).distinct()), "doc_id", "left_anti")
-    keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
-    repeated = materialize(keys.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1").select("key"), "repeated")
-    members = materialize(keys.join(broadcast_if_small(repeated), "key"), "members")
-    discard(repeated)
+    repeated = own.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1")
+    place = key_bit(F.col("key"))
+    table = repeated.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    table = materialize(table, "bits")
+    members = materialize(own.select("doc_id", "keys").mapInArrow(_repeated_keys(table._scratch_path), "key long, doc long"), "members")
+    least = members.groupBy("key").agg(F.min("doc").alias("least"), F.count("*").alias("docs")).where("docs > 1").drop("docs")
+    rest = materialize(members.join(least, "key").where("least < doc"), "rest")
+    discard(table, members)
     sketched = found.where("keys is not null").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch", "digest")
-    some = materialize(members.select("doc").distinct(), "some")
+    some = materialize(rest.select("doc").union(rest.select("least")).distinct(), "some")
     sketches = materialize(sketched.join(broadcast_if_small(some), "doc", "left_semi").dropDuplicates(["doc", "digest"]).drop("digest"), "sketches")
     discard(some)
-    return members, sketches
+    return rest, sketches
 
 
-def _families(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _families(rest: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """``(doc, family)``, written: components of pairs whose sketches allow the similarity; no such pair lies across two."""
-    least = members.groupBy("key").agg(F.min("doc").alias("least"))
-    rest = materialize(members.join(least, "key").where("least < doc"), "rest")
     pairs = rest.select("doc", "least").distinct().join(sketches, "doc")
     pairs = pairs.join(sketches.select(F.col("doc").alias("least"), F.col("n").alias("m"), F.col("sketch").alias("other")), "least")
     near = materialize(pairs.where(_may_reach(percent)).select(F.col("doc").alias("src"), F.col("least").alias("dst")), "near")
     labels = connected_components(near).select(F.col("node").alias("doc"), F.col("component").alias("comp"))
     placed = materialize(rest.select("key", "doc").join(labels, "doc", "left").select("key", "doc", F.coalesce("comp", "doc").alias("comp")), "placed")
-    discard(rest)
     mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("docs")).where("low < high")
     mixed = mixed.select("key", _parts(F.col("docs"), F.lit(0)).alias("parts"))
     open_ = placed.join(mixed, "key").withColumn("part", _place("parts"))
@@ -409,11 +454,12 @@ def shingle_components(docs: DataFrame, size: int, percent: int, text: str = "te
     base = materialize(found.select("doc_id", "n_shingles"), "sizes")
     named = found.where("doc_id is not null and digest is not null")
     least = named.groupBy("digest").agg(F.min("doc_id").alias("dst"), F.max("doc_id").alias("most")).where("dst < most").drop("most")
+    least = broadcast_if_small(materialize(least, "least"))  # written, so that a hot digest's side of the join can be split
     copies = materialize(named.select("doc_id", "digest").join(least, "digest").where("doc_id > dst").select(F.col("doc_id").alias("src"), "dst").distinct(), "copies")
-    members, sketches = _candidates(found, copies, percent)
+    rest, sketches = _candidates(found, copies)
     discard(found)
-    families = _families(members, sketches, percent)
-    discard(members)
+    families = _families(rest, sketches, percent)
+    discard(rest)
     links = _verified(docs, text, families, sketches, size, percent)
     discard(families, sketches)
     labels = connected_components(copies.union(links))
