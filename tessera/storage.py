@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+#: Bytes of a row group of a scratch table: writers hold one each, and readers split files at them.
+ROW_GROUP_BYTES = 32 << 20
 #: Bytes that a broadcast side may take, by ``broadcast_if_small``.
 BROADCAST_BYTES = 32 << 20
 
@@ -35,7 +37,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back, so that later jobs reuse the files."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
