@@ -373,8 +373,9 @@ def _candidates(found: DataFrame, copies: DataFrame) -> tuple[DataFrame, DataFra
     own = found.where("keys is not null").join(broadcast_if_small(copies.select(F.col("src").alias("doc_id")).distinct()), "doc_id", "left_anti")
     repeated = own.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1")
     place = key_bit(F.col("key"))
-    table = repeated.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
-    table = materialize(table, "bits")
+    # dealt by bucket first, as partial bitmaps of every task would be larger than the places themselves
+    places = repeated.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).repartition("bucket")
+    table = materialize(places.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "bits")
     members = materialize(own.select("doc_id", "keys").mapInArrow(_repeated_keys(table._scratch_path), "key long, doc long"), "members")
     least = members.groupBy("key").agg(F.min("doc").alias("least"), F.count("*").alias("docs")).where("docs > 1").drop("docs")
     rest = materialize(members.join(least, "key").where("least < doc"), "rest")
