@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def _missing(of: Column, other: Column) -> Column:
-    """How many items of ``of`` are not in ``other``; the set of missing ones is made by hashing, and is small."""
-    gone = F.array_except(of, other)
-    return F.when(F.size(gone) == 0, 0).otherwise(F.size(F.filter(of, lambda x: F.array_contains(gone, x)))).cast("long")
+    """How many items of ``of`` are not in ``other``; the set of missing ones is made by hashing, once, and is small."""
+    count = lambda gone: F.when(F.size(gone) == 0, 0).otherwise(F.size(F.filter(of, lambda x: F.array_contains(gone, x))))
+    return F.get(F.transform(F.array(F.array_except(of, other)), count), 0).cast("long")
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str, items: str) -> DataFrame:
