@@ -41,8 +41,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become pseudonyms; ``n_chars`` follows the new text."""
     bound_batches(spark)
-    out = pii.pseudonymise(docs.withColumn("__was", F.col("text")), PII_KEY)
-    changed = F.when(F.col("text") != F.col("__was"), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    was = max(docs.columns, key=len) + "_"  # no other column has this name
+    out = pii.pseudonymise(docs.withColumn(was, F.col("text")), PII_KEY)
+    changed = F.when(F.col("text") != F.col(was), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(*docs.columns)
 
 
