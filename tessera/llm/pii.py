@@ -10,7 +10,12 @@ validation stays as it is, and so does all other text.
 A Feistel network over pairs (l, r) of Z_a x Z_b: each round adds a keyed hash of one half to the other, modulo a or b,
 so it is a bijection of a * b values whatever the hash; check digits are made anew.
 
-Null text stays null, empty text empty; other columns are passed through, whatever their names; nothing is shuffled.
+Of an IBAN the last 16 digits are permuted and the letters stay. The key is a literal of the plan, as it must be in a form
+without Python: keep plans and event logs as secret as the key.
+
+Null text stays null, empty text empty, and texts of any length are read whole; repeated rows and null ids keep their rows
+and equal values get equal pseudonyms in them; an empty table stays empty; other columns are passed through, whatever their
+names; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Days from 1900-01-01 to 2099-12-31.
+DAYS = 17 * 4297
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 IBAN = r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [0-9]{1,3})?"
 CREDENTIAL = r"(?<=(?:token|secret|password|api_key) ?[=:] ?[\"'])[0-9a-f]{16,128}(?=[\"'])"
@@ -120,8 +127,8 @@ def _ssn(key: str, m: Column) -> Column:
 def _date(key: str, m: Column, form: str) -> Column:
     day = F.try_to_timestamp(m, F.lit(form)).cast("date")
     days = F.datediff(day, F.lit("1900-01-01").cast("date"))
-    out = F.date_add(F.lit("1900-01-01").cast("date"), feistel(key, "date", days.cast("long"), 319, 229).cast("int"))
-    return F.when(days.between(0, 319 * 229 - 1), F.date_format(out, form))
+    out = F.date_add(F.lit("1900-01-01").cast("date"), feistel(key, "date", days.cast("long"), 17, 4297).cast("int"))
+    return F.when(days.between(0, DAYS - 1), F.date_format(out, form))
 
 
 def _phone(key: str, m: Column, keep: Column) -> Column:

@@ -4,9 +4,10 @@ Level 1 encodes the listed keys, level 2 the keys of the corpus that level 1 tak
 that level 2 takes wrongly, and so on until a level takes nothing wrongly. As the filters were built over the complete
 set of keys of the corpus, a key's answer (the parity of the first level that refuses it) is exact, without a join.
 
-Null urls and urls without ``://`` have an empty host and path and no keys. Filters are the only broadcast data;
-their size is fixed by ``max_bits`` for each level, and more listed keys than that serves are spread over several
-cascades by key hash.
+Null urls and urls without ``://`` have an empty host and path and no keys; urls of any length are read whole. Repeated
+rows and null ids keep their rows, an empty table gives none, other columns are not touched. Filters are the only broadcast
+data: ``max_bits`` bounds each level, more keys than that serves are spread over several cascades by key hash, and the whole
+takes about 1.44 * log2(universe / listed) + 10 bits for a listed key.
 """
 
 from __future__ import annotations
@@ -51,14 +52,19 @@ def positions(key: str, bits: int, hashes: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)), lambda i: F.pmod(h1 % bits + i * (h2 % bits), F.lit(bits)))
 
 
+def bits_for(n: int, rate: float) -> int:
+    """Bits of a Bloom filter of ``n`` keys that takes other keys wrongly at ``rate``."""
+    return int(-n * np.log(rate) / np.log(2) ** 2)
+
+
 def build_bloom(keys: DataFrame, rate: float, max_bits: int, level: int = 0) -> tuple[np.ndarray, int]:
     """A Bloom filter of ``keys(key)`` as 64-bit words and its number of hashes; the bits are set by an aggregation.
 
     Levels differ in length, so that keys which share their bits on one level part on another.
     """
     n = max(keys.count(), 1)
-    bits = min(max_bits // 64 * 64, max(1024, -(-int(-n * np.log(rate) / np.log(2) ** 2) // 64) * 64)) + 64 * level
-    hashes = max(1, min(16, round(bits / n * np.log(2))))
+    bits = min(max_bits // 64 * 64, max(1024, -(-bits_for(n, rate) // 64) * 64)) + 64 * level
+    hashes = max(1, min(32, round(bits / n * np.log(2))))
     spot = keys.select(F.explode(positions("key", bits, hashes)).alias("p"))
     words = spot.groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
     out = np.zeros(bits // 64, np.int64)
@@ -88,21 +94,26 @@ def refused_at(levels: list, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 
 class Cascade:
-    """Exact membership of ``listed(key)`` among the keys of ``universe(key)`` and the listed keys themselves."""
+    """Exact membership of ``listed(key)`` among the keys of ``universe(key)`` and the listed keys themselves.
+
+    Level 1 takes about as many other keys wrongly as there are listed ones, however large the universe is, so the levels
+    after it stay as small; ``rate`` is the most it may take and the rate of the later levels.
+    """
 
     def __init__(self, universe: DataFrame, listed: DataFrame, rate: float = 0.01, max_bits: int = 1 << 26):
         spark = universe.sparkSession
         listed = materialize(listed.select("key").where("key is not null").distinct(), "listed")
-        shards = max(1, -(-int(-max(listed.count(), 1) * np.log(rate) / np.log(2) ** 2) // max_bits))
         self.levels: list[list] = []
         others = materialize(universe.select("key").where("key is not null").distinct().join(listed, "key", "left_anti"), "unlisted")
-        self.shards = shards
+        n, unlisted = max(listed.count(), 1), max(others.count(), 1)
+        first = min(rate, n / unlisted)
+        shards = self.shards = max(1, -(-max(bits_for(n, first), bits_for(int(first * unlisted), rate)) // max_bits))
         for s in range(shards):
             mine = lambda df, s=s: df.where(F.pmod(F.xxhash64(F.lit(7), "key"), F.lit(shards)) == s)
             levels: list = []
             inside, outside = mine(listed), mine(others)
             while inside.limit(1).count():
-                levels.append(build_bloom(inside, rate, max_bits, len(levels)))
+                levels.append(build_bloom(inside, rate if levels else first, max_bits, len(levels)))
                 wrong = materialize(outside.where(self._passes(spark, levels[-1])), "wrong")
                 inside, outside = wrong, inside
                 if len(levels) > 64:

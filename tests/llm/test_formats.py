@@ -225,7 +225,7 @@ def brute_url(url):
     return host, path, best, ("allow" if best in ALLOW else "block") if best else ("block" if listed else "allow")
 
 
-URLS = [None, "", "x", "://", "http://", "http://NET/", "http://net", "http://a.Net/b?c://d/", "ftp://example.net/en/x", "http://notexample.net/en/", "http://x.example.com/de/", "http://x.example.com/de", "http://q.org/fr/#a", "http://q.org/en/", "http://spam-farm.example.com?x", "http://a.spam-farm.example.org/x\ny", "http://org//fr/", "http://..net/", "http://É.net/ü", "a://b://c/"]
+URLS = [None, "", "x", "://", "http://", "http://NET/", "http://net", "http://a.Net/b?c://d/", "ftp://example.net/en/x", "http://notexample.net/en/", "http://x.example.com/de/", "http://x.example.com/de", "http://q.org/fr/#a", "http://q.org/en/", "http://spam-farm.example.com?x", "http://a.spam-farm.example.org/x\ny", "http://org//fr/", "http://..net/", "http://É.net/ü", "a://b://c/", "http://" + "a." * 3000 + "net/" + "p" * 100000]
 
 
 def test_url_filters(spark):
@@ -249,6 +249,17 @@ def test_cascade_is_exact(spark):
         assert {r.key for r in got if r.m} == want - {"outside"}
 
 
+def test_cascade_of_few_keys_in_a_large_universe(spark):
+    from pyspark.sql import functions as F
+
+    keys = spark.range(200000).select(F.concat(F.lit("k"), "id").alias("key"))
+    cascade = url_filters.Cascade(keys, keys.where("key LIKE 'k1999%'").select("key"), 0.01, 4096)
+    # wrong answers of level 1 are about as many as listed keys, so later levels do not fill up
+    assert cascade.shards == 1 and len(cascade.levels[0]) < 8
+    got = keys.select("key", cascade.members(F.array("key"))[0].alias("m")).where("m").collect()
+    assert {r.key for r in got} == {f"k{i}" for i in range(200000) if str(i).startswith("1999")}
+
+
 def test_url_query(spark, sf):
     want = {(r.page_id, *brute_url(r.url)) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     assert {tuple(r) for r in QUERIES["op7_url_filters"](spark, sf).collect()} == want
