@@ -91,3 +91,9 @@ def repair_name(name: Column) -> Column:
         return names.map(repaired_name, na_action="ignore")
 
     return run(name)
+
+
+def first_source(file: Column, source: Column, *others: Column) -> Column:
+    """The first url that is there: the file's, the source if it is an http url, then ``others``; else empty."""
+    there = lambda c: F.when(c != "", c)
+    return F.coalesce(there(file), F.when(source.startswith("http"), source), *map(there, others), F.lit(""))
