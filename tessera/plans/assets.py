@@ -6,6 +6,10 @@ from pyspark.sql.window import Window
 from tessera.functions import text as T
 from tessera.operators import dedup as D
 from tessera.operators import diff
+from tessera.operators import lookup as L
+from tessera.operators import numbering as N
+from tessera.operators import reports as P
+from tessera.operators import screening as S
 from tessera.operators.components import connected_components
 from tessera.plans.base import query
 from tessera.storage import materialize
@@ -16,54 +20,49 @@ HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
 @query(f"SELECT page_id, bucket, dense_rank() OVER (ORDER BY bucket) AS rank FROM (SELECT page_id, {HOST} AS bucket FROM pages)")
 def bucket_assign(read):
     p = read("pages").select("page_id", F.regexp_extract("url", "://([^/?#]*)", 1).alias("bucket"))
-    ranks = p.select("bucket").distinct().withColumn("rank", F.row_number().over(Window.orderBy("bucket")))  # one row a bucket
-    return p.join(ranks, "bucket")
+    return N.bucket_ranks(p, "bucket").select("page_id", "bucket", "rank")
 
 
 @query("WITH c AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS u FROM pages), k AS (SELECT *, CASE WHEN u LIKE '%.html' THEN 'image' WHEN u LIKE '%/' THEN 'other' ELSE 'sidecar' END AS kind, lower(regexp_extract(u, '([^/]+)/?$', 1)) AS name FROM c) SELECT page_id, kind, CASE WHEN row_number() OVER (PARTITION BY name ORDER BY u, page_id) > 1 THEN name || '__' || row_number() OVER (PARTITION BY name ORDER BY u, page_id) ELSE name END AS name FROM k")
 def import_classify(read):
     u = F.regexp_replace("url", "[?#].*$", "")
-    k = read("pages").select("page_id", u.alias("u"), F.when(u.endswith(".html"), "image").when(u.endswith("/"), "other").otherwise("sidecar").alias("kind"), F.lower(F.regexp_extract(u, "([^/]+)/?$", 1)).alias("name"))
-    r = F.row_number().over(Window.partitionBy("name").orderBy("u", "page_id"))
-    return k.withColumn("r", r).select("page_id", "kind", F.when(F.col("r") > 1, F.concat_ws("__", "name", F.col("r").cast("string"))).otherwise(F.col("name")).alias("name"))
+    kind = S.first_class([("image", u.endswith(".html")), ("other", u.endswith("/"))], "sidecar")
+    k = read("pages").select("page_id", u.alias("u"), kind.alias("kind"), F.lower(F.regexp_extract(u, "([^/]+)/?$", 1)).alias("name"))
+    return N.distinct_names(k, "name", ["u", "page_id"], lambda n, i: N.serial(n, i, "__")).select("page_id", "kind", "name")
 
 
 @query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality FROM documents d LEFT JOIN labels l USING (doc_id)")
 def sidecar_join(read):
-    return read("documents").select("doc_id").join(read("labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"))
+    return L.attach(read("documents").select("doc_id"), read("labels"), "doc_id", "quality", -1)
 
 
-@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'orphan' WHEN l.doc_id IS NULL THEN 'missing' WHEN l.toxic = 1 THEN 'empty' ELSE 'ok' END AS status FROM (FROM documents WHERE doc_id % 4 <> 0) d FULL JOIN labels l ON d.doc_id = l.doc_id")
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'orphan' WHEN l.doc_id IS NULL THEN 'missing' WHEN l.toxic = 1 THEN 'empty' ELSE 'ok' END AS status FROM documents d FULL JOIN (SELECT doc_id, toxic FROM labels UNION ALL SELECT item_id + 1000000000, 0 FROM benchmark) l ON d.doc_id = l.doc_id")
 def pairing(read):
-    d = read("documents").where("doc_id % 4 <> 0").select("doc_id", F.lit(1).alias("d"))
-    j = d.join(read("labels").select("doc_id", "toxic", F.lit(1).alias("l")), "doc_id", "full_outer")
-    return j.select("doc_id", F.when(F.col("d").isNull(), "orphan").when(F.col("l").isNull(), "missing").when(F.col("toxic") == 1, "empty").otherwise("ok").alias("status"))
+    """Documents and labels; the benchmark's items are labels without a document."""
+    notes = read("labels").select("doc_id", "toxic").union(read("benchmark").select(F.col("item_id") + 1000000000, F.lit(0)))
+    return L.pair_status(read("documents"), notes, "doc_id", F.col("toxic") == 1)
 
 
 @query("SELECT origin, count(*) AS n FROM (SELECT CASE WHEN c_custkey IS NOT NULL THEN 'A+' WHEN o_orderkey IS NOT NULL THEN 'A' ELSE 'none' END AS origin FROM lineitem LEFT JOIN (FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey LEFT JOIN (FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey) GROUP BY 1")
 def backlookup(read):
-    o = read("orders").where("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey")
-    c = read("customer").where("c_acctbal > 0").select("c_custkey")
-    j = read("lineitem").select("l_orderkey").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-    origin = F.when(F.col("c_custkey").isNotNull(), "A+").when(F.col("o_orderkey").isNotNull(), "A").otherwise("none")
-    return j.groupBy(origin.alias("origin")).agg(F.count("*").alias("n"))
+    o, c = read("orders").where("o_orderstatus <> 'P'"), read("customer").where("c_acctbal > 0")
+    return L.trace_origin(read("lineitem").select("l_orderkey"), "l_orderkey", o, "o_orderkey", "o_custkey", c, "c_custkey").groupBy("origin").agg(F.count("*").alias("n"))
 
 
 @query("SELECT doc_id, array_to_string(list_filter([CASE WHEN n_chars < 300 THEN 'low-res' END, CASE WHEN lang NOT IN ('en', 'de', 'fr') THEN 'language' END, CASE WHEN NOT contains(text, chr(10)) THEN 'tiny-file' END], lambda x: x IS NOT NULL), '|') AS reasons, coalesce(list_filter([CASE WHEN n_chars < 300 THEN 'low-res' END, CASE WHEN lang NOT IN ('en', 'de', 'fr') THEN 'language' END, CASE WHEN NOT contains(text, chr(10)) THEN 'tiny-file' END], lambda x: x IS NOT NULL)[1], 'keep') AS decision FROM documents")
 def screen(read):
-    r = F.array_compact(F.array(F.when(F.col("n_chars") < 300, "low-res"), F.when(~F.col("lang").isin("en", "de", "fr"), "language"), F.when(~F.contains("text", F.lit("\n")), "tiny-file")))
-    return read("documents").select("doc_id", F.array_join(r, "|").alias("reasons"), F.coalesce(F.get(r, 0), F.lit("keep")).alias("decision"))
+    rules = {"low-res": F.col("n_chars") < 300, "language": ~F.col("lang").isin("en", "de", "fr"), "tiny-file": ~F.contains("text", F.lit("\n"))}
+    found = S.reasons(rules)
+    return read("documents").select("doc_id", F.array_join(found, "|").alias("reasons"), S.decide(found).alias("decision"))
 
 
-@query("WITH d AS (SELECT doc_id, md5(text) AS h, text[1:60] AS pre FROM documents), c AS (SELECT page_id, md5(html) AS h, row_number() OVER () AS x FROM pages), a AS (SELECT h, min(doc_id) AS ref, count(*) AS n FROM d WHERE doc_id % 2 = 0 GROUP BY 1), b AS (SELECT pre, min(doc_id) AS ref, count(*) AS n FROM d WHERE doc_id % 2 = 0 GROUP BY 1) SELECT d.doc_id, CASE WHEN a.n = 1 THEN 'md5' WHEN a.n > 1 THEN 'ambiguous' WHEN b.n = 1 THEN 'prefix' WHEN b.n > 1 THEN 'ambiguous' ELSE 'none' END AS by, CASE WHEN a.n = 1 THEN a.ref WHEN a.n IS NULL AND b.n = 1 THEN b.ref END AS ref FROM d LEFT JOIN a USING (h) LEFT JOIN b USING (pre) WHERE d.doc_id % 2 = 1")
+@query("WITH d AS (SELECT doc_id, md5(text) AS h, md5(regexp_replace(text, '[^a-zA-Z]+', '', 'g')) AS g FROM documents), c AS (SELECT doc_id, h, g FROM d SEMI JOIN labels USING (doc_id) UNION ALL SELECT item_id + 1000000000, md5(text), md5(regexp_replace(text, '[^a-zA-Z]+', '', 'g')) FROM benchmark), a AS (SELECT h, min(doc_id) AS ref, count(*) AS n FROM c GROUP BY 1), b AS (SELECT g, min(doc_id) AS ref, count(*) AS n FROM c GROUP BY 1) SELECT d.doc_id, CASE WHEN a.n = 1 THEN 'md5' WHEN a.n > 1 THEN 'ambiguous' WHEN b.n = 1 THEN 'letters' WHEN b.n > 1 THEN 'ambiguous' ELSE 'none' END AS by, CASE WHEN a.n = 1 THEN a.ref WHEN a.n IS NULL AND b.n = 1 THEN b.ref END AS ref FROM d LEFT JOIN a USING (h) LEFT JOIN b USING (g)")
 def cascade_match(read):
-    """Odd documents against a catalog of the even ones: by digest, then by opening; more than one hit is ambiguous."""
-    d = read("documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"), F.substring("text", 1, 60).alias("pre"))
-    even = d.where("doc_id % 2 = 0")
-    by = lambda k, p: even.groupBy(k).agg(F.min("doc_id").alias(p + "r"), F.count("*").alias(p + "n"))
-    j = d.where("doc_id % 2 = 1").join(by("h", "a"), "h", "left").join(by("pre", "b"), "pre", "left")
-    route = F.when(F.col("an") == 1, "md5").when(F.col("an") > 1, "ambiguous").when(F.col("bn") == 1, "prefix").when(F.col("bn") > 1, "ambiguous").otherwise("none")
-    return j.select("doc_id", route.alias("by"), F.when(F.col("an") == 1, F.col("ar")).when(F.col("an").isNull() & (F.col("bn") == 1), F.col("br")).alias("ref"))
+    """Documents against a catalog of the labelled ones and the benchmark: by digest, then by the digest of their letters."""
+    keys = lambda df, i: df.select(i.alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("h"), F.md5(F.regexp_replace("text", "[^a-zA-Z]+", "").cast("binary")).alias("g"))
+    d = keys(read("documents"), F.col("doc_id"))
+    catalog = d.join(read("labels").select("doc_id"), "doc_id", "left_semi").union(keys(read("benchmark"), F.col("item_id") + 1000000000))
+    return L.cascade_match(d, catalog, "doc_id", [("md5", "h"), ("letters", "g")]).select("doc_id", "by", "ref")
 
 
 #: Embeddings with near copies: for every fifth vector one more, its first vec_id % 4 elements negated.
@@ -92,7 +91,7 @@ def corr_pairs(read):
     return D.correlated_pairs(planted(read), "vec_id", "e", "label", 0.4).withColumn("corr", F.round("corr", 6))
 
 
-@query(SIG + "SELECT vec_id, round(e[1], 9) AS first, round(list_sum(e), 6) + 0.0 AS total FROM s".replace("round(list_sum(e), 6) + 0.0 AS total", "round(list_inner_product(e, e), 6) AS norm"))
+@query(SIG + "SELECT vec_id, round(e[1], 9) AS first, round(list_inner_product(e, e), 6) AS norm FROM s")
 def l2_signature(read):
     s = planted(read).select("vec_id", D.signature(F.col("e")).alias("e"))
     return s.select("vec_id", F.round(F.get("e", 0), 9).alias("first"), F.round(D.dot(F.col("e"), F.col("e")), 6).alias("norm"))
@@ -144,73 +143,62 @@ def nms(read):
 
 @query("SELECT md5(text) AS h, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def exact_dups(read):
-    return read("documents").groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return P.exact_groups(read("documents"), "doc_id", "text")
 
 
 @query("WITH f AS (SELECT source, doc_id, row_number() OVER (PARTITION BY md5(text), n_chars ORDER BY source, doc_id) AS r FROM documents) SELECT source, count(*) FILTER (WHERE r = 1) AS uniq, count(*) FILTER (WHERE r > 1) AS dup FROM f GROUP BY 1 HAVING count(*) FILTER (WHERE r = 1) > 0")
 def bucket_dedup(read):
-    d = read("documents").select("source", "doc_id", F.md5(F.col("text").cast("binary")).alias("h"), "n_chars")
-    first = d.groupBy("h", "n_chars").agg(F.min(F.struct("source", "doc_id")).alias("at"))
-    uniq = first.groupBy("at.source").agg(F.count("*").alias("uniq"))
-    return d.groupBy("source").agg(F.count("*").alias("n")).join(uniq, "source").select("source", "uniq", (F.col("n") - F.col("uniq")).alias("dup"))
+    d = read("documents").withColumn("h", F.md5(F.col("text").cast("binary")))
+    return P.unique_by_bucket(d, "source", "doc_id", ["h", "n_chars"])
 
 
 @query("SELECT source, lang, count(*) AS n FROM documents WHERE source NOT IN ('src1') GROUP BY 1, 2")
 def bucket_counts(read):
-    return read("documents").where("source <> 'src1'").groupBy("source", "lang").agg(F.count("*").alias("n"))
+    return P.bucket_counts(read("documents"), ["source", "lang"], F.col("source") == "src1")
 
 
 @query("SELECT source, count(*) AS n, count(*) FILTER (WHERE l.doc_id IS NULL) AS missing, min(n_chars) AS low, max(n_chars) AS high, round(avg(n_chars), 1) AS mean, count(*) FILTER (WHERE n_chars < 300) AS under FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY 1")
 def health(read):
-    j = read("documents").select("doc_id", "source", "n_chars").join(read("labels").select("doc_id", F.lit(1).alias("l")), "doc_id", "left")
-    n = lambda c: F.count(F.when(c, 1))
-    return j.groupBy("source").agg(F.count("*").alias("n"), n(F.col("l").isNull()).alias("missing"), F.min("n_chars").alias("low"), F.max("n_chars").alias("high"), F.round(F.avg("n_chars"), 1).alias("mean"), n(F.col("n_chars") < 300).alias("under"))
+    j = read("documents").select("doc_id", "source", "n_chars").join(read("labels").select("doc_id", F.lit(True).alias("l")), "doc_id", "left")
+    return P.caption_health(j, "source", "n_chars", F.col("l"), 300)
 
 
 @query("SELECT source, lang, count(*) AS n, count(*) FILTER (WHERE regexp_replace(text, '[^a-zA-Z]', '', 'g') = '') AS emptied FROM documents GROUP BY 1, 2")
 def origin_counts(read):
-    return read("documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.count(F.when(~F.col("text").rlike("[a-zA-Z]"), 1)).alias("emptied"))
+    return P.bucket_counts(read("documents"), ["source", "lang"], emptied=~F.col("text").rlike("[a-zA-Z]"))
 
 
 @query("SELECT s.event_type, count(e.event_id) AS queried, coalesce(count(e.event_id) FILTER (WHERE value > 50) / nullif(count(e.event_id), 0), 0) AS rate FROM (VALUES ('click'), ('error'), ('view'), ('never')) s(event_type) LEFT JOIN events e USING (event_type) GROUP BY 1")
 def hit_rate(read):
-    e = read("events").groupBy("event_type").agg(F.count("*").alias("queried"), F.count(F.when(F.col("value") > 50, 1)).alias("hit"))
-    fixed = e.sparkSession.createDataFrame([(x,) for x in ("click", "error", "view", "never")], "event_type string")
-    return F.broadcast(fixed).join(e, "event_type", "left").select("event_type", F.coalesce("queried", F.lit(0).cast("long")).alias("queried"), F.coalesce(F.try_divide("hit", "queried"), F.lit(0.0)).alias("rate"))
+    return P.hit_rates(read("events"), "event_type", "event_id", F.col("value") > 50, ["click", "error", "view", "never"])
 
 
 @query("SELECT 'diff' || k AS bucket, count(*) AS families, max(greatest(1, round_even(8 / sqrt(k), 0)))::BIGINT AS repeats FROM (SELECT o_custkey, count(*) AS k FROM orders GROUP BY 1) GROUP BY 1")
 def group_weights(read):
-    k = read("orders").groupBy("o_custkey").agg(F.count("*").alias("k"))
-    w = k.groupBy("k").agg(F.count("*").alias("families"))
-    return w.select(F.concat(F.lit("diff"), F.col("k").cast("string")).alias("bucket"), "families", F.greatest(F.lit(1), F.bround(F.lit(8) / F.sqrt("k"), 0)).cast("long").alias("repeats"))
+    return P.group_weights(read("orders"), "o_custkey", "diff", 8)
 
 
 @query("WITH b AS (SELECT source, count(*) AS n FROM documents GROUP BY 1), t AS (SELECT max(n) FILTER (WHERE source <> 'src1') AS big FROM b) SELECT source, n, CASE WHEN source = 'src1' THEN least(8, greatest(CASE WHEN n < 20 THEN 10 WHEN n < 60 THEN 5 WHEN n < 200 THEN 2 ELSE 1 END, ceil(big / n)))::BIGINT ELSE 1 END AS repeats FROM b, t")
 def sample_plan(read):
-    b = read("documents").groupBy("source").agg(F.count("*").alias("n"))
-    big = b.where("source <> 'src1'").agg(F.max("n")).first()[0]  # one number
-    base = F.when(F.col("n") < 20, 10).when(F.col("n") < 60, 5).when(F.col("n") < 200, 2).otherwise(1)
-    return b.withColumn("repeats", F.when(F.col("source") == "src1", F.least(F.lit(8), F.greatest(base, F.ceil(F.lit(big) / F.col("n"))))).otherwise(1).cast("long"))
+    return P.balance_plan(read("documents"), "source", F.col("source") == "src1", [(20, 10), (60, 5), (200, 2)], 8)
 
 
 @query("WITH j AS (SELECT source, doc_id, l.doc_id IS NOT NULL AS marked FROM documents d LEFT JOIN labels l USING (doc_id)), s AS (SELECT source FROM j GROUP BY 1 HAVING avg(marked::INT) >= 0.4) SELECT source, doc_id FROM j SEMI JOIN s USING (source) WHERE NOT marked")
 def majority_gap(read):
-    j = read("documents").select("source", "doc_id").join(read("labels").select("doc_id", F.lit(1).alias("m")), "doc_id", "left")
-    s = j.groupBy("source").agg((F.count("m") / F.count("*")).alias("share")).where("share >= 0.4").select("source")
-    return j.where("m IS NULL").join(s, "source", "left_semi").select("source", "doc_id")
+    j = read("documents").select("source", "doc_id").join(read("labels").select("doc_id", F.lit(True).alias("m")), "doc_id", "left")
+    return P.majority_gap(j, "source", F.col("m"), 0.4).select("source", "doc_id")
 
 
 @query("WITH b AS (SELECT source, sum(n_chars)::BIGINT AS bytes FROM documents GROUP BY 1) SELECT source, bytes, CASE WHEN bytes >= 1048576 THEN 'MB' WHEN bytes >= 1024 THEN 'KB' ELSE 'B' END AS unit FROM b")
 def bytes_report(read):
-    b = read("documents").groupBy("source").agg(F.sum("n_chars").alias("bytes"))
-    return b.withColumn("unit", F.element_at(F.split(T.human_bytes(F.col("bytes")), " "), 2))
+    return P.bytes_report(read("documents"), "source", "n_chars")
 
 
-@query("SELECT c_nationkey AS dataset, count(DISTINCT user_id) AS members, array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE value > 20)), '|') AS stages FROM events JOIN customer ON user_id = c_custkey GROUP BY 1")
+@query("SELECT coalesce(c_nationkey, -1) AS dataset, count(DISTINCT user_id) AS members, coalesce(array_to_string(list_sort(list(DISTINCT event_type) FILTER (WHERE value > 20)), '|'), '') AS stages FROM events LEFT JOIN customer ON user_id = c_custkey GROUP BY 1")
 def overview(read):
-    j = read("events").join(read("customer"), F.col("user_id") == F.col("c_custkey"))
-    return j.groupBy(F.col("c_nationkey").alias("dataset")).agg(F.count_distinct("user_id").alias("members"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("value") > 20, F.col("event_type")))), "|").alias("stages"))
+    """Users by the nation of the customer of the same number; users that are no customer are dataset -1."""
+    j = read("events").join(read("customer"), F.col("user_id") == F.col("c_custkey"), "left").withColumn("dataset", F.coalesce("c_nationkey", F.lit(-1)))
+    return P.overview(j, "dataset", "user_id", F.when(F.col("value") > 20, F.col("event_type")))
 
 
 @query("SELECT md5(text) AS h, arg_max(doc_id, {'l': length(lang || source), 'n': n_chars, 'i': -doc_id}) AS keeper, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -221,21 +209,19 @@ def dup_keeper(read):
 
 @query("SELECT md5(text) AS h, min(doc_id) AS keeper, array_to_string(list_sort(list(DISTINCT source)), ',') AS pooled FROM documents GROUP BY 1 HAVING count(DISTINCT source) > 1")
 def tag_pool(read):
-    g = read("documents").groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.min("doc_id").alias("keeper"), F.array_sort(F.collect_set("source")).alias("p"))
-    return g.where(F.size("p") > 1).select("h", "keeper", F.array_join("p", ",").alias("pooled"))
+    return P.pool_tags(read("documents"), "doc_id", "text", "source")
 
 
 @query("SELECT l_partkey * 2 AS k, CASE WHEN l_discount > 0.08 THEN 'patch' END AS decision FROM lineitem WHERE l_discount > 0.08 UNION SELECT l_suppkey * 2 + 1, 'patch' FROM lineitem WHERE l_discount > 0.08")
 def processed_set(read):
-    p = read("lineitem").where("l_discount > 0.08")
-    return p.select((F.col("l_partkey") * 2).alias("k"), F.lit("patch").alias("decision")).union(p.select(F.col("l_suppkey") * 2 + 1, F.lit("patch"))).distinct()
+    return L.processed_keys(read("lineitem"), [F.col("l_partkey") * 2, F.col("l_suppkey") * 2 + 1], F.when(F.col("l_discount") > 0.08, "patch"))
 
 
-@query("SELECT e.event_id, coalesce(c.c_custkey, o.c_custkey) AS name FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id AND c.c_custkey % 2 = 0 LEFT JOIN (SELECT unnest([c_custkey + 1, c_custkey + 3]) AS old, min(c_custkey) AS c_custkey FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1) o ON o.old = e.user_id".replace("SELECT unnest([c_custkey + 1, c_custkey + 3]) AS old, min(c_custkey) AS c_custkey FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1", "SELECT old, min(c_custkey) AS c_custkey FROM (SELECT unnest([c_custkey + 1, c_custkey + 3]) AS old, c_custkey FROM customer WHERE c_custkey % 2 = 0) GROUP BY 1"))
+@query("SELECT e.event_id, coalesce(c.name, o.name) AS name FROM events e LEFT JOIN (SELECT c_custkey * 2 AS name FROM customer) c ON c.name = e.user_id LEFT JOIN (SELECT old, min(name) AS name FROM (SELECT unnest([c_custkey * 2 + 1, c_custkey * 2 + 3]) AS old, c_custkey * 2 AS name FROM customer) GROUP BY 1) o ON o.old = e.user_id")
 def old_name_lookup(read):
-    c = read("customer").where("c_custkey % 2 = 0").select("c_custkey")
-    old = c.select(F.explode(F.array(F.col("c_custkey") + 1, F.col("c_custkey") + 3)).alias("user_id"), "c_custkey").groupBy("user_id").agg(F.min("c_custkey").alias("o"))
-    return read("events").join(c, F.col("user_id") == F.col("c_custkey"), "left").join(old, "user_id", "left").select("event_id", F.coalesce("c_custkey", "o").alias("name"))
+    """Customers go by even numbers and were known by two odd ones, which the next customer shares."""
+    c = read("customer").select((F.col("c_custkey") * 2).alias("name"), F.array(F.col("c_custkey") * 2 + 1, F.col("c_custkey") * 2 + 3).alias("former"))
+    return L.current_name(read("events").select("event_id", "user_id"), "user_id", c, "name", "former").select("event_id", F.col("current").alias("name"))
 
 
 WORDS = "list_filter(string_split(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' '), lambda x: x <> '')"
@@ -275,27 +261,28 @@ def input_unchanged(read):
     return read("documents").groupBy("source").agg(F.every(F.md5(F.col("text").cast("binary")) == F.md5(now.cast("binary"))).alias("unchanged"))
 
 
-@query("WITH a AS (SELECT user_id AS k, max(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1), b AS (SELECT user_id AS k, max(value) AS v FROM events WHERE event_type = 'view' AND user_id % 7 <> 0 GROUP BY 1) SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN '-' WHEN a.k IS NULL THEN '+' ELSE 'changed' END AS op FROM a FULL JOIN b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
+@query("WITH a AS (SELECT user_id AS k, max(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1), b AS (SELECT user_id AS k, max(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1 UNION ALL SELECT c_custkey + 1000000000, c_acctbal FROM customer) SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN '-' WHEN a.k IS NULL THEN '+' ELSE 'changed' END AS op FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v IS DISTINCT FROM b.v")
 def kv_diff(read):
-    side = lambda t, v: read("events").where(t).groupBy(F.col("user_id").alias("k")).agg(F.max("value").alias(v))
-    j = side("event_type = 'click'", "a").join(side("event_type = 'view' AND user_id % 7 <> 0", "b"), "k", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
-    return j.select("k", F.when(F.col("b").isNull(), "-").when(F.col("a").isNull(), "+").otherwise("changed").alias("op"))
+    """The largest value of each user's clicks against that of the views, and the customers as keys that were added."""
+    side = lambda t: read("events").where(F.col("event_type") == t).groupBy(F.col("user_id").alias("k")).agg(F.max("value").alias("v"))
+    added = read("customer").select(F.col("c_custkey") + 1000000000, F.col("c_acctbal").cast("double"))
+    return L.value_diff(side("click"), side("view").union(added), "k", "v")
 
 
 @query("SELECT event_id, regexp_replace(props || strftime(ts, '%Y-%m-%d'), '[0-9]{4}-[0-9]{2}-[0-9]{2}', '') = props AS stable FROM events")
 def stable_equal(read):
-    return read("events").select("event_id", (F.regexp_replace(F.concat("props", F.date_format("ts", "yyyy-MM-dd")), "[0-9]{4}-[0-9]{2}-[0-9]{2}", "") == F.col("props")).alias("stable"))
+    dated = F.concat("props", F.date_format("ts", "yyyy-MM-dd"))
+    return read("events").select("event_id", L.equal_but(dated, F.col("props"), "[0-9]{4}-[0-9]{2}-[0-9]{2}").alias("stable"))
 
 
-@query("WITH RECURSIVE e AS (SELECT l_orderkey AS a, l_partkey + 10000000 AS b FROM lineitem WHERE l_discount > 0.085 AND l_tax > 0.07), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, c) AS (SELECT a, a FROM s UNION SELECT s.b, r.c FROM r JOIN s ON s.a = r.node) SELECT node, min(c) AS component FROM r GROUP BY 1")
+@query("WITH RECURSIVE s AS (SELECT l_orderkey AS a, l_partkey + 10000000 AS b FROM lineitem UNION SELECT l_partkey + 10000000, l_orderkey FROM lineitem), r(node, c) USING KEY (node) AS (SELECT DISTINCT a, a FROM s UNION SELECT s.b, min(r.c) FROM r JOIN s ON s.a = r.node JOIN recurring.r k ON k.node = s.b GROUP BY s.b, k.c HAVING min(r.c) < k.c) SELECT node, c AS component FROM r")
 def components(read):
-    e = read("lineitem").where("l_discount > 0.085 AND l_tax > 0.07").select(F.col("l_orderkey").alias("src"), (F.col("l_partkey") + 10000000).alias("dst"))
-    return connected_components(e)
+    return connected_components(read("lineitem").select(F.col("l_orderkey").alias("src"), (F.col("l_partkey") + 10000000).alias("dst")))
 
 
 @query()
 def components_all(read):
-    """Components over every line item, orders as even and parts as odd nodes; ``components`` is the part that its SQL can hold."""
+    """Components over every line item, orders as even and parts as odd nodes."""
     return connected_components(read("lineitem").select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")))
 
 

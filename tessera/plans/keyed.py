@@ -5,7 +5,11 @@ from pyspark.sql.window import Window
 
 from tessera.functions import text as T
 from tessera.operators import keyed as K
+from tessera.operators import lookup as L
+from tessera.operators import numbering as N
 from tessera.operators import ranking as R
+from tessera.operators import reports as P
+from tessera.operators import screening as S
 from tessera.plans.base import query
 
 D = lambda c: F.date_format(c, "yyyy-MM-dd")
@@ -48,7 +52,7 @@ def ledger_append(read):
     return K.append_ledger(K.first_by_key(old, keys, ["ts", "event_id"]), new, keys, ["ts", "event_id"]).drop("ts")
 
 
-@query("SELECT event_id, ts::VARCHAR[0:10] AS day, (CASE WHEN event_id % 3 = 0 THEN strftime(make_timestamp(epoch(ts)::BIGINT * 1000000), '%Y-%m-%d') WHEN event_id % 3 = 1 THEN strftime(ts, '%Y-%m-%d') ELSE coalesce(event_type[1:10], '') END) AS normal FROM events".replace("ts::VARCHAR[0:10]", "strftime(ts, '%Y-%m-%d')"))
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, (CASE WHEN event_id % 3 = 0 THEN strftime(make_timestamp(epoch(ts)::BIGINT * 1000000), '%Y-%m-%d') WHEN event_id % 3 = 1 THEN strftime(ts, '%Y-%m-%d') ELSE coalesce(event_type[1:10], '') END) AS normal FROM events")
 def date_normalise(read):
     e = read("events")
     raw = F.when(F.col("event_id") % 3 == 0, F.unix_timestamp("ts").cast("string")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.col("event_type"))
@@ -62,9 +66,8 @@ def url_ext(read):
 
 @query("WITH s AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(p_brand || ' ' || p_name, '[\\\\/:*?\"<>|#]', '_', 'g'), '\\s+', ' ', 'g'))[1:80] AS s FROM part), n AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY p_partkey) AS r FROM s) SELECT p_partkey, CASE WHEN r > 1 THEN s || ' (' || r || ')' ELSE s END AS name FROM n")
 def safe_name(read):
-    s = read("part").select("p_partkey", T.safe_name(F.concat_ws(" ", "p_brand", "p_name")).alias("s"))
-    r = F.row_number().over(Window.partitionBy("s").orderBy("p_partkey"))
-    return s.withColumn("r", r).select("p_partkey", F.when(F.col("r") > 1, F.concat("s", F.lit(" ("), F.col("r").cast("string"), F.lit(")"))).otherwise(F.col("s")).alias("name"))
+    s = read("part").select("p_partkey", T.safe_name(F.concat_ws(" ", "p_brand", "p_name")).alias("name"))
+    return N.distinct_names(s, "name", ["p_partkey"], lambda n, i: N.serial(n, i, " (", ")")).select("p_partkey", "name")
 
 
 @query("SELECT user_id, count(*) AS n, min(event_id) AS low FROM events WHERE event_id >= 1000 AND ts >= TIMESTAMP '2024-01-05' GROUP BY 1")
@@ -102,7 +105,8 @@ def list_tokens(read):
 @query("SELECT page_id, CASE WHEN url LIKE '%spam%' OR url LIKE '%track%' THEN 'junk' WHEN regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.net' THEN 'net' WHEN regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.org' THEN 'org' ELSE 'unknown' END AS bucket FROM pages")
 def source_class(read):
     host = F.regexp_extract("url", "://([^/?#]*)", 1)
-    return read("pages").select("page_id", F.when(F.col("url").contains("spam") | F.col("url").contains("track"), "junk").when(host.endswith(".net"), "net").when(host.endswith(".org"), "org").otherwise("unknown").alias("bucket"))
+    junk = F.col("url").contains("spam") | F.col("url").contains("track")
+    return read("pages").select("page_id", S.first_class([("junk", junk), ("net", host.endswith(".net")), ("org", host.endswith(".org"))], "unknown").alias("bucket"))
 
 
 @query("SELECT page_id, coalesce(nullif(regexp_extract(url, '/([0-9]+)\\.html', 1), ''), nullif(regexp_extract(url, '/([0-9]+)[/?#]', 1), ''), nullif(regexp_extract(url, '/([0-9]+)$', 1), '')) AS ext_id, regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]+)/?$', 1) AS base FROM pages")
@@ -118,8 +122,8 @@ def systematic_sample(read):
 
 @query("SELECT gate, count(*) AS n FROM (SELECT CASE WHEN l_discount > 0.08 THEN 'drop' WHEN l_discount >= 0.03 THEN 'patch' WHEN l_discount > 0 THEN 'note' ELSE 'keep' END AS gate FROM lineitem) GROUP BY 1")
 def ratio_gate(read):
-    d = F.col("l_discount")
-    return read("lineitem").select(F.when(d > 0.08, "drop").when(d >= 0.03, "patch").when(d > 0, "note").otherwise("keep").alias("gate")).groupBy("gate").agg(F.count("*").alias("n"))
+    gate = S.ratio_gate(F.col("l_discount"), [("drop", 0.08, True), ("patch", 0.03, False), ("note", 0, True)], "keep")
+    return read("lineitem").groupBy(gate.alias("gate")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, p_name AS name FROM part")
@@ -166,15 +170,12 @@ def retention(read):
 
 @query("WITH b AS (SELECT p_partkey, p_name AS k, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS r FROM part) SELECT p_partkey, CASE WHEN r > 1 THEN k || '#' || r ELSE k END AS key FROM b")
 def unique_key(read):
-    r = F.row_number().over(Window.partitionBy("p_name").orderBy("p_partkey"))
-    return read("part").withColumn("r", r).select("p_partkey", F.when(F.col("r") > 1, F.concat_ws("#", "p_name", F.col("r").cast("string"))).otherwise(F.col("p_name")).alias("key"))
+    return N.distinct_names(read("part").select("p_partkey", "p_name"), "p_name", ["p_partkey"], lambda n, i: N.serial(n, i, "#"), "key").select("p_partkey", "key")
 
 
 @query("SELECT doc_id, first FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY md5(text)) AS first FROM documents) WHERE doc_id <> first")
 def dup_caption(read):
-    d = read("documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
-    first = d.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return d.join(first, "h").where("doc_id <> first").select("doc_id", "first")
+    return P.later_copies(read("documents"), "doc_id", "text")
 
 
 @query("SELECT event_id, user_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 30")
@@ -182,15 +183,16 @@ def history_cap(read):
     return K.history_tail(read("events"), "user_id", [F.col("ts").desc(), F.col("event_id").desc()], 30).select("event_id", "user_id")
 
 
-@query("SELECT coalesce(o.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'missing' WHEN o.k IS NULL THEN 'adopted' ELSE 'known' END AS status FROM (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 5 <> 0) o FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) l ON o.k = l.k")
+@query("SELECT coalesce(o.k, l.k) AS k, CASE WHEN l.k IS NULL THEN 'missing' WHEN o.k IS NULL THEN 'adopted' ELSE 'known' END AS status FROM (SELECT o_orderkey AS k FROM orders) o FULL JOIN (SELECT l_orderkey AS k FROM lineitem UNION SELECT p_partkey + 1000000000 FROM part) l ON o.k = l.k")
 def reconcile(read):
-    """Orders that are known (every fifth is not) against those that have lines."""
-    return K.reconcile(read("orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k")), read("lineitem").select(F.col("l_orderkey").alias("k")), ["k"])
+    """Orders that are known against those that have lines; the parts are present and known to nobody."""
+    present = read("lineitem").select(F.col("l_orderkey").alias("k")).union(read("part").select(F.col("p_partkey") + 1000000000))
+    return K.reconcile(read("orders").select(F.col("o_orderkey").alias("k")), present, ["k"])
 
 
 @query("SELECT n_nationkey AS k FROM nation INTERSECT SELECT s_suppkey FROM supplier")
 def clash(read):
-    return read("nation").select(F.col("n_nationkey").alias("k")).intersect(read("supplier").select(F.col("s_suppkey").alias("k")))
+    return L.clashing(read("nation").select(F.col("n_nationkey").alias("k")), read("supplier").select(F.col("s_suppkey").alias("k")), "k")
 
 
 @query("SELECT user_id, max_by(value, event_id) FILTER (WHERE value IS NOT NULL) AS value, max_by(event_type, event_id) AS event_type, array_to_string(list_sort(list(DISTINCT props)), '|') AS props, count(*) AS n_changes FROM events GROUP BY 1")
@@ -205,7 +207,7 @@ def rekey_fold(read):
     return folded.withColumn("old_names", F.array_join(F.col("old_names").cast("array<string>"), "|"))
 
 
-@query("SELECT user_id, event_type AS state FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'".replace("QUALIFY", "QUALIFY"))
+@query("SELECT user_id, event_type AS state FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'")
 def active_set(read):
     """Users whose last event is no exclusion (error)."""
     last = K.last_event(read("events").select("user_id", "event_type", "ts", "event_id"), "user_id", ["ts", "event_id"])
@@ -220,26 +222,25 @@ def stage_status(read):
     return last.withColumn("stale", F.coalesce(before > F.col("last"), F.lit(False)))
 
 
-@query("SELECT coalesce(o_orderkey, l_orderkey) AS k, CASE WHEN o_orderkey IS NULL THEN 'prune' WHEN l_orderkey IS NULL THEN 'build' WHEN built >= o_orderdate AND size <= 150 THEN 'skip' ELSE 'rebuild' END AS plan FROM (FROM orders WHERE o_orderkey % 7 <> 0) o FULL JOIN (SELECT l_orderkey, max(l_shipdate) AS built, sum(l_quantity) AS size FROM lineitem GROUP BY 1) l ON o_orderkey = l_orderkey")
+@query("SELECT coalesce(o_orderkey, l_orderkey) AS k, CASE WHEN o_orderkey IS NULL THEN 'prune' WHEN l_orderkey IS NULL THEN 'build' WHEN built >= o_orderdate AND size <= 150 THEN 'skip' ELSE 'rebuild' END AS plan FROM orders FULL JOIN (SELECT l_orderkey, max(l_shipdate) AS built, sum(l_quantity) AS size FROM lineitem GROUP BY 1 UNION ALL SELECT p_partkey + 1000000000, NULL, NULL FROM part) l ON o_orderkey = l_orderkey")
 def artifact_plan(read):
-    built = read("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("built"), F.sum("l_quantity").alias("size"))
-    j = read("orders").where("o_orderkey % 7 <> 0").join(built, F.col("o_orderkey") == F.col("l_orderkey"), "full_outer")
-    plan = F.when(F.col("o_orderkey").isNull(), "prune").when(F.col("l_orderkey").isNull(), "build").when((F.col("built") >= F.col("o_orderdate")) & (F.col("size") <= 150), "skip").otherwise("rebuild")
-    return j.select(F.coalesce("o_orderkey", "l_orderkey").alias("k"), plan.alias("plan"))
+    """Orders as sources, the lines of each as its artifact; the parts are artifacts without a source."""
+    built = read("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_shipdate").alias("built"), F.sum("l_quantity").alias("size"))
+    built = built.unionByName(read("part").select((F.col("p_partkey") + 1000000000).alias("k")), allowMissingColumns=True)
+    fresh = (F.col("built") >= F.col("o_orderdate")) & (F.col("size") <= 150)
+    return L.artifact_plan(read("orders").select(F.col("o_orderkey").alias("k"), "o_orderdate"), built, "k", fresh)
 
 
 @query("WITH b AS (SELECT p_name, min(p_partkey) AS backup FROM part WHERE p_partkey % 2 = 0 GROUP BY 1), s AS (SELECT split_part(p_name, ' ', 2) AS stem, min(p_partkey) AS backup FROM part GROUP BY 1) SELECT p_partkey, coalesce(b.backup, s.backup) AS backup, b.backup IS NULL AS by_stem FROM part LEFT JOIN b USING (p_name) LEFT JOIN s ON s.stem = split_part(part.p_name, ' ', 2)")
 def rollback_plan(read):
-    return _two_keys(read, "p_partkey % 2 = 0").select("p_partkey", F.coalesce("one", "two").alias("backup"), F.col("one").isNull().alias("by_stem"))
+    return _two_keys(read, "p_partkey % 2 = 0").select("p_partkey", F.col("match").alias("backup"), F.col("by_second").alias("by_stem"))
 
 
 def _two_keys(read, cond):
-    p = read("part").withColumn("stem", F.element_at(F.split("p_name", " "), 2))
-    one = p.where(cond).groupBy("p_name").agg(F.min("p_partkey").alias("one"))
-    two = p.groupBy("stem").agg(F.min("p_partkey").alias("two"))
-    return p.join(one, "p_name", "left").join(two, "stem", "left")
+    p = read("part").select("p_partkey", "p_name", "p_size", F.element_at(F.split("p_name", " "), 2).alias("stem"))
+    return L.fallback_match(p, p.where(cond), p, ("p_name", "stem"), "p_partkey")
 
 
 @query("WITH b AS (SELECT p_name, min(p_partkey) AS one FROM part WHERE p_size > 40 GROUP BY 1), s AS (SELECT split_part(p_name, ' ', 2) AS stem, min(p_partkey) AS two FROM part GROUP BY 1) SELECT p_partkey, coalesce(one, two) AS match FROM part LEFT JOIN b USING (p_name) LEFT JOIN s ON s.stem = split_part(part.p_name, ' ', 2)")
 def fallback_match(read):
-    return _two_keys(read, "p_size > 40").select("p_partkey", F.coalesce("one", "two").alias("match"))
+    return _two_keys(read, "p_size > 40").select("p_partkey", "match")

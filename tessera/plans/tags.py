@@ -1,9 +1,12 @@
 """Queries of tags: vocabulary, rules, validation, washing, reports."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.functions import text as T
+from tessera.operators import captions as C
+from tessera.operators import reports as P
+from tessera.operators import screening as S
+from tessera.operators import tagstats as G
 from tessera.operators import vocab as V
 from tessera.operators.gate import protect
 from tessera.operators.wash import Rules, normalised, wash_tokens
@@ -80,24 +83,21 @@ def group_key(read):
     return read("documents").select("doc_id", key.alias("key"))
 
 
-@query(TOK + ", m AS (SELECT name AS term FROM vocab WHERE posts = 2 AND length(name) BETWEEN 5 AND 7), j AS (SELECT term, name, posts, levenshtein(term, name) AS distance FROM m JOIN vocab ON term[1:3] = name[1:3] AND posts >= 50 AND term <> name AND abs(length(term) - length(name)) <= 2) SELECT term, name, distance, row_number() OVER (PARTITION BY term ORDER BY distance, posts DESC, name) AS r FROM j WHERE distance <= 2 AND len(term) = strlen(term) AND len(name) = strlen(name) QUALIFY r <= 3")
+@query()
 def near_terms(read):
-    v = materialize(vocabulary(tokens(read)), "vocabulary").where("length(name) = octet_length(name)")
-    return V.near_terms(v.where("posts = 2 AND length(name) BETWEEN 5 AND 7").select(F.col("name").alias("term")), v, 50, 2)
+    """Spellings for every word below the known count, of any length and script."""
+    v = materialize(vocabulary(tokens(read)), "vocabulary")
+    return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2)
 
 
 @query()
 def near_terms_all(read):
-    """Spellings for every word below the known count, of any length and script; ``near_terms`` is the part that its SQL can hold."""
-    v = materialize(vocabulary(tokens(read)), "vocabulary")
-    return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2)
+    return near_terms(read)
 
 
 @query("SELECT p_type AS head, p_name AS name, count(*) AS posts FROM part GROUP BY p_type, p_name QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY contains(p_name, lower(p_type[1:2])) DESC, count(*) DESC, p_name) <= 5")
 def suffix_hint(read):
-    g = read("part").groupBy(F.col("p_type").alias("head"), F.col("p_name").alias("name")).agg(F.count("*").alias("posts"))
-    r = F.row_number().over(Window.partitionBy("head").orderBy(F.col("name").contains(F.lower(F.substring("head", 1, 2))).desc(), F.desc("posts"), "name"))
-    return g.withColumn("r", r).where("r <= 5").drop("r")
+    return P.top_of_head(read("part"), "p_type", "p_name", lambda head, name: name.contains(F.lower(F.substring(head, 1, 2))), 5)
 
 
 LOW = TOK + ", low AS (SELECT tag FROM norm GROUP BY 1 HAVING count(*) < 3) "
@@ -105,32 +105,26 @@ LOW = TOK + ", low AS (SELECT tag FROM norm GROUP BY 1 HAVING count(*) < 3) "
 
 @query(LOW + "SELECT doc_id, count(*) AS n, count(low.tag) AS dropped FROM norm LEFT JOIN low USING (tag) GROUP BY 1")
 def lowfreq_drop(read):
-    t = tokens(read)
-    low = t.groupBy("tag").agg(F.count("*").alias("c")).where("c < 3").select("tag", F.lit(1).alias("low"))
-    return t.join(low, "tag", "left").groupBy("doc_id").agg(F.count("*").alias("n"), F.count("low").alias("dropped"))
+    return G.drop_rare(tokens(read), "doc_id", "tag", 3)
 
 
 @query(TOK + "SELECT tag, count(*) AS n FROM norm WHERE tag NOT IN (SELECT name FROM vocab WHERE posts > 2) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
 def residue_topk(read):
     t = tokens(read)
-    known = vocabulary(t).where("posts > 2").select(F.col("name").alias("tag"))
-    return t.join(known, "tag", "left_anti").groupBy("tag").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "tag").limit(20)
+    return G.residue_top(t, "tag", vocabulary(t).where("posts > 2"), "name", 20)
 
 
 @query(TOK + "SELECT count(DISTINCT tag) AS distinct_tags, count(DISTINCT CASE WHEN name IS NULL THEN tag END) AS unknown, count(DISTINCT CASE WHEN posts < 2 THEN tag END) AS rare FROM norm LEFT JOIN vocab ON tag = name")
 def vocab_audit(read):
     t = tokens(read)
-    j = t.groupBy("tag").agg(F.count("*").alias("c")).join(vocabulary(t), F.col("tag") == F.col("name"), "left")
-    return j.agg(F.count("*").alias("distinct_tags"), F.sum(F.when(F.col("name").isNull(), 1).otherwise(0)).alias("unknown"), F.sum(F.when(F.col("posts") < 2, 1).otherwise(0)).alias("rare"))
+    return G.vocabulary_audit(t, "tag", vocabulary(t), 2)
 
 
 @query(TOK + ", " + ALIAS + "SELECT kind, count(DISTINCT tag) AS tags, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, tag, CASE WHEN tag IN ('the', 'la') THEN 'reserved' WHEN v.posts >= 20 THEN 'exists' WHEN v.posts < 2 THEN 'zero' WHEN al.alias IS NOT NULL THEN 'alias' ELSE 'missing' END AS kind FROM norm LEFT JOIN vocab v ON tag = v.name LEFT JOIN al ON tag = al.alias) GROUP BY 1")
 def dict_check(read):
-    t = tokens(read)
-    v = vocabulary(t)
-    j = t.join(v.select(F.col("name").alias("tag"), "posts"), "tag", "left").join(aliases_of(v).select(F.col("alias").alias("tag"), F.lit(1).alias("a")), "tag", "left")
-    kind = F.when(F.col("tag").isin("the", "la"), "reserved").when(F.col("posts") >= 20, "exists").when(F.col("posts") < 2, "zero").when(F.col("a") == 1, "alias").otherwise("missing")
-    return j.select("doc_id", "tag", kind.alias("kind")).groupBy("kind").agg(F.count_distinct("tag").alias("tags"), F.count_distinct("doc_id").alias("docs"))
+    t = materialize(tokens(read).select("doc_id", "tag"), "tags")
+    v = materialize(vocabulary(t), "vocabulary")
+    return G.dictionary_check(t, "doc_id", "tag", v, aliases_of(v), ["the", "la"], 20)
 
 
 # Washing: one chain, its SQL in the same order.
@@ -176,42 +170,32 @@ def alias_expand(read):
 @query(TOK + "SELECT doc_id, tag, count(*) AS n FROM norm LEFT JOIN vocab ON tag = name WHERE regexp_matches(tag, '^(no|not) ') OR (regexp_matches(tag, '[0-9]') AND name IS NULL) GROUP BY 1, 2")
 def gated_drop(read):
     t = tokens(read)
-    j = t.join(vocabulary(t).select(F.col("name").alias("tag"), F.lit(True).alias("known")), "tag", "left")
-    return j.where(F.col("tag").rlike("^(no|not) ") | (F.col("tag").rlike("[0-9]") & F.col("known").isNull())).groupBy("doc_id", "tag").agg(F.count("*").alias("n"))
+    return G.gated_drops(t, "doc_id", "tag", vocabulary(t), "^(no|not) ", "[0-9]")
 
 
 @query("SELECT p_partkey, CASE WHEN p_name IN ('red ring', 'blue widget') THEN 'exact' WHEN split_part(p_name, ' ', 2) IN ('ring', 'widget', 'bolt') THEN split_part(p_name, ' ', 2) ELSE split_part(p_name, ' ', 1) END AS value FROM part")
 def value_downgrade(read):
-    tails = F.create_map(*[F.lit(x) for x in ("red ring", "exact", "blue widget", "exact", "ring", "ring", "widget", "widget", "bolt", "bolt")])
-    w = F.split("p_name", " ")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.array_join(F.slice(w, i, F.size(w)), " "))
-    first = F.get(F.filter(suffixes, lambda x: F.map_contains_key(tails, x)), 0)
-    return read("part").select("p_partkey", F.coalesce(F.try_element_at(tails, first), F.element_at(w, 1)).alias("value"))
+    tails = {"red ring": "exact", "blue widget": "exact", "ring": "ring", "widget": "widget", "bolt": "bolt"}
+    return read("part").select("p_partkey", S.downgrade_value(F.col("p_name"), tails, F.element_at(F.split("p_name", " "), 1)).alias("value"))
 
 
 @query(TOK + "SELECT doc_id, count(*) AS kept FROM norm LEFT JOIN vocab ON tag = name WHERE NOT (coalesce(category, 0) IN (3, 4) AND tag <> 'the') GROUP BY 1")
 def category_drop(read):
     t = tokens(read)
-    j = t.join(vocabulary(t).select(F.col("name").alias("tag"), "category"), "tag", "left")
-    return j.where(~(F.coalesce("category", F.lit(0)).isin(3, 4) & (F.col("tag") != "the"))).groupBy("doc_id").agg(F.count("*").alias("kept"))
+    return G.kept_by_category(t, "doc_id", "tag", vocabulary(t), [3, 4], ["the"])
 
 
 @query(TOK + ", c AS (SELECT tag, unnest([tag || 's', regexp_replace(tag, 's$', ''), replace(tag, '-', ' ')]) AS cand, unnest([1, 2, 3]) AS prio FROM (SELECT DISTINCT tag FROM norm WHERE tag NOT IN (SELECT name FROM vocab WHERE posts >= 5))) SELECT tag, arg_min(cand, prio) AS canonical FROM c SEMI JOIN (SELECT name FROM vocab WHERE posts >= 5) v ON cand = v.name WHERE cand <> tag GROUP BY 1")
 def canonical_form(read):
     t = tokens(read)
-    known = vocabulary(t).where("posts >= 5").select("name")
-    miss = t.select("tag").distinct().join(known, F.col("tag") == F.col("name"), "left_anti")
-    cand = F.posexplode(F.array(F.concat("tag", F.lit("s")), F.regexp_replace("tag", "s$", ""), F.replace("tag", F.lit("-"), F.lit(" "))))
-    c = miss.select("tag", cand.alias("prio", "cand")).where("cand <> tag").join(known, F.col("cand") == F.col("name"), "left_semi")
-    return c.groupBy("tag").agg(F.min_by("cand", "prio").alias("canonical"))
+    forms = [lambda x: F.concat(x, F.lit("s")), lambda x: F.regexp_replace(x, "s$", ""), lambda x: F.replace(x, F.lit("-"), F.lit(" "))]
+    return G.canonical_forms(t, "tag", vocabulary(t).where("posts >= 5"), forms)
 
 
 @query(TOK + ", p AS (SELECT DISTINCT doc_id, tag FROM norm) SELECT p.doc_id, count(*) AS folded FROM p WHERE EXISTS (FROM (SELECT DISTINCT doc_id, parent FROM norm JOIN vocab ON tag = name WHERE parent IS NOT NULL) q WHERE q.doc_id = p.doc_id AND q.parent = p.tag) GROUP BY 1")
 def implication_fold(read):
     t = tokens(read)
-    have = t.select("doc_id", "tag").distinct()
-    up = have.join(vocabulary(t).select(F.col("name").alias("tag"), "parent").where("parent IS NOT NULL"), "tag").select("doc_id", F.col("parent").alias("tag")).distinct()
-    return have.join(up, ["doc_id", "tag"], "left_semi").groupBy("doc_id").agg(F.count("*").alias("folded"))
+    return G.implied_present(t, "doc_id", "tag", vocabulary(t))
 
 
 DISTINCT = TOK + ", t AS (SELECT doc_id, list_distinct(list(tag)) AS tags FROM norm GROUP BY 1) "
@@ -221,46 +205,41 @@ def tag_sets(read):
     return tokens(read).groupBy("doc_id").agg(F.collect_set("tag").alias("tags"))
 
 
-def _any(*names):
-    return F.arrays_overlap("tags", F.array(*map(F.lit, names)))
-
 
 @query(DISTINCT + "SELECT doc_id, len(list_filter(tags, lambda x: NOT (x = 'the' AND list_has_any(tags, ['this', 'that'])))) AS n FROM t")
 def fold_pairs(read):
-    return tag_sets(read).select("doc_id", F.size(F.when(_any("this", "that"), F.array_remove("tags", "the")).otherwise(F.col("tags"))).cast("long").alias("n"))
+    return tag_sets(read).select("doc_id", F.size(S.fold_heads(F.col("tags"), {"the": ["this", "that"]})).cast("long").alias("n"))
 
 
 @query(DISTINCT + "SELECT doc_id, len(list_intersect(tags, ['is', 'it', 'in', 'la', 'der'])) >= 2 AND NOT list_contains(tags, 'many') AS many FROM t")
 def implied_value(read):
-    return tag_sets(read).select("doc_id", ((F.size(F.array_intersect("tags", F.array(*map(F.lit, ("is", "it", "in", "la", "der"))))) >= 2) & ~_any("many")).alias("many"))
+    return tag_sets(read).select("doc_id", S.two_of(F.col("tags"), ["is", "it", "in", "la", "der"], "many").alias("many"))
 
 
 @query(DISTINCT + "SELECT doc_id, array_to_string(list_filter([CASE WHEN len(list_intersect(tags, ['this', 'that'])) >= 2 THEN 'which' END, CASE WHEN len(list_intersect(tags, ['la', 'le', 'les'])) >= 2 AND NOT list_contains(tags, 'des') THEN 'article' END], lambda x: x IS NOT NULL), '|') AS conflicts FROM t")
 def conflicts(read):
-    return tag_sets(read).select("doc_id", F.array_join(_conflicts(), "|").alias("conflicts"))
+    return tag_sets(read).select("doc_id", F.array_join(S.conflicts(F.col("tags"), FAMILIES), "|").alias("conflicts"))
 
 
-def _conflicts():
-    many = lambda *n: F.size(F.array_intersect("tags", F.array(*map(F.lit, n)))) >= 2
-    return F.array_compact(F.array(F.when(many("this", "that"), "which"), F.when(many("la", "le", "les") & ~_any("des"), "article")))
+#: Families of tags and what excuses two of them.
+FAMILIES = {"which": (["this", "that"], []), "article": (["la", "le", "les"], ["des"])}
 
 
 @query(DISTINCT + ", c AS (SELECT doc_id, unnest(list_filter([CASE WHEN len(list_intersect(tags, ['this', 'that'])) >= 2 THEN 'which' END, CASE WHEN len(list_intersect(tags, ['la', 'le', 'les'])) >= 2 AND NOT list_contains(tags, 'des') THEN 'article' END], lambda x: x IS NOT NULL)) AS family FROM t) SELECT family, count(DISTINCT doc_id) AS docs FROM c GROUP BY 1")
 def conflict_counts(read):
-    return tag_sets(read).select("doc_id", F.explode(_conflicts()).alias("family")).groupBy("family").agg(F.count_distinct("doc_id").alias("docs"))
+    return S.family_counts(tag_sets(read), "doc_id", S.conflicts(F.col("tags"), FAMILIES)).withColumnRenamed("rows", "docs")
 
 
 @query(DISTINCT + "SELECT doc_id, array_to_string(list_filter([CASE WHEN NOT list_has_any(tags, ['is', 'was', 'are']) THEN 'verb' END, CASE WHEN NOT list_has_any(tags, ['the', 'la', 'der']) THEN 'article' END], lambda x: x IS NOT NULL), '|') AS gaps FROM t")
 def review_gaps(read):
-    return tag_sets(read).select("doc_id", F.array_join(F.array_compact(F.array(F.when(~_any("is", "was", "are"), "verb"), F.when(~_any("the", "la", "der"), "article"))), "|").alias("gaps"))
+    return tag_sets(read).select("doc_id", F.array_join(S.gaps(F.col("tags"), {"verb": ["is", "was", "are"], "article": ["the", "la", "der"]}), "|").alias("gaps"))
 
 
 @query(TOK + "SELECT slot, count(*) AS n FROM (SELECT CASE WHEN tag IN ('doc', 'the') THEN 9 WHEN regexp_matches(tag, '(ing|tion)$') THEN 2 WHEN contains(tag, 'th') THEN 3 WHEN category = 1 THEN 1 WHEN category = 4 THEN 5 ELSE 0 END AS slot FROM norm LEFT JOIN vocab ON tag = name) GROUP BY 1")
 def slot_classify(read):
     t = tokens(read)
-    j = t.join(vocabulary(t).select(F.col("name").alias("tag"), "category"), "tag", "left")
-    slot = F.when(F.col("tag").isin("doc", "the"), 9).when(F.col("tag").rlike("(ing|tion)$"), 2).when(F.col("tag").contains("th"), 3).when(F.col("category") == 1, 1).when(F.col("category") == 4, 5).otherwise(0)
-    return j.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
+    rules = [(9, F.col("tag").isin("doc", "the")), (2, F.col("tag").rlike("(ing|tion)$")), (3, F.col("tag").contains("th")), (1, F.col("category") == 1), (5, F.col("category") == 4)]
+    return G.slot_counts(t, "tag", vocabulary(t), S.first_class(rules, 0))
 
 
 @query(TOK + "SELECT doc_id, array_to_string(list(tag ORDER BY list_position([9, 1, 2, 3, 0, 4, 5, 6, 7], length(tag) % 5), pos), ' ') AS ordered FROM norm GROUP BY 1")
@@ -274,10 +253,8 @@ CAPTION = "WITH p AS (SELECT doc_id, list_filter(list_transform(string_split(reg
 
 
 def captions(read):
-    parts = F.filter(F.transform(F.split(F.regexp_replace("text", r"^[ \t\n\f\r,]+", ""), ",", -1), lambda x: F.trim(x)), lambda x: x != "")
-    c = read("documents").select("doc_id", parts.alias("parts"))
-    n = lambda x: F.size(F.split(x, " ", -1))
-    return c.select("doc_id", F.filter("parts", lambda x: n(x) < 6).alias("tags"), F.filter("parts", lambda x: n(x) >= 6).alias("prose"))
+    tags_, prose = C.split_caption(F.col("text"))
+    return read("documents").select("doc_id", tags_.alias("tags"), prose.alias("prose"))
 
 
 @query(CAPTION + "SELECT doc_id, len(tags) AS n_tags, len(prose) AS n_prose, md5(array_to_string(tags, '|')) AS tags FROM c")
@@ -287,24 +264,24 @@ def parse_caption(read):
 
 @query(CAPTION + "SELECT doc_id, md5(array_to_string(tags, ', ') || CASE WHEN len(prose) > 0 THEN '. ' || array_to_string(prose[1:3], '. ') ELSE '' END) AS line FROM c")
 def assemble(read):
-    tail = F.when(F.size("prose") > 0, F.concat(F.lit(". "), F.array_join(F.slice("prose", 1, 3), ". "))).otherwise("")
-    return captions(read).select("doc_id", F.md5(F.concat(F.array_join("tags", ", "), tail).cast("binary")).alias("line"))
+    return captions(read).select("doc_id", F.md5(C.assemble_line(F.col("tags"), F.col("prose")).cast("binary")).alias("line"))
 
 
 @query("SELECT doc_id, len(list_filter(string_split(text, '. '), lambda s: NOT contains(lower(s), 'tion') AND NOT starts_with(lower(s), 'the '))) AS kept, len(string_split(text, '. ')) AS n FROM documents")
 def prose_filter(read):
     s = F.split("text", r"\. ", -1)
-    return read("documents").select("doc_id", F.size(F.filter(s, lambda x: ~F.contains(F.lower(x), F.lit("tion")) & ~F.startswith(F.lower(x), F.lit("the ")))).cast("long").alias("kept"), F.size(s).cast("long").alias("n"))
+    kept = C.prose_kept(F.col("text"), ["tion"], ["the "])
+    return read("documents").select("doc_id", F.size(kept).cast("long").alias("kept"), F.size(s).cast("long").alias("n"))
 
 
 ISSUES = "WITH i AS (SELECT doc_id, source, list_filter([CASE WHEN contains(text, chr(10)) THEN 'multi-line' END, CASE WHEN text <> lower(text) THEN 'uppercase' END, CASE WHEN contains(text, '  ') THEN 'double-space' END, CASE WHEN contains(text, '_') THEN 'underscore' END, CASE WHEN n_chars < 300 THEN 'too-few(' || n_chars || ')' END, CASE WHEN n_chars > 5000 THEN 'too-many(' || n_chars || ')' END], lambda x: x IS NOT NULL) AS issues FROM documents) "
 
 
 def issues(read):
-    c = lambda t: F.contains(F.col("text"), F.lit(t))
-    n = F.col("n_chars").cast("string")
-    found = [F.when(c("\n"), "multi-line"), F.when(F.col("text") != F.lower("text"), "uppercase"), F.when(c("  "), "double-space"), F.when(c("_"), "underscore"), F.when(F.col("n_chars") < 300, F.concat(F.lit("too-few("), n, F.lit(")"))), F.when(F.col("n_chars") > 5000, F.concat(F.lit("too-many("), n, F.lit(")")))]
-    return read("documents").select("doc_id", "source", F.array_compact(F.array(*found)).alias("issues"))
+    c, n = lambda t: F.contains("text", F.lit(t)), F.col("n_chars")
+    found = S.reasons({"multi-line": c("\n"), "uppercase": F.col("text") != F.lower("text"), "double-space": c("  "), "underscore": c("_")})
+    sized = F.array_compact(F.array(F.when(n < 300, S.counted("too-few", n)), F.when(n > 5000, S.counted("too-many", n))))
+    return read("documents").select("doc_id", "source", F.concat(found, sized).alias("issues"))
 
 
 @query(ISSUES + "SELECT doc_id, array_to_string(issues, '|') AS issues FROM i")
@@ -315,31 +292,29 @@ def validate(read):
 SEVERE = "CASE WHEN len(issues) = 0 THEN '' WHEN len(list_filter(issues, lambda e: e = 'multi-line' OR starts_with(e, 'too-few('))) > 0 THEN 'error' ELSE 'warn' END"
 
 
-def severity_of():
-    return F.when(F.size("issues") == 0, "").when(F.exists("issues", lambda e: (e == "multi-line") | e.startswith("too-few(")), "error").otherwise("warn")
+#: Kinds of issues that are errors.
+ERRORS = ["multi-line", "too-few"]
 
 
 @query(ISSUES + f"SELECT doc_id, {SEVERE} AS severity FROM i")
 def severity(read):
-    return issues(read).select("doc_id", severity_of().alias("severity"))
+    return issues(read).select("doc_id", S.severity(F.col("issues"), ERRORS).alias("severity"))
 
 
 @query(ISSUES + "SELECT split_part(x, '(', 1) AS kind, count(*) AS n FROM (SELECT unnest(issues) AS x FROM i) GROUP BY 1")
 def issue_kinds(read):
-    return issues(read).select(F.explode("issues").alias("x")).groupBy(F.substring_index("x", "(", 1).alias("kind")).agg(F.count("*").alias("n"))
+    return S.issue_kinds(issues(read), "issues")
 
 
 @query(ISSUES + f"SELECT source, {SEVERE} AS severity, count(*) AS n, sum(len(issues))::BIGINT AS issues FROM i GROUP BY 1, 2")
 def verify(read):
-    return issues(read).groupBy("source", severity_of().alias("severity")).agg(F.count("*").alias("n"), F.sum(F.size("issues")).alias("issues"))
+    return S.verify_report(issues(read), "source", "issues", ERRORS)
 
 
 @query(TOK + ", r AS (SELECT DISTINCT doc_id, tag FROM norm WHERE tag IN ('of', 'to', 'und', 'des', 'que', 'de') OR regexp_matches(tag, '^[0-9]')) SELECT doc_id, array_to_string(list(tag ORDER BY tag)[1:4], '|') || CASE WHEN count(*) > 4 THEN '|+' || (count(*) - 4) ELSE '' END AS residue FROM r GROUP BY 1")
 def audit(read):
-    t = tokens(read).where(F.col("tag").isin("of", "to", "und", "des", "que", "de") | F.col("tag").rlike("^[0-9]"))
-    g = t.groupBy("doc_id").agg(F.array_sort(F.collect_set("tag")).alias("r"))
-    more = F.when(F.size("r") > 4, F.concat(F.lit("|+"), (F.size("r") - 4).cast("string"))).otherwise("")
-    return g.select("doc_id", F.concat(F.array_join(F.slice("r", 1, 4), "|"), more).alias("residue"))
+    unwanted = F.col("tag").isin("of", "to", "und", "des", "que", "de") | F.col("tag").rlike("^[0-9]")
+    return S.residue(tokens(read), "doc_id", "tag", unwanted)
 
 
 @query(TOK + ", p AS (SELECT doc_id, tag, min(CASE WHEN pos % 3 = 0 THEN 'A' WHEN pos % 3 = 1 THEN 'B' ELSE NULL END) AS prov FROM norm WHERE tag IN ('the', 'this', 'that', 'la', 'le', 'les') GROUP BY 1, 2) SELECT doc_id, tag, prov FROM p QUALIFY prov IS NULL OR prov = 'A' OR count(*) FILTER (WHERE prov = 'A') OVER (PARTITION BY doc_id) = 0")
@@ -347,8 +322,7 @@ def prefer_side(read):
     """Inside a group of tags of one document provenance A wins over B; unknown provenance stays."""
     t = tokens(read).where(F.col("tag").isin("the", "this", "that", "la", "le", "les"))
     p = t.groupBy("doc_id", "tag").agg(F.min(F.expr("CASE WHEN pos % 3 = 0 THEN 'A' WHEN pos % 3 = 1 THEN 'B' END")).alias("prov"))
-    a = F.count(F.when(F.col("prov") == "A", 1)).over(Window.partitionBy("doc_id"))
-    return p.withColumn("a", a).where("prov IS NULL OR prov = 'A' OR a = 0").drop("a")
+    return S.prefer_side(p, "doc_id", "prov", "A")
 
 
 @query(DISTINCT + "SELECT doc_id, len(list_filter(tags, lambda x: length(x) % 3 <> 0 AND (length(x) % 2 = 1 OR x = 'the'))) AS removed FROM t")

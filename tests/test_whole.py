@@ -25,7 +25,7 @@ def table(df, folder, name):
 
 
 def lines(spark, folder):
-    """A chain of 40 orders, a hub part and two loose edges, none of which has the discount and tax of ``components``."""
+    """A chain of 40 orders, a hub part and two loose edges."""
     edges = [(i, i + d) for i in range(40) for d in (0, 1)] + [(100 + i, 500) for i in range(60)] + [(7000, 900), (20_000_000, 901)]
     table(spark.createDataFrame([(a, b, 0.01, 0.01) for a, b in edges], "l_orderkey long, l_partkey long, l_discount double, l_tax double"), folder, "lineitem")
     return str(folder)
@@ -48,7 +48,8 @@ def distance(a, b):
     return row[-1]
 
 
-def test_near_terms_all(spark, tmp_path):
+@pytest.mark.parametrize("name", ["near_terms", "near_terms_all"])
+def test_near_terms(spark, tmp_path, name):
     often = {"straße": 60, "strasse": 50, "straßen": 70, "niño": 55, "слово": 50, "internationalisation": 80, "stra": 51, "über": 90}
     rare = {"straßee": 1, "straß": 49, "strasze": 2, "niños": 3, "словa": 1, "internationalizatiom": 1, "stràße": 1, "überr": 2, "ni": 4, "lonely": 2}
     posts = often | rare
@@ -58,7 +59,7 @@ def test_near_terms_all(spark, tmp_path):
     for t in rare:
         near = sorted((distance(t, n), -posts[n], n) for n in often if n[:3] == t[:3] and distance(t, n) <= 2)
         want |= {(t, n, d, r) for r, (d, _, n) in enumerate(near[:3], 1)}
-    got = [tuple(r) for r in registry.QUERIES["near_terms_all"](spark, str(tmp_path)).select("term", "name", "distance", "r").collect()]
+    got = [tuple(r) for r in registry.QUERIES[name](spark, str(tmp_path)).select("term", "name", "distance", "r").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert {"straßee", "straß", "niños", "словa", "internationalizatiom", "überr"} <= {t for t, *_ in want}
 
