@@ -6,7 +6,8 @@ ranks come from a literal map. As Spark searches a map from its start, the liter
 
 Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, and the ids) is kept in the shared
 folder for up to ``most_words`` words, the most frequent ones; each worker loads it and looks its words up there. Beyond that bound the other words' ids
-are joined to the texts that hold them, by text digest.
+are joined to the texts that hold them, by text digest. Decoding turns every id into its piece, from a literal array, and
+concatenates the pieces to the bytes.
 
 Null text is empty and has no ids; rows with null or repeated ids keep their rows; a single word of any length is one row
 of the fold. White space and letters are Unicode's as Java knows it.
@@ -89,6 +90,20 @@ def encode_word(word: Column, table: Column) -> Column:
     return let(rank_of(table, whole), lambda r: F.when(r < NONE, F.array(r)).when(F.length(whole) > 2, merged))
 
 
+def piece_table(ranks: dict[bytes, int]) -> Column:
+    """The literal array from ids to pieces, as hexadecimal digits."""
+    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token.hex()
+    return F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+
+
+def decode(ids: Column, pieces: Column) -> Column:
+    """The bytes of an array of ids; an empty array gives no bytes, an id without a piece an error."""
+    piece = lambda i: F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id without a piece")).cast("string"))
+    return F.unhex(F.array_join(F.transform(ids, piece), ""))
+
+
 class Code:
     """Ids of words by hash: sorted hashes, an index of their leading bits, offsets and ids."""
 
@@ -154,11 +169,17 @@ def word_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str)
     return materialize(counted.select("word", "n", encode_word(F.col("word"), rank_table(ranks)).alias("ids")), "words")
 
 
-RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+ENCODED = "doc_id long, ids array<int>, ids_sha256 string"
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 1_000_000) -> DataFrame:
-    """``RESULT`` for every row: the ids of its whole text and the bytes that they decode to, by digest."""
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row: the ids of its whole text and the bytes that they decode to."""
+    coded = encode_ids(docs, ranks, pattern, text, most_words, slice_words)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(decode(F.col("ids"), piece_table(ranks)), 256).alias("decoded_sha256"))
+
+
+def encode_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 1_000_000) -> DataFrame:
+    """``ENCODED`` for every row: the ids of its whole text, and their digest."""
     spark = docs.sparkSession
     known = word_ids(docs, ranks, pattern, text)
     total = known.count()
@@ -181,10 +202,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
     small = "uint16" if max(ranks.values(), default=0) < 1 << 16 else "uint32"
     path = scratch_path(spark, "code")
     often.select("h", "ids").write.parquet(path)
-    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    shared = spark.sparkContext.broadcast(tokens)
+    most = max(ranks.values(), default=-1)
 
     words = words_of(F.col(text), pattern)
     rows = docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)).alias("h"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("digest"))
@@ -197,12 +215,10 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
         rows = rows.select("doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, tokens = load_code(path, small), shared.value
-        names = [str(i) for i in range(len(tokens))]
+        code, names = load_code(path, small), [str(i) for i in range(most + 1)]
         for batch in batches:
             offsets = batch["h"].offsets.to_numpy()
             flat = batch["h"].values.to_numpy(zero_copy_only=False)
-            counts, texts, plain = [], [], []
             first = 0
             while first < batch.num_rows:  # rows of about slice_words words at a time
                 last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + slice_words, "right")) - 1)
@@ -211,18 +227,19 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
                     raise ValueError("a word is missing")
                 got, n = code.gather(np.maximum(at, 0)) if len(at) and len(code.sizes) else (code.ids[:0], np.zeros(len(at), np.int64))
                 ends = np.concatenate([[0], np.cumsum(n)])
+                ids, digests = [], []
                 for row in range(first, last):
                     lo, hi = offsets[row] - offsets[first], offsets[row + 1] - offsets[first]
-                    own = got[ends[lo] : ends[hi]].tolist()
+                    own = got[ends[lo] : ends[hi]]
                     if least and (at[lo:hi] < 0).any():
                         extra = dict(zip(batch["more_h"][row].as_py(), batch["more_ids"][row].as_py(), strict=True))
-                        own = []
-                        for k in range(lo, hi):
-                            own += got[ends[k] : ends[k + 1]].tolist() if at[k] >= 0 else extra[int(flat[offsets[first] + k])]
-                    counts.append(len(own))
-                    texts.append(hashlib.sha256(",".join(map(names.__getitem__, own)).encode()).hexdigest())
-                    plain.append(hashlib.sha256(b"".join(map(tokens.__getitem__, own))).hexdigest())
+                        parts = [got[ends[k] : ends[k + 1]] if at[k] >= 0 else extra[int(flat[offsets[first] + k])] for k in range(lo, hi)]
+                        own = np.concatenate(parts).astype(np.int64)
+                    ids.append(own)
+                    digests.append(hashlib.sha256(",".join(map(names.__getitem__, own.tolist())).encode()).hexdigest())
+                sizes = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, last - first), column, pa.array(digests, pa.string())], names=["doc_id", "ids", "ids_sha256"])
                 first = last
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.int64()), pa.array(texts, pa.string()), pa.array(plain, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(run, RESULT)
+    return rows.mapInArrow(run, ENCODED)
