@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_tag
+from tessera.operators.vocab import flatten_aliases
 
 
 @dataclass
@@ -54,7 +55,7 @@ def wash(rows: DataFrame, key: str, tags: Column, vocab: DataFrame, aliases: Dat
     """``(lines, dropped)``: one line per row that keeps a tag, and every dropped tag with its reason.
 
     ``vocab(name, category, posts, parent)`` and ``aliases(alias, canonical)`` are joined once each on the exploded tags;
-    Spark broadcasts them when they are small. ``slot`` is an expression over ``tag`` and ``category``.
+    Spark broadcasts them when they are small. Chains of aliases are followed to their end. ``slot`` is an expression over ``tag`` and ``category``.
     """
     return wash_tokens(normalised(rows, key, tags), key, vocab, aliases, rules, slot)
 
@@ -70,7 +71,7 @@ def wash_tokens(t: DataFrame, key: str, vocab: DataFrame, aliases: DataFrame, ru
     if rules.split:
         parts = F.create_map(*[x for k, v in rules.split.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
         t = t.select(key, "pos", "raw", F.posexplode(F.coalesce(F.try_element_at(parts, F.col("tag")), F.array("tag"))).alias("sub", "tag"))
-    a = aliases.select(F.col("alias").alias("tag"), "canonical")
+    a = flatten_aliases(aliases).select(F.col("alias").alias("tag"), "canonical")
     t = t.join(a, "tag", "left").withColumn("tag", F.coalesce("canonical", "tag")).drop("canonical")
     v = vocab.select(F.col("name").alias("tag"), "category", "posts", "parent")
     t = t.join(v, "tag", "left")

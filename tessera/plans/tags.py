@@ -64,7 +64,7 @@ def alias_resolve(read):
     return V.resolve(t, "tag", v.where("posts >= 20"), aliases_of(v)).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query("WITH RECURSIVE e AS (SELECT p_partkey AS a, p_partkey // 3 AS c FROM part WHERE p_partkey > 5), w(a, c, h) AS (SELECT a, c, 1 FROM e UNION ALL SELECT w.a, e.c, h + 1 FROM w JOIN e ON e.a = w.c WHERE h < 8) SELECT a::VARCHAR AS alias, arg_max(c, h)::VARCHAR AS canonical FROM w GROUP BY a")
+@query("WITH RECURSIVE e AS (SELECT p_partkey AS a, p_partkey // 3 AS c FROM part WHERE p_partkey > 5), w(a, c, h) AS (SELECT a, c, 1 FROM e UNION ALL SELECT w.a, e.c, h + 1 FROM w JOIN e ON e.a = w.c) SELECT a::VARCHAR AS alias, arg_max(c, h)::VARCHAR AS canonical FROM w GROUP BY a")
 def alias_flatten(read):
     e = read("part").where("p_partkey > 5").select(F.col("p_partkey").cast("string").alias("alias"), F.expr("CAST(p_partkey DIV 3 AS STRING)").alias("canonical"))
     return V.flatten_aliases(e)
@@ -131,9 +131,11 @@ def dict_check(read):
 
 RULES = Rules(split={"und": ["u", "nd"]}, banned=["of", "to"], always="^no ", heuristic="^[0-9]", drop_categories=[4], keep=["thon"], least=3, keep_parents=["ent"], folds={"the": ["this", "that"]}, implied={"many": ["is", "it"]}, lead="doc")
 WASH = (
-    TOK
+    TOK.replace("WITH raw", "WITH RECURSIVE raw")
     + """, s AS (SELECT doc_id, pos, raw, unnest(CASE WHEN tag = 'und' THEN ['u', 'nd'] ELSE [tag] END) AS tag, unnest(CASE WHEN tag = 'und' THEN [0, 1] ELSE [0] END) AS sub FROM norm WHERE tag <> ''),
-al AS (SELECT name AS alias, name[1:length(name) - 1] AS canonical FROM vocab WHERE length(name) > 4 AND posts < 50),
+al0 AS (SELECT name AS alias, name[1:length(name) - 1] AS canonical FROM vocab WHERE length(name) > 4 AND posts < 50),
+w(alias, canonical, h) AS (SELECT alias, canonical, 1 FROM al0 UNION ALL SELECT w.alias, al0.canonical, h + 1 FROM w JOIN al0 ON al0.alias = w.canonical),
+al AS (SELECT alias, arg_max(canonical, h) AS canonical FROM w GROUP BY 1),
 a AS (SELECT doc_id, pos, sub, coalesce(canonical, tag) AS tag FROM s LEFT JOIN al ON tag = alias),
 j AS (SELECT a.*, category, posts, parent, CASE WHEN tag IN ('of', 'to') THEN 'banned' WHEN regexp_matches(tag, '^no ') AND category IS NULL THEN 'pattern' WHEN regexp_matches(tag, '^[0-9]') AND category IS NULL THEN 'heuristic' WHEN category = 4 AND tag <> 'thon' THEN 'category' WHEN coalesce(posts, 0) < 3 THEN 'lowfreq' END AS reason FROM a LEFT JOIN vocab ON tag = name),
 k AS (SELECT doc_id, tag, min({'p': pos, 's': sub}) AS w, min(category) AS category, min(parent) AS parent FROM j WHERE reason IS NULL GROUP BY 1, 2),

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.operators import captions, lookup, numbering, reports, screening, tagstats
+from tessera.operators import captions, lookup, numbering, reports, screening, tagstats, vocab
+from tessera.operators.wash import Rules, wash
 
 
 def rows(df, *cols):
@@ -131,3 +132,15 @@ def test_tag_counts(spark):
     assert rows(tagstats.gated_drops(t, "id", "tag", v, "^z", "[0-9]"), "id", "tag", "n") == [(1, "zz", 1), (2, "9x", 1)]
     assert rows(tagstats.canonical_forms(t, "tag", v, [lambda x: F.regexp_replace(x, "s$", "")]), "tag", "canonical") == [("cats", "cat")]
     assert rows(tagstats.implied_present(t, "id", "tag", v), "id", "folded") == [(1, 1)]
+
+
+def test_alias_chains_of_any_length(spark):
+    links = [(f"n{i}", f"n{i + 1}") for i in range(14)] + [("x", "y"), ("y", "x"), ("self", "self"), (None, "a"), ("b", None)]
+    a = spark.createDataFrame(links, "alias string, canonical string")
+    got = {r.alias: r.canonical for r in vocab.flatten_aliases(a).collect()}
+    assert got == {f"n{i}": "n14" for i in range(14)} | {"x": "y", "y": "x", "self": "self"}
+    assert vocab.flatten_aliases(a.limit(0)).count() == 0
+    v = spark.createDataFrame([("n14", 0, 9, None), ("other", 0, 9, None)], "name string, category int, posts long, parent string")
+    t = spark.createDataFrame([(1, ["N3", "other", "n9"]), (2, []), (3, None)], "id long, tags array<string>")
+    lines, dropped = wash(t, "id", F.col("tags"), v, a, Rules(), F.col("category"))
+    assert rows(lines, "id", "n_tags", "line") == [(1, 2, "n14, other")] and dropped.count() == 0
