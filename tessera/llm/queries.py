@@ -1,4 +1,4 @@
-"""The queries of the ten operators, with production parameters over whole tables."""
+"""The queries of the operators, with production parameters over whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, embedding_dedup, jaccard, packing, pii, quality_rules, token_counts, url_filters, warc
+from tessera.llm import bpe, chat, embedding_dedup, jaccard, packing, periodic_runs, pii, quality_rules, token_counts, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -74,5 +74,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document, by its checksum, repeats a part of its own words, so that there are runs of many periods."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumns({"n": F.size("words").cast("long"), "g": F.floor(F.col("h") / 10)})
+    a = F.col("g") % F.col("n")
+    period = 1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))
+    text = F.when(F.col("n") > 0, F.array_join(periodic_runs.repeated_from(F.col("words"), a.cast("int"), period.cast("int")), " ")).otherwise(F.col("text"))
+    found = periodic_runs.periodic_runs(docs.select("doc_id", text.alias("text"))).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe, op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
