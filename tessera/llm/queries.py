@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, embedding_dedup, jaccard, packing, periodic_runs, pii, quality_rules, token_counts, url_filters, warc
+from tessera.llm import bpe, chat, embedding_dedup, hard_negatives, jaccard, packing, periodic_runs, pii, quality_rules, token_counts, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -74,6 +74,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector is an anchor; every seventh label is off by one."""
+    x = F.col("embedding").cast("array<double>")
+    sound = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    vector = F.when(sound, F.transform(x, lambda c: F.floor(256 * c)))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), vector.alias("vector"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth document, by its checksum, repeats a part of its own words, so that there are runs of many periods."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
@@ -96,5 +106,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe, op13_periodic_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe, op12_hard_negatives, op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
