@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, embedding_dedup, hard_negatives, jaccard, packing, periodic_runs, pii, quality_rules, token_counts, url_filters, warc
+from tessera.llm import bpe, chat, embedding_dedup, hard_negatives, jaccard, packing, periodic_runs, pii, quality_rules, token_counts, toxicity, url_filters, warc
 from tessera.storage import materialize, scratch_path
 
 
@@ -74,6 +74,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every fourth document, by its checksum, are held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    out = toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), held_out)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fiftieth vector is an anchor; every seventh label is off by one."""
     x = F.col("embedding").cast("array<double>")
@@ -106,5 +113,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe, op12_hard_negatives, op13_periodic_runs)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_pii, op3_chat, op4_embedding_dedup, op5_token_counts, op6_packing, op7_url_filters, op8_quality_rules, op9_jaccard, op10_bpe, op11_toxicity, op12_hard_negatives, op13_periodic_runs)}
 ORACLE: dict[str, str] = {}
