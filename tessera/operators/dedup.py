@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
+from tessera.operators.settle import dropped, settle
 from tessera.storage import materialize
 
 
@@ -129,35 +131,60 @@ def dedup_tiers(rows: DataFrame, key: str, pixels: str, code: str, order: list,
     return tier(exact, "exact", "drop").union(tier(near, "near", "drop")).union(tier(similar, "similar", "review"))
 
 
+def fold_classes(rows: DataFrame, by: list, key: str, order: list) -> tuple[DataFrame, DataFrame]:
+    """Rows that are equal in ``by`` folded to the first by ``order``, then key: its row with ``n``, and ``(key, rep)`` of every row.
+
+    A key is that of one row. The fold is a partial aggregate, so a class of any size is one row after the shuffle.
+    """
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") if isinstance(c, str) else c.cast("string").alias(f"k{i}") for i, c in enumerate(by)]), {"ignoreNullFields": "false"}), 256)
+    named = materialize(rows.select(F.struct(*rows.columns).alias("row"), F.struct(*order, F.col(key)).alias("at"), digest.alias("h")), "classes")
+    reps = named.groupBy("h").agg(F.min_by("row", "at").alias("row"), F.count("*").alias("n"))
+    reps = materialize(reps, "class-reps")
+    member = named.select("h", F.col("row").getField(key).alias(key)).join(reps.select("h", F.col("row").getField(key).alias("rep")), "h").select(key, "rep")
+    return reps.select(*[F.col("row").getField(c).alias(c) for c in rows.columns], "n"), member
+
+
 def greedy_dedup(members: DataFrame, near: DataFrame, family: str, key: str, order: str) -> DataFrame:
-    """Non-transitive: in each family by ``order`` descending, a row goes if it is near a row that was kept.
+    """``(dropped, of)``. Non-transitive: in each family by ``order`` descending, a row goes if it is near a row that was kept.
 
-    ``near(a, b)`` holds the candidate pairs. Only a row with a near pair takes part, in groups of one connected component,
-    so a group is as large as the cluster and not as the family.
+    ``near(a, b)`` holds the candidate pairs. Ties go by key, a null order comes last.
     """
     ranked = members.select(F.col(family).alias("f"), F.col(key).alias("k"), F.col(order).alias("o"))
-    pairs = near.join(ranked.select(F.col("k").alias("a"), F.col("f").alias("fa"), F.col("o").alias("oa")), "a").join(ranked.select(F.col("k").alias("b"), F.col("f").alias("fb"), F.col("o").alias("ob")), "b").where("fa = fb")
-    roots = connected_components(pairs, "a", "b").select(F.col("node").alias("a"), "component")
-    work = pairs.join(roots, "a").select("component", "a", "oa", "b", "ob")
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        order_ = {}
-        close: dict = {}
-        for a, oa, b, ob in frame[["a", "oa", "b", "ob"]].itertuples(index=False):
-            order_[a], order_[b] = oa, ob
-            close.setdefault(a, set()).add(b)
-            close.setdefault(b, set()).add(a)
-        kept: set = set()
-        out = []
-        for k in sorted(order_, key=lambda x: (-order_[x], x)):
-            by = [x for x in close[k] if x in kept]
-            if by:
-                out.append((k, min(by, key=lambda x: (-order_[x], x))))
-            else:
-                kept.add(k)
-        return pd.DataFrame(out, columns=["dropped", "of"])
-
-    return work.groupBy("component").applyInPandas(run, "dropped long, of long")
+    side = lambda x: ranked.select(F.col("k").alias(x), F.col("f").alias("f" + x), F.struct(F.col("o").isNull().alias("none"), (-F.col("o")).alias("o"), "k").alias("rank_" + x))
+    pairs = near.select("a", "b").where("a <> b").join(side("a"), "a").join(side("b"), "b").where("fa <=> fb")
+    return settle(pairs, F.col("rank_a") < F.col("rank_b"))
+
+
+def greedy_classes(rows: DataFrame, family: str, key: str, order: str, pixels: str, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``greedy_dedup`` where rows of a family with equal ``pixels`` are compared once: ``near(reps)`` gives the pairs of representatives.
+
+    The first row of a class stands for all; its copies go for the row that it went for, or for itself.
+    """
+    reps, member = fold_classes(rows, [family, pixels], key, [F.col(order).isNull(), -F.col(order)])
+    gone = materialize(greedy_dedup(reps, near(reps), family, key, order), "greedy")
+    out = member.join(gone.withColumnRenamed("dropped", "rep"), "rep", "left")
+    return out.select(F.col(key).alias("dropped"), F.coalesce("of", "rep").alias("of")).where("dropped <> of")
+
+
+def unique_content(rows: DataFrame, bucket: str, key: str, pixels: str, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(bucket, uniq, dup)``: a row is a copy if it is near a row that counts, of an earlier bucket or its own with a lesser key.
+
+    The rows are passed in the order of bucket and key, and only those that count are compared with, as in ``greedy_dedup``.
+    Equal rows are compared once. A null bucket comes first; buckets without a row that counts are left out.
+    """
+    reps, _ = fold_classes(rows, [pixels], key, [F.col(bucket)])
+    side = lambda x: reps.select(F.col(key).alias(x), F.struct(bucket, F.col(key).alias("k")).alias("rank_" + x))
+    pairs = near(reps).select("a", "b").where("a <> b").join(side("a"), "a").join(side("b"), "b")
+    gone = settle(pairs, F.col("rank_a") < F.col("rank_b")).select(F.col("dropped").alias(key))
+    uniq = reps.join(gone, key, "left_anti").groupBy(F.col(bucket).alias("of")).agg(F.count("*").alias("uniq"))
+    n = rows.groupBy(bucket).agg(F.count("*").alias("n"))
+    return n.join(uniq, F.col(bucket).eqNullSafe(F.col("of"))).select(bucket, "uniq", (F.col("n") - F.col("uniq")).alias("dup"))
+
+
+def fingerprint(content: str | Column, head: int = 262144) -> Column:
+    """Struct of the length of binary ``content`` and the MD5 of its first ``head`` bytes."""
+    c = F.col(content) if isinstance(content, str) else content
+    return F.struct(F.octet_length(c).cast("long").alias("bytes"), F.md5(F.substring(c, 1, head)).alias("head"))
 
 
 def phash(rows: DataFrame, key: str, pixels: str, size: int = 8, low: int = 8) -> DataFrame:
@@ -176,23 +203,62 @@ def phash(rows: DataFrame, key: str, pixels: str, size: int = 8, low: int = 8) -
     return rows.select(F.col(key).alias("id"), F.col(pixels).cast("array<double>").alias("v")).mapInPandas(run, "id long, hash long").withColumnRenamed("id", key)
 
 
-def suppress(boxes: DataFrame, iou: float = 0.6) -> DataFrame:
-    """Greedy non-maximum suppression of ``(image, label, box, score, x1, y1, x2, y2)`` in each image and label."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["score", "box"], ascending=[False, True], ignore_index=True)
-        b = frame[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        area = np.maximum(0, b[:, 2] - b[:, 0]) * np.maximum(0, b[:, 3] - b[:, 1])
-        open_ = np.ones(len(b), bool)
-        keep = []
-        for i in range(len(b)):
-            if not open_[i]:
-                continue
-            keep.append(i)
-            w = np.maximum(0, np.minimum(b[:, 2], b[i, 2]) - np.maximum(b[:, 0], b[i, 0]))
-            h = np.maximum(0, np.minimum(b[:, 3], b[i, 3]) - np.maximum(b[:, 1], b[i, 1]))
-            over = w * h / np.maximum(area + area[i] - w * h, 1e-12)
-            open_ &= over < iou
-        return frame.iloc[keep][["image", "label", "box", "score"]]
-
-    return boxes.groupBy("image", "label").applyInPandas(run, "image long, label string, box long, score double")
+def overlap(a: str, b: str) -> Column:
+    """Intersection over union of the boxes in struct columns ``a`` and ``b``; 0 where both are empty."""
+    f = lambda x, c: F.col(f"{x}.{c}")
+    span = lambda lo, hi: F.greatest(F.lit(0.0), F.least(f(a, hi), f(b, hi)) - F.greatest(f(a, lo), f(b, lo)))
+    area = lambda x: F.greatest(F.lit(0.0), f(x, "x2") - f(x, "x1")) * F.greatest(F.lit(0.0), f(x, "y2") - f(x, "y1"))
+    both = span("x1", "x2") * span("y1", "y2")
+    return both / F.greatest(area(a) + area(b) - both, F.lit(1e-12))
+
+
+def overlapping_pairs(boxes: DataFrame, iou: float) -> DataFrame:
+    """``(a, b)`` of structs of ``boxes`` (image, label, box, score, x1, y1, x2, y2) with an overlap of at least ``iou``, by a grid.
+
+    Sides of such boxes differ by a factor of 1 / iou at most, and left and upper edges by 1 - iou of the greater side. So a
+    box lies in one cell of a grid whose cells grow with the boxes' width and height, and looks for the others in the few
+    cells of its own and the neighbouring sizes that they can begin in. Each pair is met once, from its first box by rank.
+    """
+    if not 0 < iou <= 1:
+        raise ValueError("an overlap is above 0 and at most 1")
+    grow = 1 / iou if iou < 1 else 2.0
+    b = boxes.where("x2 > x1 AND y2 > y1 AND score IS NOT NULL").select(F.struct("image", "label", "box", "score", *(F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2"))).alias("b"))
+    rank = lambda x: F.struct((-F.col(f"{x}.score")).alias("s"), F.col(f"{x}.box").alias("k"))
+    level = lambda side: F.floor(F.log(side) / math.log(grow) + 1e-9).cast("int")
+    cell = lambda at, size: F.floor(at / F.pow(F.lit(grow), size + 1)).cast("long")
+    b = b.withColumns({"w": level(F.col("b.x2") - F.col("b.x1")), "h": level(F.col("b.y2") - F.col("b.y1"))})
+    home = b.select(F.col("b").alias("other"), F.struct("b.image", "b.label", "w", "h", cell(F.col("b.x1"), F.col("w")).alias("cx"), cell(F.col("b.y1"), F.col("h")).alias("cy")).alias("at"))
+    near = [F.lit(d) for d in (-1, 0, 1)]
+    look = b.select("b", F.explode(F.array(*[F.struct((F.col("w") + i).alias("w"), (F.col("h") + j).alias("h"), F.greatest("w", F.col("w") + i).alias("tw"), F.greatest("h", F.col("h") + j).alias("th")) for i in near for j in near])).alias("s"))
+
+    def cells(at: str, size: str, top: str) -> Column:
+        reach = (1 - iou + 1e-9) * F.pow(F.lit(grow), F.col(f"s.{top}") + 1)
+        return F.sequence(cell(F.col(f"b.{at}") - reach, F.col(f"s.{size}")), cell(F.col(f"b.{at}") + reach, F.col(f"s.{size}")))
+
+    look = look.select("b", "s", F.explode(cells("x1", "w", "tw")).alias("cx")).select("b", "s", "cx", F.explode(cells("y1", "h", "th")).alias("cy"))
+    look = look.select("b", F.struct("b.image", "b.label", F.col("s.w").alias("w"), F.col("s.h").alias("h"), "cx", "cy").alias("at"))
+    j = look.join(home, "at").where((rank("b") < rank("other")) & (overlap("b", "other") >= iou))
+    return j.select(F.col("b").alias("a"), F.col("other").alias("b"))
+
+
+def suppress(boxes: DataFrame, iou: float = 0.6, least: DataFrame | None = None) -> DataFrame:
+    """Greedy non-maximum suppression of ``(image, label, box, score, x1, y1, x2, y2)`` in each image and label: ``(image, label, box, score)`` kept.
+
+    ``least(label, score)`` is the least score of a class, if given; a label that it does not name is left out. Boxes of a
+    higher score come first, ties by least box. Equal boxes of one image and label are one class, whose first box stands
+    for all. Boxes without area overlap nothing and stay; a null score or edge takes no part. ``box`` is unique in its
+    image and label.
+    """
+    if least is not None:
+        limits = least.groupBy(F.col("label").alias("of")).agg(F.max("score").alias("limit"))
+        boxes = boxes.join(limits, (boxes.label == F.col("of")) & (boxes.score >= F.col("limit"))).select(boxes.columns)
+    edges = ["x1", "y1", "x2", "y2"]
+    sound = boxes.where(" AND ".join(f"{c} IS NOT NULL" for c in ["image", "label", "box", "score", *edges]))
+    first = F.struct((-F.col("score")).alias("s"), "box")
+    folded = sound.where("x2 > x1 AND y2 > y1").groupBy("image", "label", *edges).agg(F.min_by("box", first).alias("box"), F.min_by("score", first).alias("score"))
+    folded = materialize(folded, "boxes")
+    name = lambda x: F.struct(f"{x}.image", f"{x}.label", f"{x}.box")
+    pairs = overlapping_pairs(folded, iou).select(name("a").alias("better"), name("b").alias("worse"))
+    gone = dropped(pairs).select("node.*")
+    kept = folded.join(gone, ["image", "label", "box"], "left_anti").select("image", "label", "box", "score")
+    return kept.union(sound.where("NOT (x2 > x1 AND y2 > y1)").select("image", "label", "box", "score"))

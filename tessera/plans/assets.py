@@ -138,7 +138,8 @@ def nms(read):
     li = read("lineitem")
     x, y = (F.col("l_partkey") % 90).cast("double"), (F.col("l_suppkey") % 90).cast("double")
     boxes = li.select((F.col("l_orderkey") % 997).alias("image"), F.col("l_returnflag").alias("label"), F.xxhash64("l_orderkey", "l_linenumber", "l_partkey").alias("box"), (F.col("l_extendedprice") / 100000).alias("score"), x.alias("x1"), y.alias("y1"), (x + F.col("l_quantity")).alias("x2"), (y + F.col("l_quantity")).alias("y2"))
-    return D.suppress(boxes.where("score >= 0.2"))
+    least = boxes.select("label").distinct().withColumn("score", F.when(F.col("label") == "N", 0.2).otherwise(0.25))
+    return D.suppress(boxes, least=least)
 
 
 @query("SELECT md5(text) AS h, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -304,9 +305,8 @@ def _pixels(read):
     return planted(read).select("vec_id", "label", F.transform("e", lambda v: v * 127 + 128).alias("p"), D.sign_bits(F.col("e")).alias("code"))
 
 
-def _judged(read):
-    """Every near pair of all vectors with its evidence and whether it is one item, by the reference's limits."""
-    px = _pixels(read)
+def _judged(px):
+    """Every near pair of the rows ``px`` with its evidence and whether it is one item, by the limits of the same-item test."""
     j = D.judged_pairs(D.hamming_pairs(px, "vec_id", "code", 4), px, "vec_id", "p")
     same = (F.col("ssim") >= 0.995) & (F.col("d.mean") <= 2) & (F.col("d.max") <= 24) & (F.col("d.block") <= 8)
     return j.select("a", "b", "distance", "ssim", F.col("d.mean").alias("mean"), F.col("d.max").alias("most"), F.col("d.block").alias("block"), same.alias("same"))
@@ -314,8 +314,19 @@ def _judged(read):
 
 @query()
 def same_pairs(read):
-    """The whole same-item test on the near pairs of all vectors; ``same_item`` judges the planted copies alone."""
-    return _judged(read)
+    """The whole same-item test on the near pairs of all different vectors, with the number of equal ones on both sides.
+
+    ``same_item`` judges the planted copies alone, ``same_members`` has the classes.
+    """
+    reps, _ = D.fold_classes(_pixels(read), ["p"], "vec_id", [])
+    count = lambda x: reps.select(F.col("vec_id").alias(x), F.col("n").alias("n" + x))
+    return _judged(reps).join(count("a"), "a").join(count("b"), "b")
+
+
+@query(COPIES + "SELECT vec_id, min(vec_id) OVER (PARTITION BY e) AS rep FROM p")
+def same_members(read):
+    """Every vector and the first of those equal to it."""
+    return D.fold_classes(_pixels(read), ["p"], "vec_id", [])[1]
 
 
 @query()
@@ -326,8 +337,14 @@ def dedup_tiers(read):
 
 @query()
 def greedy_dedup(read):
-    same = materialize(_judged(read).where("same").select("a", "b"), "same")
-    return D.greedy_dedup(planted(read).select("vec_id", "label", (-F.col("vec_id")).alias("o")), same, "label", "vec_id", "o")
+    rows = _pixels(read).withColumn("o", -F.col("vec_id"))
+    return D.greedy_classes(rows, "label", "vec_id", "o", "p", lambda reps: _judged(reps).where("same").select("a", "b"))
+
+
+@query()
+def content_dedup(read):
+    """Vectors by bucket (label) that are first of their kind: a near one in an earlier bucket or with a lesser id counts as its copy."""
+    return D.unique_content(_pixels(read), "label", "vec_id", "p", lambda reps: _judged(reps).where("same").select("a", "b"))
 
 
 @query(SIG.replace("WITH v", "WITH RECURSIVE v") + ", n AS (SELECT x.vec_id AS a, y.vec_id AS b FROM s x JOIN s y ON x.vec_id < y.vec_id AND x.label <> y.label AND list_inner_product(x.e, y.e) >= 0.42), w AS (SELECT a, b FROM n UNION SELECT b, a FROM n), r(node, c) AS (SELECT a, a FROM w UNION SELECT w.b, r.c FROM r JOIN w ON w.a = r.node) SELECT min(c) AS family, node AS vec_id FROM r GROUP BY node")

@@ -122,12 +122,19 @@ def is_same(x):
 @pytest.mark.parametrize("given", [True, False])
 def test_same_pairs(spark, sf, tmp_path, given):
     folder = sf if given else vectors(spark, tmp_path)
-    want = brute_pairs(planted_rows(spark, folder))
+    rows = planted_rows(spark, folder)
+    first, n = {}, {}
+    for k, v in sorted(rows):
+        k = first.setdefault(v, k)
+        n[k] = n.get(k, 0) + 1
+    want = brute_pairs([(k, v) for v, k in first.items()])
     got = {(r.a, r.b): r for r in registry.QUERIES["same_pairs"](spark, folder).collect()}
     assert set(got) == set(want)
     for p, r in got.items():
         assert (r.distance, r.ssim, r.mean, r.most, r.block) == pytest.approx(want[p]) and r.same == is_same(want[p])
-    assert given or {p for p, x in want.items() if is_same(x)} >= {(1, 2), (3, 4)} and not got[7, 8].same
+        assert (r.na, r.nb) == (n[p[0]], n[p[1]])
+    assert {(r.vec_id, r.rep) for r in registry.QUERIES["same_members"](spark, folder).collect()} == {(k, first[v]) for k, v in rows}
+    assert given or n[1] > 1 and is_same(want[3, 4]) and not got[7, 8].same
 
 
 @pytest.mark.parametrize("given", [True, False])
@@ -141,3 +148,18 @@ def test_greedy_dedup(spark, sf, tmp_path, given):
         want |= {(k, by[0])} if by else set()
         kept += [] if by else [k]
     assert {(r.dropped, r.of) for r in registry.QUERIES["greedy_dedup"](spark, folder).collect()} == want
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_content_dedup(spark, sf, tmp_path, given):
+    folder = sf if given else vectors(spark, tmp_path)
+    rows = planted_rows(spark, folder)
+    same = {p for p, x in brute_pairs(rows).items() if is_same(x)}
+    label = {r.vec_id % 1000000: r.label for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    at = sorted((label[k % 1000000], k) for k, _ in rows)
+    kept = []
+    for b, k in at:
+        if not any((min(x, k), max(x, k)) in same for _, x in kept):
+            kept.append((b, k))
+    want = {(b, sum(x == b for x, _ in kept), sum(x == b for x, _ in at) - sum(x == b for x, _ in kept)) for b, _ in kept}
+    assert {(r.label, r.uniq, r.dup) for r in registry.QUERIES["content_dedup"](spark, folder).collect()} == want
