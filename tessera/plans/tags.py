@@ -9,6 +9,7 @@ from tessera.operators import screening as S
 from tessera.operators import tagstats as G
 from tessera.operators import vocab as V
 from tessera.operators.gate import protect
+from tessera.operators.spelling import suffix_families as suffix_families_of
 from tessera.operators.wash import Rules, normalised, wash_tokens
 from tessera.plans.base import query
 from tessera.storage import materialize
@@ -92,7 +93,23 @@ def near_terms(read):
 
 @query()
 def near_terms_all(read):
-    return near_terms(read)
+    """As ``near_terms``, but the first letters may differ too."""
+    v = materialize(vocabulary(tokens(read)), "vocabulary")
+    return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2, prefix=0)
+
+
+#: Pairs of neighbouring words of a line, as names of two words.
+PAIRS = "w AS (SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents), two AS (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS name FROM w), voc AS (SELECT name, count(*) AS posts FROM two GROUP BY 1) "
+
+
+@query("WITH " + PAIRS + "SELECT head, name, posts, row_number() OVER (PARTITION BY head ORDER BY contains(name, head[1:3]) DESC, posts DESC, name) AS r FROM (SELECT h.name AS head, v.name, v.posts FROM voc h JOIN voc v ON split_part(h.name, ' ', 2) = split_part(v.name, ' ', 2) AND h.name <> v.name WHERE h.posts BETWEEN 4 AND 8 AND v.posts > 8) QUALIFY r <= 5")
+def suffix_families(read):
+    """For names of two words that are seen 4 to 8 times: popular names with the same second word."""
+    words = F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z]+", " "), " "), lambda x: x != "")
+    two = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1))))
+    v = read("documents").select(words.alias("w")).select(F.explode(two).alias("name")).groupBy("name").agg(F.count("*").alias("posts"))
+    v = materialize(v, "names")
+    return suffix_families_of(v.where("posts BETWEEN 4 AND 8"), v, 8, head="name").withColumn("r", F.col("r").cast("long"))
 
 
 @query("SELECT p_type AS head, p_name AS name, count(*) AS posts FROM part GROUP BY p_type, p_name QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY contains(p_name, lower(p_type[1:2])) DESC, count(*) DESC, p_name) <= 5")
