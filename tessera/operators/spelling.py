@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.storage import broadcast_if_small
+
 
 def letters(word: str) -> Column:
     """A bit for each of 64 classes of code points; one edit changes at most two."""
@@ -60,7 +62,7 @@ def near_spellings(terms: DataFrame, term: str, names: DataFrame, name: str, dis
     """``(term, name, distance)`` of every two different words within ``distance`` edits."""
     t = terms.select(F.col(term).alias("term")).where("term IS NOT NULL").distinct().withColumn("lt", letters("term"))
     n = names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct().withColumn("ln", letters("name"))
-    met = substrings(t, "term", distance).join(segments(n, "name", distance), "seg")
+    met = substrings(t, "term", distance).join(broadcast_if_small(segments(n, "name", distance)), "seg")
     met = met.where((F.bit_count(F.col("lt").bitwiseXOR(F.col("ln"))) <= 2 * distance) & (F.col("term") != F.col("name")))
     met = met.withColumn("distance", F.levenshtein("term", "name", distance)).where("distance >= 0")
     return met.select("term", "name", "distance").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_tag
 from tessera.operators.vocab import flatten_aliases
+from tessera.storage import materialize
 
 
 @dataclass
@@ -54,8 +55,8 @@ def explode_tags(rows: DataFrame, key: str, tags: Column) -> DataFrame:
 def wash(rows: DataFrame, key: str, tags: Column, vocab: DataFrame, aliases: DataFrame, rules: Rules, slot: Column) -> tuple[DataFrame, DataFrame]:
     """``(lines, dropped)``: one line per row that keeps a tag, and every dropped tag with its reason.
 
-    ``vocab(name, category, posts, parent)`` and ``aliases(alias, canonical)`` are joined once each on the exploded tags;
-    Spark broadcasts them when they are small. Chains of aliases are followed to their end. ``slot`` is an expression over ``tag`` and ``category``.
+    ``vocab(name, category, posts, parent)`` and ``aliases(alias, canonical)`` are joined once each with the different forms of
+    tags, whose verdicts are joined with all places; Spark broadcasts them when they are small. Chains of aliases are followed to their end. ``slot`` is an expression over ``tag`` and ``category``.
     """
     return wash_tokens(normalised(rows, key, tags), key, vocab, aliases, rules, slot)
 
@@ -65,12 +66,26 @@ def normalised(rows: DataFrame, key: str, tags: Column) -> DataFrame:
     return explode_tags(rows, key, tags).withColumn("tag", normalize_tag(F.col("raw")))
 
 
+def forms(places: DataFrame) -> DataFrame:
+    """``(raw, tag, n)``: the different forms of tags in ``places``, their normal form and number; each is normalised once."""
+    return places.groupBy("raw").agg(F.count("*").alias("n")).withColumn("tag", normalize_tag(F.col("raw")))
+
+
 def wash_tokens(t: DataFrame, key: str, vocab: DataFrame, aliases: DataFrame, rules: Rules, slot: Column) -> tuple[DataFrame, DataFrame]:
     """``wash`` from the table that ``normalised`` makes."""
-    t = t.where("tag <> ''")
+    judged = materialize(verdicts(t.select("raw", "tag").distinct(), vocab, aliases, rules, slot), "verdicts")
+    return wash_judged(t, key, judged, rules)
+
+
+def verdicts(forms: DataFrame, vocab: DataFrame, aliases: DataFrame, rules: Rules, slot: Column) -> DataFrame:
+    """``(raw, sub, tag, parent, slot, reason)``: what becomes of each different form ``(raw, tag)``, whatever rows it is in.
+
+    A form that rules split has a row for each part. ``reason`` is null where the tag stays.
+    """
+    t = forms.where("tag <> ''").withColumn("sub", F.lit(0))
     if rules.split:
         parts = F.create_map(*[x for k, v in rules.split.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-        t = t.select(key, "pos", "raw", F.posexplode(F.coalesce(F.try_element_at(parts, F.col("tag")), F.array("tag"))).alias("sub", "tag"))
+        t = t.select("raw", F.posexplode(F.coalesce(F.try_element_at(parts, F.col("tag")), F.array("tag"))).alias("sub", "tag"))
     a = flatten_aliases(aliases).select(F.col("alias").alias("tag"), "canonical")
     t = t.join(a, "tag", "left").withColumn("tag", F.coalesce("canonical", "tag")).drop("canonical")
     v = vocab.select(F.col("name").alias("tag"), "category", "posts", "parent")
@@ -87,11 +102,16 @@ def wash_tokens(t: DataFrame, key: str, vocab: DataFrame, aliases: DataFrame, ru
         reason = reason.when(F.coalesce("posts", F.lit(0)) < rules.least, "lowfreq")
     if rules.unknown == "drop":
         reason = reason.when(~known, "unknown")
-    t = t.withColumn("reason", reason)
+    return t.select("raw", "sub", "tag", "parent", F.coalesce(slot, F.lit(0)).alias("slot"), reason.alias("reason"))
+
+
+def wash_judged(t: DataFrame, key: str, judged: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """``wash`` of the places ``t`` (key, pos, raw) of tags by the verdicts on their forms: the one join over all places."""
+    t = t.select(key, "pos", "raw").join(judged, "raw")
     best = F.struct("pos", "sub")
     # first-seen duplicates fold in the aggregation, so a hot tag never meets in one place
-    kept = t.where("reason IS NULL").groupBy(key, "tag").agg(F.min(best).alias("at"), F.first("category").alias("category"), F.first("parent").alias("parent"))
-    whole = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("at"), F.col("tag"), F.col("parent"), F.coalesce(slot, F.lit(0)).alias("slot")))).alias("tags"))
+    kept = t.where("reason IS NULL").groupBy(key, "tag").agg(F.min(best).alias("at"), F.first("slot").alias("slot"), F.first("parent").alias("parent"))
+    whole = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("at"), F.col("tag"), F.col("parent"), F.col("slot")))).alias("tags"))
     present = F.transform("tags", lambda x: x["tag"])
     parents = F.filter(F.transform("tags", lambda x: x["parent"]), lambda p: p.isNotNull() & ~p.isin(rules.keep_parents) if rules.keep_parents else p.isNotNull())
     whole = whole.withColumns({"present": present, "parents": parents})

@@ -10,7 +10,7 @@ from tessera.operators import tagstats as G
 from tessera.operators import vocab as V
 from tessera.operators.gate import protect
 from tessera.operators.spelling import suffix_families as suffix_families_of
-from tessera.operators.wash import Rules, normalised, wash_tokens
+from tessera.operators.wash import Rules, explode_tags, forms, verdicts, wash_judged
 from tessera.plans.base import query
 from tessera.storage import materialize
 
@@ -31,6 +31,11 @@ def vocabulary(tok, posts=None):
     return v.select("name", (F.length("name") % 5).alias("category"), "posts", F.when(F.length("name") > 6, F.substring("name", 1, 3)).alias("parent"))
 
 
+def word_table(read):
+    """``vocabulary`` of all documents, written; each different form is normalised once."""
+    return materialize(vocabulary(forms(explode_tags(read("documents"), "doc_id", T.words(F.col("text")))), F.sum("n")), "vocabulary")
+
+
 @query(TOK + "SELECT tag, count(*) AS n, count(DISTINCT raw) AS forms, min(replace(replace(tag, chr(92), ''), ' ', '_')) AS key FROM norm GROUP BY 1")
 def normalize(read):
     return tokens(read).groupBy("tag").agg(F.count("*").alias("n"), F.count_distinct("raw").alias("forms"), F.min(T.lookup_key(F.col("tag"))).alias("key"))
@@ -39,7 +44,7 @@ def normalize(read):
 @query(TOK + "SELECT coalesce(v.name, p.name) AS name, coalesce(p.category, v.category) AS category, greatest(v.posts, p.posts) AS posts FROM vocab v FULL JOIN (SELECT split_part(p_name, ' ', 1) AS name, max(p_size) AS category, count(*) AS posts FROM part GROUP BY 1) p ON v.name = p.name")
 def vocab_merge(read):
     p = read("part").groupBy(F.element_at(F.split("p_name", " "), 1).alias("name")).agg(F.max("p_size").alias("category"), F.count("*").alias("posts"))
-    return V.merge_vocab(vocabulary(tokens(read)), p)
+    return V.merge_vocab(word_table(read), p)
 
 
 @query(TOK + "SELECT doc_id, count(*) AS n, count(v.name) AS known, sum(v.posts)::BIGINT AS posts, count(CASE WHEN category = 2 THEN 1 END) AS two FROM norm LEFT JOIN vocab v ON tag = name GROUP BY 1")
@@ -87,14 +92,14 @@ def group_key(read):
 @query()
 def near_terms(read):
     """Spellings for every word below the known count, of any length and script."""
-    v = materialize(vocabulary(tokens(read)), "vocabulary")
+    v = word_table(read)
     return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2)
 
 
 @query()
 def near_terms_all(read):
     """As ``near_terms``, but the first letters may differ too."""
-    v = materialize(vocabulary(tokens(read)), "vocabulary")
+    v = word_table(read)
     return V.near_terms(v.where("posts < 50").select(F.col("name").alias("term")), v, 50, 2, prefix=0)
 
 
@@ -164,9 +169,11 @@ l AS (SELECT doc_id, list_concat(['doc'], list_filter(list_concat(names, CASE WH
 
 
 def washed(read):
-    t = materialize(normalised(read("documents"), "doc_id", T.words(F.col("text"))), "tags")  # read three times, normalised once
-    v = materialize(vocabulary(t), "vocabulary")
-    return wash_tokens(t, "doc_id", v, aliases_of(v), RULES, F.col("category"))
+    t = explode_tags(read("documents"), "doc_id", T.words(F.col("text")))
+    f = materialize(forms(t), "forms")
+    v = materialize(vocabulary(f, F.sum("n")), "vocabulary")
+    judged = materialize(verdicts(f.select("raw", "tag"), v, aliases_of(v), RULES, F.col("category")), "verdicts")
+    return wash_judged(t, "doc_id", judged, RULES)
 
 
 @query(WASH + "SELECT doc_id, len(names) AS n_tags, array_to_string(names, ', ') AS line FROM l")
