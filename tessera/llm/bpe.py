@@ -4,10 +4,12 @@ The words of all texts are counted once; each distinct word is encoded by Spark'
 pairs of hexadecimal digits) form an array, ``aggregate`` merges the neighbours of least rank until none has a rank, and
 ranks come from a literal map. As Spark searches a map from its start, the literal is an array of small maps, found by hash.
 
-Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, and the ids) is kept in the shared
-folder for up to ``most_words`` words, the most frequent ones; each worker loads it and looks its words up there. Beyond that bound the other words' ids
-are joined to the texts that hold them, by text digest. Decoding turns every id into its piece, from a literal array, and
-concatenates the pieces to the bytes.
+Each distinct word's ids are then decoded, by concatenating their binary pieces, which come from a literal array.
+
+Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, the ids, their decimal form and the bytes
+that they decode to) is kept in the shared folder for up to ``most_words`` words, the most frequent ones; each worker loads
+the columns that it needs and looks its words up there. Beyond that bound the other words' code is joined to the texts that
+hold them, by text digest. What a text's ids decode to is the concatenation of what its words' ids decode to.
 
 Null text is empty and has no ids; rows with null or repeated ids keep their rows; a single word of any length is one row
 of the fold. White space and letters are Unicode's as Java knows it.
@@ -99,22 +101,23 @@ def piece_table(ranks: dict[bytes, int]) -> Column:
 
 
 def decode(ids: Column, pieces: Column) -> Column:
-    """The bytes of an array of ids; an empty array gives no bytes, an id without a piece an error."""
-    piece = lambda i: F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id without a piece")).cast("string"))
-    return F.unhex(F.array_join(F.transform(ids, piece), ""))
+    """The bytes of a word's ids, piece by piece; no ids give no bytes, an id without a piece an error."""
+    piece = lambda i: F.unhex(F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id without a piece")).cast("string")))
+    return F.aggregate(ids, F.lit(b""), lambda a, i: F.concat(a, piece(i)))
 
 
 class Code:
-    """Ids of words by hash: sorted hashes, an index of their leading bits, offsets and ids."""
+    """Words by hash: sorted hashes, an index of their leading bits, and columns in the same order."""
 
-    def __init__(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray):
-        keys = hashes.view(np.uint64)
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        keys = table["h"].to_numpy().view(np.uint64)
         order = np.argsort(keys, kind="stable")
-        ends = np.cumsum(sizes)
         self.keys = np.append(keys[order], np.uint64(0))
         self.bits = max(1, int(len(keys)).bit_length())
         self.first = np.searchsorted(self.keys[:-1], np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
-        self.starts, self.sizes, self.ids = (ends - sizes)[order].astype(np.int64), sizes[order].astype(np.int32), ids
+        one = lambda c: c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
+        self.columns = {n: one(table[n]).take(pa.array(order)) for n in table.column_names if n != "h"}
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of hashes, -1 for those that are missing."""
@@ -131,32 +134,28 @@ class Code:
             at[:] = -1
         return at
 
-    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words at ``at`` one after another, and how many each word has."""
-        n = self.sizes[at].astype(np.int64)
-        shift = np.repeat(self.starts[at] - (np.cumsum(n) - n), n)
-        return self.ids[shift + np.arange(len(shift))], n
-
 
 _loaded: dict[str, Code] = {}
 
 
-def load_code(path: str, kind: str) -> Code:
+#: Columns of the code of words and their types in the workers; binary ones get wide offsets, as a slice of texts may be large.
+CODE = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("shown", pa.large_binary()), ("bytes", pa.large_binary()), ("ids", pa.large_list(pa.int32()))])
+
+
+def load_code(path: str, columns: tuple[str, ...]) -> Code:
     """The code of words from the shared folder, once for each worker; it never passes through the driver."""
-    if path not in _loaded:
+    key = f"{path} {columns}"
+    if key not in _loaded:
         _loaded.clear()
         store, root = fs.FileSystem.from_uri(path)
-        hashes, sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, kind)]
+        schema = pa.schema([CODE.field(c) for c in ("h", *columns)])
+        parts = [schema.empty_table()]
         for info in sorted(store.get_file_info(fs.FileSelector(root)), key=lambda x: x.path):
             if info.base_name.endswith(".parquet"):
                 with store.open_input_file(info.path) as f:
-                    table = pq.read_table(f)
-                column = table["ids"].combine_chunks()
-                hashes.append(table["h"].to_numpy())
-                sizes.append(column.value_lengths().to_numpy(zero_copy_only=False))
-                ids.append(column.flatten().to_numpy(zero_copy_only=False).astype(kind))
-        _loaded[path] = Code(np.concatenate(hashes), np.concatenate(sizes).astype(np.int64), np.concatenate(ids))
-    return _loaded[path]
+                    parts.append(pq.read_table(f, columns=schema.names).select(schema.names).cast(schema))
+        _loaded[key] = Code(pa.concat_tables(parts))
+    return _loaded[key]
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -169,17 +168,11 @@ def word_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str)
     return materialize(counted.select("word", "n", encode_word(F.col("word"), rank_table(ranks)).alias("ids")), "words")
 
 
-ENCODED = "doc_id long, ids array<int>, ids_sha256 string"
-
-
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 1_000_000) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row: the ids of its whole text and the bytes that they decode to."""
-    coded = encode_ids(docs, ranks, pattern, text, most_words, slice_words)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(decode(F.col("ids"), piece_table(ranks)), 256).alias("decoded_sha256"))
-
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 500_000, ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row: the ids of its whole text and the bytes that they decode to.
 
-def encode_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", most_words: int = 4_000_000, slice_words: int = 1_000_000) -> DataFrame:
-    """``ENCODED`` for every row: the ids of its whole text, and their digest."""
+    With ``ids`` a column of the ids follows.
+    """
     spark = docs.sparkSession
     known = word_ids(docs, ranks, pattern, text)
     total = known.count()
@@ -198,48 +191,58 @@ def encode_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
             if fits > most_words:
                 break
             least = 2.0 ** (k / 4)
-    often = hashed.where(F.floor(F.log2("n") * 4) >= F.lit(int(round(np.log2(least) * 4)))) if least else hashed
-    small = "uint16" if max(ranks.values(), default=0) < 1 << 16 else "uint32"
+    shown = F.concat(F.array_join("ids", ","), F.lit(",")).cast("binary")
+    code = hashed.select("h", F.size("ids").alias("n"), shown.alias("shown"), decode(F.col("ids"), piece_table(ranks)).alias("bytes"), "ids", F.floor(F.log2("n") * 4).alias("often"))
     path = scratch_path(spark, "code")
-    often.select("h", "ids").write.parquet(path)
-    most = max(ranks.values(), default=-1)
+    code.write.parquet(path + "/all")
+    code = spark.read.schema(code.schema).parquet(path + "/all")
+    loaded = path + "/all"
+    columns = ("n", "shown", "bytes", *(("ids",) if ids else ()))
 
     words = words_of(F.col(text), pattern)
     rows = docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)).alias("h"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("digest"))
     if least:
-        rest = hashed.where(F.floor(F.log2("n") * 4) < F.lit(int(round(np.log2(least) * 4)))).select("h", "ids")
+        bound, loaded = int(round(np.log2(least) * 4)), path + "/often"
+        code.where(F.col("often") >= bound).drop("often").write.parquet(loaded)
+        rest = code.where(F.col("often") < bound).select("h", F.struct("h", *columns).alias("word"))
         need = rows.select("digest", F.explode(F.array_distinct("h")).alias("h")).distinct().join(rest, "h")
-        more = need.groupBy("digest").agg(F.collect_list("h").alias("more_h"), F.collect_list("ids").alias("more_ids"))
-        rows = rows.join(more, "digest", "left").select("doc_id", "h", "more_h", "more_ids")
+        more = need.groupBy("digest").agg(F.collect_list("word").alias("more"))
+        rows = rows.join(more, "digest", "left").select("doc_id", "h", "more")
     else:
         rows = rows.select("doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, names = load_code(path, small), [str(i) for i in range(most + 1)]
+        code = load_code(loaded, columns)
         for batch in batches:
             offsets = batch["h"].offsets.to_numpy()
             flat = batch["h"].values.to_numpy(zero_copy_only=False)
             first = 0
             while first < batch.num_rows:  # rows of about slice_words words at a time
                 last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + slice_words, "right")) - 1)
+                ends = offsets[first : last + 1] - offsets[first]
                 at = code.find(flat[offsets[first] : offsets[last]])
                 if not least and (at < 0).any():
                     raise ValueError("a word is missing")
-                got, n = code.gather(np.maximum(at, 0)) if len(at) and len(code.sizes) else (code.ids[:0], np.zeros(len(at), np.int64))
-                ends = np.concatenate([[0], np.cumsum(n)])
-                ids, digests = [], []
-                for row in range(first, last):
-                    lo, hi = offsets[row] - offsets[first], offsets[row + 1] - offsets[first]
-                    own = got[ends[lo] : ends[hi]]
-                    if least and (at[lo:hi] < 0).any():
-                        extra = dict(zip(batch["more_h"][row].as_py(), batch["more_ids"][row].as_py(), strict=True))
-                        parts = [got[ends[k] : ends[k + 1]] if at[k] >= 0 else extra[int(flat[offsets[first] + k])] for k in range(lo, hi)]
-                        own = np.concatenate(parts).astype(np.int64)
-                    ids.append(own)
-                    digests.append(hashlib.sha256(",".join(map(names.__getitem__, own.tolist())).encode()).hexdigest())
-                sizes = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(ids).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, last - first), column, pa.array(digests, pa.string())], names=["doc_id", "ids", "ids_sha256"])
+                of = code.columns
+                if least and (at < 0).any():  # the slice's own words, then those that came with its rows
+                    extra = pa.Table.from_pylist([w for x in batch["more"].slice(first, last - first).to_pylist() if x for w in x], pa.schema([CODE.field(c) for c in ("h", *columns)]))
+                    rare = Code(extra)
+                    lost = np.flatnonzero(at < 0)
+                    near, own = np.unique(at[at >= 0], return_inverse=True)
+                    of = {c: pa.concat_arrays([code.columns[c].take(pa.array(near)), rare.columns[c]]) for c in columns}
+                    at[at >= 0] = own
+                    at[lost] = len(near) + rare.find(flat[offsets[first] + lost])
+                places = pa.array(at)
+                count = np.concatenate([[0], np.cumsum(of["n"].take(places).to_numpy(zero_copy_only=False).astype(np.int64))])
+                out = [batch["doc_id"].slice(first, last - first), pa.array(count[ends[1:]] - count[ends[:-1]])]
+                for c, cut in (("shown", 1), ("bytes", 0)):
+                    taken = of[c].take(places)
+                    at_byte = np.frombuffer(taken.buffers()[1], np.int64)[ends] if len(taken) else np.zeros(len(ends), np.int64)
+                    data = memoryview(taken.buffers()[2] or b"")
+                    out.append(pa.array([hashlib.sha256(data[a : max(a, b - cut)]).hexdigest() for a, b in zip(at_byte[:-1].tolist(), at_byte[1:].tolist(), strict=True)], pa.string()))
+                if ids:
+                    out.append(pa.ListArray.from_arrays(pa.array((count[ends]).astype(np.int32)), of["ids"].take(places).flatten()))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])])
                 first = last
 
-    return rows.mapInArrow(run, ENCODED)
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else ""))

@@ -24,6 +24,9 @@ def test_encode(spark):
     want = sorted((brute(i, t) for i, t in [*enumerate(texts), (None, "no id")]), key=str)
     for most in (10**6, 40, 0):
         assert sorted((tuple(r) for r in bpe.encode_documents(df, RANKS, public_tokenizers.PATTERN, most_words=most, slice_words=50).collect()), key=str) == want
+    for most in (10**6, 40):
+        got = {(r.doc_id, tuple(r.ids)) for r in bpe.encode_documents(df, RANKS, public_tokenizers.PATTERN, most_words=most, slice_words=50, ids=True).collect()}
+        assert got == {(i, tuple(LIBRARY.encode_ordinary(t or ""))) for i, t in [*enumerate(texts), (None, "no id")]}
     assert bpe.encode_documents(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
