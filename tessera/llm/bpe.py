@@ -4,12 +4,11 @@ The words of all texts are counted once; each distinct word is encoded by Spark'
 pairs of hexadecimal digits) form an array, ``aggregate`` merges the neighbours of least rank until none has a rank, and
 ranks come from a literal map. As Spark searches a map from its start, the literal is an array of small maps, found by hash.
 
-Each distinct word's ids are then decoded, by concatenating their binary pieces, which come from a literal array.
 
-Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, the ids, their decimal form and the bytes
-that they decode to) is kept in the shared folder for up to ``most_words`` words, the most frequent ones; each worker loads
-the columns that it needs and looks its words up there. Beyond that bound the other words' code is joined to the texts that
-hold them, by text digest. What a text's ids decode to is the concatenation of what its words' ids decode to.
+Texts are never shuffled: the code of words (a 64-bit hash, checked to be unique, and the ids) is kept in the shared folder for
+up to ``most_words`` words, the most frequent ones; each worker loads it and looks its words up there. Beyond that bound the
+other words' ids are joined to the texts that hold them, by text digest. Decoding concatenates the binary pieces of all ids,
+a slice of texts at a time.
 
 Null text is empty and has no ids; rows with null or repeated ids keep their rows; a single word of any length is one row
 of the fold. White space and letters are Unicode's as Java knows it.
@@ -92,32 +91,35 @@ def encode_word(word: Column, table: Column) -> Column:
     return let(rank_of(table, whole), lambda r: F.when(r < NONE, F.array(r)).when(F.length(whole) > 2, merged))
 
 
-def piece_table(ranks: dict[bytes, int]) -> Column:
-    """The literal array from ids to pieces, as hexadecimal digits."""
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+def by_id(ranks: dict[bytes, int]) -> pa.Array:
+    """The piece of each id, null where there is none."""
+    pieces: list = [None] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex()
-    return F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+        pieces[rank] = token
+    return pa.array(pieces, pa.large_binary())
 
 
-def decode(ids: Column, pieces: Column) -> Column:
-    """The bytes of a word's ids, piece by piece; no ids give no bytes, an id without a piece an error."""
-    piece = lambda i: F.unhex(F.coalesce(F.get(pieces, i), F.raise_error(F.lit("an id without a piece")).cast("string")))
-    return F.aggregate(ids, F.lit(b""), lambda a, i: F.concat(a, piece(i)))
+def joined(table: pa.Array, ids: pa.Array, cuts: np.ndarray) -> list[memoryview]:
+    """The entries of ``table`` for ``ids`` one after another, cut at ids ``cuts``."""
+    if not len(ids):
+        return [memoryview(b"")] * (len(cuts) - 1)
+    taken = table.take(ids)
+    if taken.null_count:
+        raise ValueError("an id without a piece")
+    at, data = np.frombuffer(taken.buffers()[1], np.int64)[cuts].tolist(), memoryview(taken.buffers()[2] or b"")
+    return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 class Code:
-    """Words by hash: sorted hashes, an index of their leading bits, and columns in the same order."""
+    """Ids of words by hash: sorted hashes, an index of their leading bits, and the lists of ids in the same order."""
 
-    def __init__(self, table: pa.Table):
-        table = table.combine_chunks()
-        keys = table["h"].to_numpy().view(np.uint64)
+    def __init__(self, hashes: np.ndarray, ids: pa.Array):
+        keys = hashes.view(np.uint64)
         order = np.argsort(keys, kind="stable")
         self.keys = np.append(keys[order], np.uint64(0))
         self.bits = max(1, int(len(keys)).bit_length())
         self.first = np.searchsorted(self.keys[:-1], np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
-        one = lambda c: c.chunk(0) if c.num_chunks == 1 else pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type)
-        self.columns = {n: one(table[n]).take(pa.array(order)) for n in table.column_names if n != "h"}
+        self.ids = ids.take(pa.array(order))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of hashes, -1 for those that are missing."""
@@ -138,24 +140,20 @@ class Code:
 _loaded: dict[str, Code] = {}
 
 
-#: Columns of the code of words and their types in the workers; binary ones get wide offsets, as a slice of texts may be large.
-CODE = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("shown", pa.large_binary()), ("bytes", pa.large_binary()), ("ids", pa.large_list(pa.int32()))])
-
-
-def load_code(path: str, columns: tuple[str, ...]) -> Code:
+def load_code(path: str, kind: pa.DataType) -> Code:
     """The code of words from the shared folder, once for each worker; it never passes through the driver."""
-    key = f"{path} {columns}"
-    if key not in _loaded:
+    if path not in _loaded:
         _loaded.clear()
         store, root = fs.FileSystem.from_uri(path)
-        schema = pa.schema([CODE.field(c) for c in ("h", *columns)])
-        parts = [schema.empty_table()]
+        hashes, ids = [np.empty(0, np.int64)], [pa.array([], kind)]
         for info in sorted(store.get_file_info(fs.FileSelector(root)), key=lambda x: x.path):
             if info.base_name.endswith(".parquet"):
                 with store.open_input_file(info.path) as f:
-                    parts.append(pq.read_table(f, columns=schema.names).select(schema.names).cast(schema))
-        _loaded[key] = Code(pa.concat_tables(parts))
-    return _loaded[key]
+                    table = pq.read_table(f, columns=["h", "ids"])
+                hashes.append(table["h"].to_numpy())
+                ids += table["ids"].cast(kind).chunks
+        _loaded[path] = Code(np.concatenate(hashes), pa.concat_arrays(ids))
+    return _loaded[path]
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -191,20 +189,18 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
             if fits > most_words:
                 break
             least = 2.0 ** (k / 4)
-    shown = F.concat(F.array_join("ids", ","), F.lit(",")).cast("binary")
-    code = hashed.select("h", F.size("ids").alias("n"), shown.alias("shown"), decode(F.col("ids"), piece_table(ranks)).alias("bytes"), "ids", F.floor(F.log2("n") * 4).alias("often"))
+    code = hashed.select("h", "ids", F.floor(F.log2("n") * 4).alias("often"))
+    bound = int(round(np.log2(least) * 4)) if least else 0
     path = scratch_path(spark, "code")
-    code.write.parquet(path + "/all")
-    code = spark.read.schema(code.schema).parquet(path + "/all")
-    loaded = path + "/all"
-    columns = ("n", "shown", "bytes", *(("ids",) if ids else ()))
+    (code.where(F.col("often") >= bound) if least else code).select("h", "ids").write.parquet(path)
+    kind = pa.list_(pa.uint16() if max(ranks.values(), default=0) < 1 << 16 else pa.int32())
+    pieces = by_id(ranks)
+    shown = pa.array([f"{i},".encode() for i in range(len(pieces))], pa.large_binary())
 
     words = words_of(F.col(text), pattern)
     rows = docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(F.lit(seed), w)).alias("h"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("digest"))
     if least:
-        bound, loaded = int(round(np.log2(least) * 4)), path + "/often"
-        code.where(F.col("often") >= bound).drop("often").write.parquet(loaded)
-        rest = code.where(F.col("often") < bound).select("h", F.struct("h", *columns).alias("word"))
+        rest = code.where(F.col("often") < bound).select("h", F.struct("h", "ids").alias("word"))
         need = rows.select("digest", F.explode(F.array_distinct("h")).alias("h")).distinct().join(rest, "h")
         more = need.groupBy("digest").agg(F.collect_list("word").alias("more"))
         rows = rows.join(more, "digest", "left").select("doc_id", "h", "more")
@@ -212,7 +208,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
         rows = rows.select("doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = load_code(loaded, columns)
+        code = load_code(path, kind)
         for batch in batches:
             offsets = batch["h"].offsets.to_numpy()
             flat = batch["h"].values.to_numpy(zero_copy_only=False)
@@ -223,25 +219,23 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, tex
                 at = code.find(flat[offsets[first] : offsets[last]])
                 if not least and (at < 0).any():
                     raise ValueError("a word is missing")
-                of = code.columns
+                of = code.ids
                 if least and (at < 0).any():  # the slice's own words, then those that came with its rows
-                    extra = pa.Table.from_pylist([w for x in batch["more"].slice(first, last - first).to_pylist() if x for w in x], pa.schema([CODE.field(c) for c in ("h", *columns)]))
-                    rare = Code(extra)
+                    extra = [w for x in batch["more"].slice(first, last - first).to_pylist() if x for w in x]
+                    rare = Code(np.array([w["h"] for w in extra], np.int64), pa.array([w["ids"] for w in extra], kind))
                     lost = np.flatnonzero(at < 0)
                     near, own = np.unique(at[at >= 0], return_inverse=True)
-                    of = {c: pa.concat_arrays([code.columns[c].take(pa.array(near)), rare.columns[c]]) for c in columns}
+                    of = pa.concat_arrays([of.take(pa.array(near)), rare.ids])
                     at[at >= 0] = own
                     at[lost] = len(near) + rare.find(flat[offsets[first] + lost])
-                places = pa.array(at)
-                count = np.concatenate([[0], np.cumsum(of["n"].take(places).to_numpy(zero_copy_only=False).astype(np.int64))])
-                out = [batch["doc_id"].slice(first, last - first), pa.array(count[ends[1:]] - count[ends[:-1]])]
-                for c, cut in (("shown", 1), ("bytes", 0)):
-                    taken = of[c].take(places)
-                    at_byte = np.frombuffer(taken.buffers()[1], np.int64)[ends] if len(taken) else np.zeros(len(ends), np.int64)
-                    data = memoryview(taken.buffers()[2] or b"")
-                    out.append(pa.array([hashlib.sha256(data[a : max(a, b - cut)]).hexdigest() for a, b in zip(at_byte[:-1].tolist(), at_byte[1:].tolist(), strict=True)], pa.string()))
+                tokens = of.take(pa.array(at))
+                cuts = tokens.offsets.to_numpy()[ends].astype(np.int64)
+                tokens = tokens.flatten()
+                digests = [hashlib.sha256(x[:-1]).hexdigest() for x in joined(shown, tokens, cuts)]
+                decoded = [hashlib.sha256(x).hexdigest() for x in joined(pieces, tokens, cuts)]
+                out = [batch["doc_id"].slice(first, last - first), pa.array(np.diff(cuts)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
                 if ids:
-                    out.append(pa.ListArray.from_arrays(pa.array((count[ends]).astype(np.int32)), of["ids"].take(places).flatten()))
+                    out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), tokens.cast(pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if ids else [])])
                 first = last
 
