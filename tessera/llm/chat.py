@@ -59,6 +59,13 @@ TOKEN = re.compile(r"\s*(?:('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(\d+)|([A-Za
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 
 
+#: Parentheses and negations of one expression, at most.
+MOST_DEPTH = 60
+STRING = r"""\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'"""
+#: A tag ends at the first end mark outside a string; a quote that is not closed is a plain character.
+TAG = re.compile(r"(\{\{(?:" + STRING + r"|(?!\}\}).)*\}\}|\{%(?:" + STRING + r"|(?!%\}).)*%\}|\{#.*?#\})", re.S)
+
+
 def _expression(source: str) -> tuple:
     tokens, at = [], 0
     while source[at:].strip():
@@ -67,7 +74,7 @@ def _expression(source: str) -> tuple:
             raise TemplateError(f"cannot read {source[at:]!r}")
         at = m.end()
         tokens.append(m)
-    pos = 0
+    pos = depth = 0
 
     def peek(*words: str) -> bool:
         return pos < len(tokens) and tokens[pos].group().strip() in words
@@ -85,10 +92,13 @@ def _expression(source: str) -> tuple:
             left = (take().group().strip(), left, lower())
         return left
 
+    def deeper() -> None:
+        nonlocal depth
+        depth += 1
+        if depth > MOST_DEPTH:
+            raise TemplateError(f"nested more than {MOST_DEPTH} deep: {source[:80]!r}")
+
     def primary() -> tuple:
-        if peek("not"):
-            take()
-            return ("not", primary())
         m = take()
         text, number, name, op = m.groups()
         if text is not None:
@@ -102,6 +112,7 @@ def _expression(source: str) -> tuple:
                 raise TemplateError(f"{name} is not allowed")
             out = ("name", tuple(name.split(".")))
         elif op == "(":
+            deeper()
             out = either()
             if take().group().strip() != ")":
                 raise TemplateError(f"no closing parenthesis: {source!r}")
@@ -121,8 +132,15 @@ def _expression(source: str) -> tuple:
     def compare() -> tuple:
         return binary(("==", "!="), plus)
 
+    def negation() -> tuple:
+        if peek("not"):
+            take()
+            deeper()
+            return ("not", negation())
+        return compare()
+
     def both() -> tuple:
-        return binary(("and",), compare)
+        return binary(("and",), negation)
 
     def either() -> tuple:
         return binary(("or",), both)
@@ -135,7 +153,7 @@ def _expression(source: str) -> tuple:
 
 def parse(template: str) -> list[tuple]:
     """The syntax tree of ``template``."""
-    pieces = re.split(r"(\{\{.*?\}\}|\{%.*?%\}|\{#.*?#\})", template, flags=re.S)
+    pieces = TAG.split(template)
     at = 0
 
     def block(*ends: str) -> tuple[list[tuple], str]:

@@ -131,6 +131,27 @@ def _date(key: str, m: Column, form: str) -> Column:
     return F.when(days.between(0, DAYS - 1), F.date_format(out, form))
 
 
+#: Month and day as mmdd of the days after the 28th, but for February.
+LATE = [100 * m + d for m in range(1, 13) if m != 2 for d in ((29, 30, 31) if m in (1, 3, 5, 7, 8, 10, 12) else (29, 30))]
+
+
+def _day_first(key: str, m: Column) -> Column:
+    """Slashed dates that only read as day, month, year, permuted among themselves: by days 13 to 28, later ones, and leap days."""
+    sound = F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull()
+    day, month, year = (_long(F.substring(m, *x)) for x in ((1, 2), (4, 2), (7, 4)))
+    valid = sound & (day > 12) & year.between(1900, 2099)
+    part = lambda c, n=2: F.lpad(c.cast("string"), n, "0")
+    date = lambda d, mo, y: F.concat_ws("/", part(d), part(mo), part(y, 4))
+    div = lambda a, b: F.call_function("div", a, F.lit(b))
+    x = feistel(key, "day-first", ((year - 1900) * 12 + month - 1) * 16 + day - 13, 240, 160)
+    early = date(x % 16 + 13, div(x, 16) % 12 + 1, div(x, 192) + 1900)
+    late = F.array(*[F.lit(v).cast("long") for v in LATE])
+    y = feistel(key, "day-first-late", (year - 1900) * len(LATE) + F.array_position(late, month * 100 + day) - 1, 40, 5 * len(LATE))
+    at = F.get(late, (y % len(LATE)).cast("int"))
+    leap = feistel(key, "day-first-leap", div(year - 1904, 4), 7, 7)
+    return F.when(valid & (day <= 28), early).when(valid & (month == 2), date(F.lit(29), F.lit(2), 1904 + 4 * leap)).when(valid, date(at % 100, div(at, 100), div(y, len(LATE)) + 1900))
+
+
 def _phone(key: str, m: Column, keep: Column) -> Column:
     d = _digits(m)
     return F.when(F.length(d).between(7, 15), refill(m, F.concat(F.substring(d, F.lit(1), keep), permute_digits(key, "phone", F.substring(d, keep + 1, F.length(d))))))
@@ -167,7 +188,7 @@ def pseudonym(key: str, m: Column) -> Column:
         "iso": F.coalesce(_date(key, m, "yyyy-MM-dd"), _date(key, m, "yyyy/MM/dd")),
         "ssn": _ssn(key, m),
         "dotted": _date(key, m, "dd.MM.yyyy"),
-        "slashed": F.coalesce(_date(key, m, "MM/dd/yyyy"), _date(key, m, "dd/MM/yyyy")),
+        "slashed": F.coalesce(_date(key, m, "MM/dd/yyyy"), _day_first(key, m)),
         "nanp": _phone(key, m, F.length(_digits(m)) - 10),
         "phone": _phone(key, m, F.lit(2)),
     }
@@ -180,7 +201,8 @@ def pseudonym(key: str, m: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the personal data in ``text`` replaced; all other columns and rows stay as they are."""
-    found, new = "__pii_found", "__pii_new"
+    longest = max(docs.columns, key=len)
+    found, new = longest + "_found", longest + "_new"  # no other column has these names
     source = F.col(text)
     rows = docs.withColumn(found, F.when(source.rlike("[0-9@]"), F.regexp_extract_all(source, F.lit(PATTERN), 0)))
     rows = rows.withColumn(new, F.transform(found, lambda m: pseudonym(key, m)))

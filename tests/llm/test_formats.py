@@ -126,6 +126,28 @@ def test_template_language():
             chat.parse(bad)
 
 
+@pytest.mark.parametrize(
+    ("template", "want"),
+    [
+        ("{% for m in messages %}{% if not m.role == 'a' %}{{ m.text }}{% endif %}{% endfor %}", "y"),
+        ("{% for m in messages %}{% if not m.role == 'a' and not false %}{{ m.role }}{% endif %}{% endfor %}", "b"),
+        ("{% if not not true %}t{% endif %}{% if not (1 == 1 or false) %}f{% endif %}", "t"),
+        ("{{ 'a}}b' }}|{{ \"%}\" }}", "a}}b|%}"),
+        ("{% if '%}' == '%}' %}{{ '\\'}}' }}{% endif %}", "'}}"),
+        ("it's {{ 'x' }} isn't", "it's x isn't"),
+    ],
+)
+def test_template_grammar(template, want):
+    two = ({"role": "a", "text": "x"}, {"role": "b", "text": "y"})
+    assert "".join(s for s, _ in chat.compile_template(template)(iter(two))) == want
+
+
+def test_template_depth():
+    for deep in ("{{ " + "(" * 5000 + "1" + ")" * 5000 + " }}", "{% if " + "not " * 5000 + "true %}{% endif %}", "{{ 1 == not 2 }}"):
+        with pytest.raises(chat.TemplateError):
+            chat.parse(deep)
+
+
 # Token counts
 
 

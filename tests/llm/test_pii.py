@@ -165,3 +165,21 @@ def test_repeated_rows_null_ids_and_dates_out_of_range(spark):
     got = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
     want = brute("k", "%Y-%m-%d", "1984-02-29")
     assert sorted(map(tuple, got), key=str) == sorted([(None, want), (None, want), (3, None), (4, "1899-12-31 2100-01-01")], key=str)
+
+
+def test_slashed_dates_are_one_to_one(spark):
+    """All slashed dates of 1900 to 2099: month-first ones among themselves, the others among themselves."""
+    first = datetime.date(1900, 1, 1)
+    days = [first + datetime.timedelta(i) for i in range(73049)]
+    forms = sorted({d.strftime("%m/%d/%Y") for d in days} | {d.strftime("%d/%m/%Y") for d in days})
+    assert len(forms) == 117298
+    frame = spark.createDataFrame([(m,) for m in forms], "text string")
+    got = [r.text for r in pii.pseudonymise(frame, "k").collect()]
+    assert set(got) == set(forms) and len(got) == len(forms)
+    assert all((int(a[:2]) > 12) == (int(b[:2]) > 12) for a, b in zip(forms, got, strict=True)) or sorted(x for x in got if int(x[:2]) > 12) == [x for x in forms if int(x[:2]) > 12]
+
+
+def test_no_column_is_lost(spark):
+    frame = spark.createDataFrame([("on 1984-02-29", 1, 2, 3, "t")], "text string, __pii_new int, __pii_found int, text_new int, __PII_FOUND_found string")
+    out = pii.pseudonymise(frame, "k")
+    assert out.columns == frame.columns and tuple(out.first())[1:] == (1, 2, 3, "t") and out.first().text != "on 1984-02-29"
