@@ -8,12 +8,16 @@ from pyspark.sql.window import Window
 
 from tessera.storage import materialize
 
-PART = "__part"
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has: each is longer than all of them."""
+    longest = max(df.columns, key=len)
+    return [f"{longest}_{n}" for n in names]
 
-def _ranged(df: DataFrame, keys: list) -> DataFrame:
-    """``df`` in ranges of ``keys``, written once so that the number of a range cannot change when a task is run again."""
-    return materialize(df.repartitionByRange(*keys).withColumn(PART, F.spark_partition_id()), "ranges")
+
+def _ranged(df: DataFrame, keys: list, part: str) -> DataFrame:
+    """``df`` in ranges of ``keys``, written once so that the number ``part`` of a range cannot change when a task is run again."""
+    return materialize(df.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()), "ranges")
 
 
 def number_all(df: DataFrame, order: list, number: str = "number") -> DataFrame:
@@ -22,11 +26,12 @@ def number_all(df: DataFrame, order: list, number: str = "number") -> DataFrame:
     Rows that ``order`` ties are numbered among themselves in any way; nulls come first. The table of ranges has one row a
     partition.
     """
-    parts = _ranged(df, order)
-    counts = parts.groupBy(PART).agg(F.count("*").alias("__n"))
-    before = counts.select(PART, (F.sum("__n").over(Window.orderBy(PART)) - F.col("__n")).alias("__off"))
-    ranked = parts.withColumn("__r", F.row_number().over(Window.partitionBy(PART).orderBy(*order)))
-    return ranked.join(F.broadcast(before), PART).withColumn(number, F.col("__r") + F.col("__off")).drop("__r", "__off", PART)
+    part, n, off, r = _free(df, "part", "n", "off", "r")
+    parts = _ranged(df, order, part)
+    counts = parts.groupBy(part).agg(F.count("*").alias(n))
+    before = counts.select(part, (F.sum(n).over(Window.orderBy(part)) - F.col(n)).alias(off))
+    ranked = parts.withColumn(r, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
+    return ranked.join(F.broadcast(before), part).withColumn(number, F.col(r) + F.col(off)).drop(r, off, part)
 
 
 def number_within(df: DataFrame, groups: list[str], order: list, number: str = "number") -> DataFrame:
@@ -35,14 +40,15 @@ def number_within(df: DataFrame, groups: list[str], order: list, number: str = "
     Ranges are of groups and order together, so a group that holds a third of all rows is spread over a third of them. Only the
     first group of a range can have rows in an earlier one: what is broadcast has at most one row a partition.
     """
-    parts = _ranged(df, [*groups, *order])
-    counts = parts.groupBy(PART, *groups).agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy(*groups).orderBy(PART)) - F.col("__n")
-    late = counts.withColumn("__off", before).where("__off > 0").select(F.col(PART).alias("__p"), F.struct(*groups).alias("__g"), "__off")
-    ranked = parts.withColumn("__r", F.row_number().over(Window.partitionBy(PART, *groups).orderBy(*order)))
-    same = (F.col(PART) == F.col("__p")) & F.struct(*groups).eqNullSafe(F.col("__g"))
+    part, n, off, r, p, g = _free(df, "part", "n", "off", "r", "p", "g")
+    parts = _ranged(df, [*groups, *order], part)
+    counts = parts.groupBy(part, *groups).agg(F.count("*").alias(n))
+    before = F.sum(n).over(Window.partitionBy(*groups).orderBy(part)) - F.col(n)
+    late = counts.withColumn(off, before).where(F.col(off) > 0).select(F.col(part).alias(p), F.struct(*groups).alias(g), off)
+    ranked = parts.withColumn(r, F.row_number().over(Window.partitionBy(part, *groups).orderBy(*order)))
+    same = (F.col(part) == F.col(p)) & F.struct(*groups).eqNullSafe(F.col(g))
     j = ranked.join(F.broadcast(late), same, "left")
-    return j.withColumn(number, F.col("__r") + F.coalesce("__off", F.lit(0))).drop("__r", "__off", "__p", "__g", PART)
+    return j.withColumn(number, F.col(r) + F.coalesce(off, F.lit(0))).drop(r, off, p, g, part)
 
 
 def distinct_names(df: DataFrame, name: str, order: list, suffix, out: str | None = None) -> DataFrame:
@@ -50,9 +56,10 @@ def distinct_names(df: DataFrame, name: str, order: list, suffix, out: str | Non
 
     ``suffix`` makes a column of a name and its number. A null name stays null.
     """
-    n = number_within(df, [name], order, "__i")
-    named = F.when(F.col("__i") > 1, suffix(F.col(name), F.col("__i").cast("string"))).otherwise(F.col(name))
-    return n.withColumn(out or name, F.when(F.col(name).isNotNull(), named)).drop("__i")
+    (i,) = _free(df, "i")
+    n = number_within(df, [name], order, i)
+    named = F.when(F.col(i) > 1, suffix(F.col(name), F.col(i).cast("string"))).otherwise(F.col(name))
+    return n.withColumn(out or name, F.when(F.col(name).isNotNull(), named)).drop(i)
 
 
 def bucket_ranks(df: DataFrame, bucket: str, rank: str = "rank") -> DataFrame:

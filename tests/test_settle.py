@@ -93,3 +93,21 @@ def test_boxes(spark, iou):
 def test_fingerprint(spark):
     rows = spark.createDataFrame([(b"x" * 10, ), (b"x" * 9 + b"y",), (None,)], "content binary").select(dedup.fingerprint("content", 9).alias("f")).collect()
     assert rows[0].f == rows[1].f and rows[0].f.bytes == 10 and rows[2].f.bytes is None
+
+
+def test_numbering_keeps_every_column(spark):
+    from tessera.operators import numbering
+
+    names = ["__part", "__n", "__off", "__r", "__p", "__g", "__i", "g"]
+    rows = spark.createDataFrame([(1, 2, 3, 4, 5, 6, 7, "x"), (1, 2, 3, 4, 5, 6, 8, "x")], ", ".join(f"{n} {'string' if n == 'g' else 'int'}" for n in names))
+    for out in (numbering.number_all(rows, ["__i"], "k"), numbering.number_within(rows, ["g"], ["__i"], "k")):
+        assert out.columns == [*names, "k"] and sorted((r["__i"], r["__part"], r["__g"], r.k) for r in out.collect()) == [(7, 1, 6, 1), (8, 1, 6, 2)]
+    out = numbering.distinct_names(rows, "g", ["__i"], lambda name, i: F.concat(name, i))
+    assert out.columns == names and sorted(r.g for r in out.collect()) == ["x", "x2"]
+
+
+@pytest.mark.parametrize(("text", "want"), [("-" * 100_000 + "1", 2), ("(" * 5000 + "3" + ")" * 5000, 2), ("--3", 3), ("-(2-n)", 4), ("max(1, min(n, 9)) - 1", 5), ("min(3)", 2), ("3 3", 2), ("n//2*2", 6), ("7-2-1", 4), ("n/0+1", 2), ("1/0", 2), ("", 2)])
+def test_take_expressions(spark, text, want):
+    from tessera.operators.ranking import take_expression
+
+    assert spark.range(6, 7).select(take_expression(text, F.col("id")).alias("k")).first().k == want
