@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import jaccard, packing, pii, quality_rules
 from tessera.llm.queries import PII_KEY
+from tessera.operators.gate import protect
 from tessera.storage import materialize
 
 
@@ -64,3 +65,20 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def write_packed(spark: SparkSession, sf_dir: str, path: str, ledger: str, terms: DataFrame, aliases: DataFrame | None = None) -> None:
+    """The pieces of ``run`` as Parquet at ``path``, for training: only of documents that the protected-content gate lets pass.
+
+    The gate takes the words of the texts as they came from ``documents`` for tags. Every row of a ``doc_id`` that it holds
+    is left out before packing, and its id and rule are appended to ``ledger``; an empty table of ``terms`` stops the write.
+    """
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    words = F.split(F.coalesce(F.col("text"), F.lit("")), r"\s+")
+    _, held = protect(docs.select("doc_id", words.alias("words")), terms, aliases, "doc_id", "words")
+    held = materialize(held, "held")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    kept = docs.join(held.select(F.col("doc_id").alias("held_id")), F.col("doc_id").eqNullSafe(F.col("held_id")), "left_anti")
+    held.write.mode("append").parquet(ledger)
+    STAGES[-1][1](spark, kept, sf_dir).write.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalize_tag
+from tessera.operators.gate import protect
 from tessera.operators.vocab import flatten_aliases
 from tessera.storage import materialize
 
@@ -61,6 +62,19 @@ def wash(rows: DataFrame, key: str, tags: Column, vocab: DataFrame, aliases: Dat
     return wash_tokens(normalised(rows, key, tags), key, vocab, aliases, rules, slot)
 
 
+def write_washed(rows: DataFrame, key: str, tags: Column, vocab: DataFrame, aliases: DataFrame, rules: Rules, slot: Column, terms: DataFrame, path: str, ledger: str, policy: str | None = None) -> None:
+    """The washed lines of ``rows`` as Parquet at ``path``, for training: only of rows that the protected-content gate lets pass.
+
+    The gate sees the tags as they came, with chains of ``aliases`` followed, before any rule of washing. The keys that it
+    holds and the rules that held them are appended to ``ledger``. An empty table of ``terms`` stops the write.
+    """
+    raw = max(rows.columns, key=len) + "_tags"  # no other column has this name
+    kept, held = protect(rows.withColumn(raw, tags), terms, flatten_aliases(aliases), key, raw, policy)
+    lines, _ = wash(kept, key, F.col(raw), vocab, aliases, rules, slot)
+    held.write.mode("append").parquet(ledger)
+    lines.write.parquet(path)
+
+
 def normalised(rows: DataFrame, key: str, tags: Column) -> DataFrame:
     """``(key, pos, sub, raw, tag)``: every tag with its place and normal form; worth writing where several jobs read it."""
     return explode_tags(rows, key, tags).withColumn("tag", normalize_tag(F.col("raw")))
