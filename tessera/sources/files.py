@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators.keyed import latest_by_key
+from tessera.sources.lines import read_lines
+
+ORDER = "struct<seq:bigint,at:struct<file:string,at:bigint>>"
 
 POST = "seq long, source string, post_id string, page_url string, url string, filename string, ext string, bytes long, width int, height int, created_at string, rating string, tags array<string>, parent_id string, md5 string"
 
 
-def read_log(spark: SparkSession, path: str, schema: str = POST, key: str = "filename") -> DataFrame:
-    """An append-only JSON-lines log, last row of each key by ``seq``; blank lines and empty strings count as absent."""
-    rows = spark.read.schema(schema).json(path)
+def read_log(spark: SparkSession, path: str, schema: str = POST, key: str = "filename", by_place: bool = False) -> DataFrame:
+    """An append-only JSON-lines log, last row of each key; blank lines and empty strings count as absent.
+
+    Rows follow their ``seq``, or with ``by_place`` the place of their lines: files in the order of names, then lines.
+    """
+    if by_place:
+        lines = read_lines(spark, path)
+        rows = lines.where(F.trim("line") != "").select(F.struct("file", "at").alias("at"), F.from_json("line", schema).alias("row"))
+        rows = rows.select("row.*", F.col("at").alias(_place(rows.select("row.*").columns)))
+    else:
+        rows = spark.read.schema(schema).json(path)
+    order = rows.columns[-1] if by_place else "seq"
     text = {c: F.nullif(F.col(c), F.lit("")) for c, t in rows.dtypes if t == "string"}
-    return latest_by_key(rows.withColumns(text).where(F.col(key).isNotNull()), [key], ["seq"])
+    last = latest_by_key(rows.withColumns(text).where(F.col(key).isNotNull()), [key], [order])
+    return last.drop(order) if by_place else last
+
+
+def _place(columns: list[str]) -> str:
+    return max(columns, key=len) + "_at"  # no other column has this name
 
 
 def write_log(rows: DataFrame, path: str) -> None:
@@ -30,13 +50,30 @@ def write_report(rows: DataFrame, path: str, fields: list[str]) -> None:
 
 
 def read_mapping(spark: SparkSession, path: str, key: str = "new_name", extra: tuple[str, ...] = ("bucket",)) -> DataFrame:
-    """A mapping table from CSV; columns that older files lack are null, the last row of a key by ``seq`` or file order wins."""
-    rows = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    for c in extra:
-        if c not in rows.columns:
-            rows = rows.withColumn(c, F.lit(None).cast("string"))
-    order = F.col("seq").cast("long") if "seq" in rows.columns else F.monotonically_increasing_id()
-    return latest_by_key(rows.withColumn("__at", order), [key], ["__at"]).drop("__at")
+    """A mapping table from CSV files, each with a header; columns that older files lack are null, the last row of a key wins.
+
+    Rows follow ``seq`` where a file has it, then the place of their lines: files in the order of names. A byte order mark is
+    no part of a header, and a row is a line. What the driver reads is one header for each form of the files.
+    """
+    lines = read_lines(spark, path)
+    heads = lines.where("at = 0").select("file", F.col("line").alias("head"))
+    parts = []
+    for (head,) in heads.select("head").distinct().collect():
+        names = next(csv.reader([head]))
+        at = _place(names)
+        rows = lines.where((F.col("at") > 0) & (F.trim("line") != "")).join(heads.where(F.col("head") == head), "file", "left_semi")
+        schema = StructType([StructField(n, StringType()) for n in names])
+        row = F.from_csv("line", F.lit(schema.toDDL()), {"escape": '"'})
+        rows = rows.select(F.struct("file", "at").alias(at), row.alias("row")).select(F.col(at), "row.*")
+        seq = F.col("seq").cast("long") if "seq" in names else F.lit(None).cast("long")
+        parts.append(rows.select(F.struct(seq.alias("seq"), F.col(at).alias("at")).alias("order"), F.struct(*names).alias("row")))
+    every = list(dict.fromkeys(c for p in parts for c in p.schema["row"].dataType.names)) or [key]
+    every += [c for c in extra if c not in every]
+    at = _place(every)
+    out = spark.createDataFrame([], StructType([StructField(c, StringType()) for c in every])).withColumn(at, F.lit(None).cast(ORDER))
+    for p in parts:
+        out = out.unionByName(p.select(F.col("order").alias(at), "row.*"), allowMissingColumns=True)
+    return latest_by_key(out, [key], [at]).drop(at)
 
 
 def list_assets(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("jpg", "jpeg", "png", "webp")) -> DataFrame:
