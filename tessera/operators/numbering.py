@@ -51,6 +51,23 @@ def number_within(df: DataFrame, groups: list[str], order: list, number: str = "
     return j.withColumn(number, F.col(r) + F.coalesce(off, F.lit(0))).drop(r, off, p, g, part)
 
 
+def total_before(df: DataFrame, groups: list[str], order: list, value: Column) -> tuple[DataFrame, str]:
+    """``df`` with the sum of ``value`` over the rows before each in its group, and the name of that column.
+
+    ``value`` is a whole number, ``order`` tells the rows of a group apart. Ranges are as in ``number_within``.
+    """
+    part, v, n, off, w, p, g = _free(df, "part", "v", "n", "off", "w", "p", "g")
+    parts = _ranged(df.withColumn(v, value), [*groups, *order], part)
+    sums = parts.groupBy(part, *groups).agg(F.sum(v).alias(n))
+    before = F.sum(n).over(Window.partitionBy(*groups).orderBy(part)) - F.col(n)
+    late = sums.withColumn(off, before).where(F.col(off) != 0).select(F.col(part).alias(p), F.struct(*groups).alias(g), off)
+    within = Window.partitionBy(part, *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parts.withColumn(w, F.coalesce(F.sum(v).over(within), F.lit(0)))
+    same = (F.col(part) == F.col(p)) & F.struct(*groups).eqNullSafe(F.col(g))
+    j = ranked.join(F.broadcast(late), same, "left")
+    return j.withColumn(w, F.col(w) + F.coalesce(off, F.lit(0))).drop(v, off, p, g, part), w
+
+
 def distinct_names(df: DataFrame, name: str, order: list, suffix, out: str | None = None) -> DataFrame:
     """``df`` with names that occur once: ``suffix(name, i)`` for the i-th holder of a name, from the second on.
 
