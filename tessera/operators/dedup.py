@@ -24,17 +24,46 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def hamming_pairs(codes: DataFrame, key: str, code: str, distance: int) -> DataFrame:
-    """``(a, b, distance)`` of codes within ``distance``: one of distance + 1 bands must agree, so bands are joined and pairs verified."""
+def _bands(code: Column, distance: int) -> list[Column]:
+    """The bits of a code in distance + 1 bands: two codes within the distance agree in one of them."""
     bands = distance + 1
     edges = [round(i * 64 / bands) for i in range(bands + 1)]
-    part = [F.struct(F.lit(i).alias("i"), F.call_function("shiftrightunsigned", F.call_function("shiftleft", F.col(code), F.lit(64 - hi)), F.lit(64 - hi + lo)).alias("bits")) for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False))]
-    dealt = codes.select(F.col(key).alias("a"), F.col(code).alias("ca"), F.explode(F.array(*part)).alias("band"))
+    return [F.struct(F.lit(i).alias("i"), F.call_function("shiftrightunsigned", F.call_function("shiftleft", code, F.lit(64 - hi)), F.lit(64 - hi + lo)).alias("bits")) for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False))]
+
+
+def hamming_pairs(codes: DataFrame, key: str, code: str, distance: int) -> DataFrame:
+    """``(a, b, distance)`` of codes within ``distance``: one of distance + 1 bands must agree, so bands are joined and pairs verified."""
+    dealt = codes.select(F.col(key).alias("a"), F.col(code).alias("ca"), F.explode(F.array(*_bands(F.col(code), distance))).alias("band"))
     other = dealt.select(F.col("a").alias("b"), F.col("ca").alias("cb"), "band")
     near = dealt.join(other, "band").where("a < b").withColumn("distance", hamming(F.col("ca"), F.col("cb")))
     return near.where(F.col("distance") <= distance).select("a", "b", F.col("distance").cast("long").alias("distance")).distinct()
 
 
+def near_codes(rows: DataFrame, key: str, code: str, aspect: str, distance: int, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """``(pairs, members)``: near pairs of codes whose aspect ratios differ by at most ``tolerance`` of the larger one.
+
+    Rows with equal code and aspect are one class, of its least key: ``members(key, rep)`` and ``pairs(a, b, distance, n_a, n_b)`` of
+    the classes. Ratios are dealt to buckets of their logarithm as wide as the tolerance, so near ones are in the same or
+    the next bucket, which the bands are joined with. Null codes and ratios that are null, not finite or not positive pair
+    with nothing; ``tolerance`` is at least 0 and below 1.
+    """
+    if not 0 <= tolerance < 1:
+        raise ValueError("the tolerance is a share of the larger ratio")
+    reps, members = fold_classes(rows.select(key, F.col(code).alias("code"), F.col(aspect).cast("double").alias("ratio")), ["code", "ratio"], key, [])
+    usable = reps.where(F.col("code").isNotNull() & (F.col("ratio") > 0) & (F.col("ratio") < float("inf")))
+    # a little wider than the tolerance, so that rounding of logarithms parts no pair; pairs are verified on the ratios
+    step = F.floor(F.ln("ratio") / F.lit(-math.log1p(-tolerance) + 1e-9))
+    band = F.explode(F.array(*_bands(F.col("code"), distance)))
+    dealt = usable.select(F.col(key).alias("a"), F.col("code").alias("ca"), F.col("ratio").alias("ra"), F.col("n").alias("n_a"), step.alias("step"), band.alias("band"))
+    other = dealt.select(F.col("a").alias("b"), F.col("ca").alias("cb"), F.col("ra").alias("rb"), F.col("n_a").alias("n_b"), F.explode(F.array("step", F.col("step") + 1)).alias("step"), F.col("step").alias("own"), "band")
+    near = dealt.join(other, ["step", "band"]).where((F.col("own") != F.col("step")) | (F.col("a") < F.col("b")))
+    near = near.withColumn("distance", hamming(F.col("ca"), F.col("cb")).cast("long"))
+    near = near.where((F.col("distance") <= distance) & (F.abs(F.col("ra") - F.col("rb")) <= tolerance * F.greatest("ra", "rb")))
+    first = F.col("a") < F.col("b")
+    ends = [F.when(first, F.col(x)).otherwise(F.col(y)).alias(z) for x, y, z in (("a", "b", "a"), ("b", "a", "b"), ("n_a", "n_b", "n_a"), ("n_b", "n_a", "n_b"))]
+    return near.select(*ends, "distance").distinct(), members
+
+
 def signature(v: Column) -> Column:
     """Mean-centred and L2-normalised; a constant vector stays zero."""
     d = v.cast("array<double>")

@@ -6,9 +6,11 @@ from pyspark.sql.window import Window
 from tessera.functions import text as T
 from tessera.operators import dedup as D
 from tessera.operators import diff
+from tessera.operators import families as Y
 from tessera.operators import lookup as L
 from tessera.operators import numbering as N
 from tessera.operators import reports as P
+from tessera.operators import reuse
 from tessera.operators import screening as S
 from tessera.operators.components import connected_components
 from tessera.plans.base import query
@@ -352,3 +354,43 @@ def families(read):
     """Vectors of different groups that correlate, merged into families."""
     pairs = D.correlated_pairs(planted(read), "vec_id", "e", "label", 0.42)
     return connected_components(pairs, "a", "b").select(F.col("component").alias("family"), F.col("node").alias("vec_id"))
+
+
+@query(COPIES + ", " + BITS + ", r AS (SELECT min(vec_id) AS id, b, ratio, count(*) AS n FROM (SELECT *, (1 + abs(e[1])) * CASE WHEN vec_id >= 1000000 THEN 1 + (vec_id % 3)::DOUBLE * 0.04::DOUBLE ELSE 1 END AS ratio FROM c) GROUP BY b, ratio) SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b, bit_count(xor(x.b, y.b))::BIGINT AS distance FROM r x JOIN r y ON x.id < y.id AND bit_count(xor(x.b, y.b)) <= 4 AND abs(x.ratio - y.ratio) <= 0.05::DOUBLE * greatest(x.ratio, y.ratio)")
+def aspect_pairs(read):
+    """Near hashes of rows whose aspect ratios differ by 5 % at most; copies have ratios that are 0, 4 or 8 % larger."""
+    wider = F.when(F.col("vec_id") >= 1000000, 1 + (F.col("vec_id") % 3).cast("double") * 0.04).otherwise(1.0)
+    rows = planted(read).select("vec_id", D.sign_bits(F.col("e")).alias("code"), ((1 + F.abs(F.get("e", 0))) * wider).alias("ratio"))
+    return D.near_codes(rows, "vec_id", "code", "ratio", 4, 0.05)[0]
+
+
+def _declared(read):
+    """Vectors in groups of up to four of a label, as posts of a source; the planted copies are posts of their own."""
+    post = F.expr("vec_id DIV 4")
+    key = Y.declared_key(F.col("vec_id"), F.concat(F.lit("src"), F.col("label")), post)
+    return _pixels(read).join(planted(read).select("vec_id", "e"), "vec_id").withColumns({"declared": key, "o": -F.col("vec_id")})
+
+
+def _families(read):
+    return Y.family_plan(_declared(read), "vec_id", "declared", "e", "p", "o", lambda reps: _judged(reps).where("same").select("a", "b"), 0.9, 8)
+
+
+@query()
+def family_plans(read):
+    """Families of declared groups that correlate, with what stays of each, its bucket and weight."""
+    return _families(read)[0]
+
+
+@query()
+def family_members(read):
+    """Every vector with its declared group, its family and the vector that it goes for."""
+    return _families(read)[1]
+
+
+@query("WITH t AS (SELECT doc_id // 100 AS batch, doc_id, text FROM documents), n AS (SELECT batch, doc_id, CASE WHEN doc_id % 700 = 7 THEN text || '.' ELSE text END AS text FROM t UNION ALL SELECT * FROM t WHERE doc_id % 1100 = 8), c AS (SELECT batch, doc_id, text, sum(k) AS k FROM (SELECT *, 1 AS k FROM t UNION ALL SELECT *, -1 FROM n) GROUP BY 1, 2, 3) SELECT batch, bool_and(k = 0) AS unchanged FROM c GROUP BY 1")
+def input_reuse(read):
+    """Whether a batch of documents holds the rows that it held before, each as often: one text in 700 has changed since, one row in 1100 is repeated."""
+    then = read("documents").select(F.expr("doc_id DIV 100").alias("batch"), "doc_id", "text")
+    changed = F.when(F.col("doc_id") % 700 == 7, F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    now = then.withColumn("text", changed).union(then.where("doc_id % 1100 = 8"))
+    return reuse.unchanged(now, then, ["batch"])

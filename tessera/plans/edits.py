@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import first_source
 from tessera.operators import edits as E
+from tessera.operators import ledger
 from tessera.operators.leaves import flatten_leaves
 from tessera.plans.base import query
 
@@ -61,3 +62,22 @@ def leaf_flatten(read):
     """Leaves of three levels, by dotted key."""
     nested = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"in":{"kind":"'), "event_type", F.lit('","props":'), "props", F.lit("}}"))
     return flatten_leaves(read("events").select("event_id", nested.alias("json")), "event_id", "json")
+
+
+@query("WITH e AS (SELECT user_id, event_id, ts, event_type = 'signup' AS closes, json_extract_string(props, '$.k') AS bucket FROM events WHERE event_type IN ('error', 'signup') AND user_id IS NOT NULL), g AS (SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gap FROM e), f AS (SELECT user_id, gap, min(ts) FILTER (WHERE NOT closes) AS \"at\", last(bucket ORDER BY ts, event_id) FILTER (WHERE NOT closes) AS bucket, max(ts) FILTER (WHERE closes) AS restored_at FROM g GROUP BY 1, 2) SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY gap) AS entry, \"at\", bucket, restored_at FROM f WHERE \"at\" IS NOT NULL")
+def removal_ledger(read):
+    """Errors remove a user, the next signup restores it; the bucket is the last one named while the entry was open."""
+    kind = F.when(F.col("event_type") == "error", ledger.REMOVE).when(F.col("event_type") == "signup", ledger.RESTORE)
+    e = read("events").select("user_id", kind.alias("kind"), "ts", "event_id", F.get_json_object("props", "$.k").alias("bucket"))
+    return ledger.entries(e, "user_id", "kind", "ts", ["ts", "event_id"], ["bucket"], "event_id")
+
+
+STAGES = ["signup", "view", "click", "purchase"]
+
+
+@query("WITH e AS (SELECT user_id, event_id, event_type AS stage, list_position(['signup', 'view', 'click', 'purchase'], event_type) - 1 AS pos, CASE WHEN json_extract_string(props, '$.k') = '0' THEN 'stale' ELSE 'done' END AS status FROM events WHERE event_type <> 'error' AND user_id IS NOT NULL), l AS (SELECT user_id, stage, pos, arg_max(status, event_id) AS last, max(event_id) AS done, max(event_id) FILTER (WHERE status <> 'stale') AS ran FROM e GROUP BY 1, 2, 3), b AS (SELECT l.user_id, l.pos, arg_min(x.stage, x.pos) AS stale_after FROM l JOIN l x ON x.user_id = l.user_id AND x.pos < l.pos AND x.ran > l.done GROUP BY 1, 2) SELECT user_id, stage, pos, CASE WHEN stale_after IS NULL THEN last ELSE 'stale' END AS status, stale_after FROM l LEFT JOIN b USING (user_id, pos)")
+def stage_table(read):
+    """Each user's stages with their status, and the first earlier stage that ran after them."""
+    status = F.when(F.get_json_object("props", "$.k") == "0", "stale").otherwise("done")
+    log = read("events").select("user_id", "event_type", "event_id", status.alias("status"))
+    return ledger.stage_table(log, STAGES, "user_id", "event_type", "status", ["event_id"])
