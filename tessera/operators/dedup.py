@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
+from tessera.operators.correlate import correlated_pairs  # noqa: F401
 from tessera.operators.settle import dropped, settle
 from tessera.storage import materialize
 
@@ -95,35 +96,6 @@ def differences(a: Column, b: Column, block: int = 8) -> Column:
     return F.struct((F.aggregate(d, F.lit(0.0), lambda s, x: s + x) / F.size(d)).alias("mean"), F.array_max(d).alias("max"), F.array_max(blocks).alias("block"))
 
 
-def correlated_pairs(vectors: DataFrame, key: str, vector: str, group: str, least: float, block_rows: int = 2048) -> DataFrame:
-    """``(a, b, corr)`` of rows of different groups whose signatures' product is at least ``least``.
-
-    Rows are dealt to block pairs (two equi-keys), and each pair is one matrix product in a grouped function.
-    """
-    rows = vectors.select(F.col(key).alias("id"), F.col(group).alias("g"), F.col(vector).cast("array<double>").alias("v"))
-    blocks = max(1, -(-rows.count() // block_rows))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-
-    def run(k, frame: pd.DataFrame) -> pd.DataFrame:
-        i, j = k
-        a, b = frame[frame["block"] == i], frame[frame["block"] == j]
-        out: list[tuple] = []
-        if len(a) and len(b):
-            x, y = (np.array(f["v"].tolist()) for f in (a, b))
-            x, y = (m - m.mean(1, keepdims=True) for m in (x, y))
-            x, y = (m / np.maximum(np.sqrt((m * m).sum(1, keepdims=True)), 1e-300) for m in (x, y))
-            c = x @ y.T
-            p, q = np.nonzero(c >= least)
-            ia, ib, ga, gb = a["id"].to_numpy(), b["id"].to_numpy(), a["g"].to_numpy(), b["g"].to_numpy()
-            ok = (ga[p] != gb[q]) & ((ia[p] < ib[q]) | (i != j))
-            p, q = p[ok], q[ok]
-            out = list(zip(np.minimum(ia[p], ib[q]), np.maximum(ia[p], ib[q]), c[p, q], strict=True))
-        return pd.DataFrame(out, columns=["a", "b", "corr"])
-
-    return rows.groupBy("i", "j").applyInPandas(run, "a long, b long, corr double").distinct()
-
-
 def keeper_rank(df: DataFrame, group: str, order: list, ident: str) -> DataFrame:
     """``(group, keeper, n)``: the best row of each group of two or more."""
     return df.groupBy(group).agg(F.max_by(ident, F.struct(*order)).alias("keeper"), F.count("*").alias("n")).where("n > 1")

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
-from tessera.operators.dedup import correlated_pairs, greedy_classes
+from tessera.operators.correlate import correlated_pairs
+from tessera.operators.dedup import greedy_classes
 from tessera.operators.reports import repeat_weight
 from tessera.storage import materialize
 
