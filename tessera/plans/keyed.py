@@ -10,6 +10,7 @@ from tessera.operators import numbering as N
 from tessera.operators import ranking as R
 from tessera.operators import reports as P
 from tessera.operators import screening as S
+from tessera.operators import numbering, selector
 from tessera.plans.base import query
 
 D = lambda c: F.date_format(c, "yyyy-MM-dd")
@@ -244,3 +245,12 @@ def _two_keys(read, cond):
 @query("WITH b AS (SELECT p_name, min(p_partkey) AS one FROM part WHERE p_size > 40 GROUP BY 1), s AS (SELECT split_part(p_name, ' ', 2) AS stem, min(p_partkey) AS two FROM part GROUP BY 1) SELECT p_partkey, coalesce(one, two) AS match FROM part LEFT JOIN b USING (p_name) LEFT JOIN s ON s.stem = split_part(part.p_name, ' ', 2)")
 def fallback_match(read):
     return _two_keys(read, "p_size > 40").select("p_partkey", "match")
+
+
+@query("WITH t AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS place, (c_custkey * 7) || '-' || (c_custkey * 7 + c_custkey % 5) AS token FROM customer), p AS (SELECT p_partkey, p_partkey AS x FROM part) SELECT p_partkey, min(place) AS place FROM p JOIN t ON x BETWEEN t.c_custkey * 7 AND t.c_custkey * 7 + t.c_custkey % 5 GROUP BY 1")
+def range_select(read):
+    """Parts whose number lies in one of as many ranges as there are customers; the first range that holds it is given."""
+    k = F.col("c_custkey")
+    tokens = read("customer").select(F.concat((k * 7).cast("string"), F.lit("-"), (k * 7 + k % 5).cast("string")).alias("token"), k)
+    named = read("part").select("p_partkey", F.concat(F.lit("part"), F.col("p_partkey").cast("string"), F.lit(".png")).alias("name"))
+    return selector.select(named, "p_partkey", "name", numbering.number_all(tokens, ["c_custkey"], "place").select("token", "place"))[0].withColumn("place", F.col("place").cast("long"))
