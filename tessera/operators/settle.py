@@ -37,8 +37,15 @@ def gone_of(better: list, worse: list) -> set:
     return gone
 
 
+def hashable(node):
+    """``node`` as a key of a dict: structs come to pandas as dicts, arrays as lists."""
+    if isinstance(node, dict):
+        return tuple(hashable(x) for x in node.values())
+    return tuple(map(hashable, node)) if hasattr(node, "__iter__") and not isinstance(node, (str, bytes)) else node
+
+
 def dropped(pairs: DataFrame) -> DataFrame:
-    """``(node)`` of the rows that go, from ``pairs(better, worse)`` of different nodes; the order must hold no circle."""
+    """``(node)`` of the rows that go, from ``pairs(better, worse)`` of different nodes of any type that Spark orders; the order must hold no circle."""
     kind = dict(pairs.dtypes)["better"]
     left = materialize(pairs.select("better", "worse").distinct(), "settle")
     parts, rounds, large = [], 0, left.isEmpty()
@@ -50,7 +57,9 @@ def dropped(pairs: DataFrame) -> DataFrame:
             small = sizes.where(F.col("n") <= LOCAL_PAIRS)
 
             def local(frame: pd.DataFrame) -> pd.DataFrame:
-                return pd.DataFrame({"node": list(gone_of(frame["better"].tolist(), frame["worse"].tolist()))}, dtype=frame["worse"].dtype)
+                better, worse = frame["better"].map(hashable), frame["worse"].map(hashable)
+                gone = worse.isin(gone_of(better.tolist(), worse.tolist())) & ~worse.duplicated()
+                return frame.loc[gone, ["worse"]].rename(columns={"worse": "node"})
 
             parts.append(materialize(owned.join(small, "component").groupBy("component").applyInPandas(local, f"node {kind}"), "settle-gone"))
             rest = materialize(owned.join(small, "component", "left_anti").select("better", "worse"), "settle")

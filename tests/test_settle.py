@@ -38,6 +38,14 @@ def test_dropped(spark, monkeypatch, rounds, local):
     assert settle.dropped(spark.createDataFrame([], "better long, worse long")).count() == 0
 
 
+def test_dropped_structs_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(settle, "ROUNDS", 1)
+    pairs = spark.createDataFrame(shapes(), "a long, b long")
+    name = lambda c: F.struct(F.lit("x").alias("image"), F.struct(F.col(c).alias("box")).alias("in"), F.array(c).alias("all"))
+    got = [r.node["in"].box for r in settle.dropped(pairs.select(name("a").alias("better"), name("b").alias("worse"))).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_gone(shapes())
+
+
 def test_greedy_by_order_and_family(spark):
     rows = [(1, 0, 5), (2, 0, 9), (3, 0, 9), (4, 1, 1), (5, 0, None), (6, None, 1), (7, None, 1)]
     near = [(1, 2), (2, 3), (1, 4), (5, 1), (6, 7), (7, 7), (None, 2)]
