@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.storage import broadcast_if_small
+from tessera.storage import broadcast_if_small, materialize
 
 
 def letters(word: str) -> Column:
@@ -99,15 +99,32 @@ def suffix_families(heads: DataFrame, vocab: DataFrame, least_posts: int, top: i
     """``(head, name, posts, r)``: for a word with a suffix (what follows its first space or hyphen), the popular names that end in it.
 
     Names that hold the first ``letters_of_head`` letters of the word come first, then by count and name; a word is no
-    suggestion for itself. A word without a space or hyphen has no suffix. Each name is indexed once for every suffix it
-    has, so both sides meet in one equi-join.
+    suggestion for itself. A word without a space or hyphen has no suffix. Words with the same suffix and first letters share
+    their candidates: of the names of a suffix that hold the letters, by an index of their substrings, and of all its names
+    only the first few are kept, so no pair of a word and a name is made beyond ``top`` + 1 a word.
     """
     tails = lambda c: F.array_distinct(F.filter(F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.char_length(c))), lambda i: F.when(F.substring(c, i - 1, F.lit(1)).isin(" ", "-"), F.substring(c, i, F.char_length(c)))), lambda s: s.isNotNull() & (s != "")))
     names = vocab.where((F.col("posts") > least_posts) & F.col("name").isNotNull()).groupBy("name").agg(F.max("posts").alias("posts"))
     index = names.select("name", "posts", F.explode(tails("name")).alias("tail"))
     asked = heads.select(F.col(head).alias("head")).where("head IS NOT NULL").distinct()
-    asked = asked.withColumn("tail", F.get(tails("head"), F.lit(0))).where("tail IS NOT NULL")
-    met = asked.join(index, "tail").where("head <> name")
-    like = F.col("name").contains(F.substring("head", 1, letters_of_head))
-    r = F.row_number().over(Window.partitionBy("head").orderBy(F.desc(like), F.desc("posts"), "name"))
-    return met.withColumn("r", r).where(F.col("r") <= top).select("head", "name", "posts", "r")
+    asked = asked.withColumn("tail", F.get(tails("head"), F.lit(0))).where("tail IS NOT NULL").withColumn("part", F.substring("head", 1, letters_of_head))
+    asked = materialize(asked, "heads")
+    groups = asked.select("tail", "part").distinct()
+    sizes = [r.n for r in groups.select(F.char_length("part").alias("n")).distinct().collect()]  # at most letters_of_head + 1
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length("name") - n + 1)), lambda i: F.substring("name", i, F.lit(n)))
+    parts = F.array_distinct(F.concat(*map(cut, sizes or [0])))
+    order = [F.desc("posts"), "name"]
+    named = F.array_sort(F.collect_list(F.struct((-F.col("posts")).alias("p"), "name", "posts")))
+
+    def first(rows: DataFrame, keys: list[str], most: int, out: str) -> DataFrame:
+        r = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("r", r).where(F.col("r") <= most).groupBy(*keys).agg(named.alias(out))
+
+    # one more than top, as a word may be a name of its own; each holds its own first letters
+    like = first(index.select("tail", "posts", "name", F.explode(parts).alias("part")).join(groups, ["tail", "part"], "left_semi"), ["tail", "part"], top + 1, "like")
+    common = first(index.join(groups.select("tail").distinct(), "tail", "left_semi"), ["tail"], 2 * top, "common")
+    found = groups.join(common, "tail").join(like, ["tail", "part"], "left")
+    rest = F.filter("common", lambda x: ~x["name"].contains(F.col("part")))
+    found = found.select("tail", "part", F.slice(F.concat(F.coalesce("like", F.array().cast(dict(like.dtypes)["like"])), rest), 1, top + 1).alias("found"))
+    met = asked.join(found, ["tail", "part"]).select("head", F.slice(F.filter("found", lambda x: x["name"] != F.col("head")), 1, top).alias("found"))
+    return met.select("head", F.posexplode("found").alias("r", "x")).select("head", "x.name", "x.posts", (F.col("r") + 1).alias("r"))

@@ -39,6 +39,30 @@ def test_suffix_families(spark):
     assert got == [("blue coat", "rain-coat", 70, 2), ("blue coat", "red long coat", 90, 1), ("red coat", "blue coat", 80, 2), ("red coat", "red long coat", 90, 1)]
 
 
+@pytest.mark.parametrize("letters", [0, 2, 3])
+def test_suffix_families_of_a_common_suffix(spark, letters):
+    rng = random.Random(letters)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randrange(0, 5)))
+    posts = {f"{word()}{rng.choice(' -')}{rng.choice(['x', 'x', 'x y', 'ab'])}": rng.randrange(20) for _ in range(300)}
+    tails = lambda w: [w[i + 1:] for i, c in enumerate(w) if c in " -" and w[i + 1:]]
+    want = set()
+    for h in posts:
+        names = [n for n in posts if n != h and posts[n] > 8 and tails(h) and tails(h)[0] in tails(n)]
+        names.sort(key=lambda n: (h[:letters] not in n, -posts[n], n))
+        want |= {(h, n, posts[n], i) for i, n in enumerate(names[:3], 1)}
+    v = spark.createDataFrame(list(posts.items()), "name string, posts long")
+    got = [tuple(r) for r in spelling.suffix_families(v, v, 8, 3, "name", letters).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_suffix_families_of_one_suffix_fit_a_disk(spark):
+    """3.6 billion pairs of a word and a name, if they were made."""
+    v = spark.range(60_000).selectExpr("concat('w', id, ' x') AS name", "9 + id % 7 AS posts")
+    h = spark.range(60_000).selectExpr("concat('h', id, ' x') AS head")
+    out = spelling.suffix_families(h, v, 8)
+    assert out.agg(F.count("*"), F.min("name"), F.max("name"), F.max("r")).first()[:] == (300_000, "w1000 x", "w10023 x", 5)
+
+
 def plain_aliases(links):
     out = {}
     for a in links:
