@@ -58,7 +58,9 @@ def _dyadic(low: Column, high: Column) -> Column:
     last = lambda i: up(high + one, i) - one
     left = lambda i: F.when((first(i) <= last(i)) & (first(i) % 2 == 1), F.struct(i.alias("level"), first(i).alias("block")))
     right = lambda i: F.when((first(i) <= last(i)) & (last(i) % 2 == 0), F.struct(i.alias("level"), last(i).alias("block")))
-    levels = F.sequence(F.lit(0), F.lit(LEVELS - 1))
+    # a block of level i holds 2^i numbers, so none of a higher level than the length's logarithm fits
+    top = F.char_length(F.bin(F.greatest(one, high - low + 1))) - 1
+    levels = F.sequence(F.lit(0), F.least(top, F.lit(LEVELS - 1)))
     return F.array_distinct(F.array_compact(F.concat(F.transform(levels, left), F.transform(levels, right))))
 
 
@@ -78,8 +80,10 @@ def select(rows: DataFrame, key: str, name: str, tokens: DataFrame) -> tuple[Dat
     ends = F.regexp_extract_all("token", F.lit(r"[0-9]{1,18}"), 0)
     ranges = t.where(F.col("token").rlike(r"^[0-9]{1,18}-[0-9]{1,18}$")).select("place", F.get(ends, 0).cast("long").alias("low"), F.get(ends, 1).cast("long").alias("high"))
     pieces = ranges.select("place", F.inline(_dyadic(F.col("low"), F.col("high"))))
-    level = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda i: F.struct(i.alias("level"), F.call_function("shiftright", F.col("x"), i).alias("block")))
-    inside = numbers.select("k", F.inline(level)).join(pieces, ["level", "block"]).select("k", "place")
+    # at most LEVELS rows; a number is copied only to the levels that a range is made of
+    used = sorted(r.level for r in pieces.select("level").distinct().collect())
+    level = [F.struct(F.lit(i).alias("level"), F.call_function("shiftright", F.col("x"), F.lit(i)).alias("block")) for i in used]
+    inside = numbers.select("k", F.inline(F.array(*level))).join(pieces, ["level", "block"]).select("k", "place") if used else plain.limit(0)
 
     start, end = F.regexp_extract("token", r"^[^*?]*", 0), F.regexp_extract("token", r"[^*?]*$", 0)
     front = F.length(start) >= F.length(end)

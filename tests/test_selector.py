@@ -4,6 +4,7 @@ import fnmatch
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import selector
 
@@ -38,6 +39,16 @@ def test_select(spark, text):
     assert {r.token for r in unmatched.collect()} == {t for t in tokens if not plain([t])}
 
 
+def test_numbers_go_only_to_levels_of_ranges(spark, monkeypatch):
+    made, inline = [], F.inline
+    monkeypatch.setattr(F, "inline", lambda c: made.append(c) or inline(c))
+    rows = spark.createDataFrame([(i, f"n{i}.png") for i in range(40)], "k int, name string")
+    matches, _ = selector.select(rows, "k", "name", selector.parse(spark, "7-10, 8-8, 30-20, 0-3"))
+    assert {r.k: r.place for r in matches.collect()} == {0: 4, 1: 4, 2: 4, 3: 4, 7: 1, 8: 1, 9: 1, 10: 1}
+    copies = spark.range(1).select(F.lit(5).cast("long").alias("x")).select(F.size(made[1]).alias("n")).first().n
+    assert copies == 3  # levels 0, 1 and 2, not all 60
+
+
 def test_list_file(spark, tmp_path):
     (tmp_path / "l.txt").write_text("﻿# names\r\n\r\n b , a,,\t\r\n  # more\nc\nb,d", newline="")
     (tmp_path / "none.txt").write_text("# only\n\n , ,\n")
