@@ -148,3 +148,13 @@ def test_stream_append(spark, tmp_path):
         stream = spark.readStream.schema("k long, seq long").parquet(f"{tmp_path}/in")
         append_new(stream, f"{tmp_path}/table", f"{tmp_path}/check", "k", "seq", floor=2).awaitTermination(120)
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/table").collect())) == [(1, 5), (3, 7)]
+
+
+def test_edges_of_a_hub_are_joined_by_broadcast(spark, monkeypatch):
+    from tessera.operators import components
+
+    monkeypatch.setattr(components, "HUB_EDGES", 20)
+    edges = [(0, i) for i in range(1, 60)] + [(5000, i) for i in range(100, 160)] + [(i, i + 1) for i in range(200, 230)] + [(1, 100)]
+    rows = spark.createDataFrame(edges, "src long, dst long").repartition(3)
+    got = {r.node: r.component for r in components.connected_components(rows).collect()}
+    assert got == {**{i: 0 for i in [*range(60), *range(100, 160), 5000]}, **{i: 200 for i in range(200, 231)}}
