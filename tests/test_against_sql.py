@@ -33,3 +33,12 @@ def test_layers_of_many_events(spark, tmp_path):
     rows = [(5, 1, "error", 1.0), (2_000_005, 1, "view", 2.0), (7, 2, "error", 3.0), (900_007, 2, "click", 4.0), (8, 3, "error", None), (9, 3, "view", 5.0), (1, 4, None, None), (1, 5, "error", 6.0), (2_500_000, 5, "view", 7.0)]
     got = same(spark, tmp_path, "rule_layers", events=([(i, None, u, e, v) for i, u, e, v in rows], EVENTS))
     assert [r[1] for r in got] == [1.0, 3.0, 5.0, None, 7.0]
+
+
+def test_tags_folded_before_joins(spark, tmp_path):
+    text = " ".join(["Wordone," * 1, "wor", "wordone", "_wor_", "the", "The"] * 12 + ["abcdefgh", "abcdefg", "12", '"'])
+    rows = [(1, text, "s", 5), (1, text + " la", "s", 5), (2, None, "s", 0), (3, "", "s", 0), (4, "wor wordone", "s", 2)]
+    docs = (rows, "doc_id long, text string, source string, n_chars long")
+    for name in ("alias_resolve", "implication_fold", "dict_check"):
+        (tmp_path / name).mkdir()
+        assert same(spark, tmp_path / name, name, documents=docs)
