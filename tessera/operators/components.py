@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +13,8 @@ from tessera.storage import discard, materialize
 
 #: Edges of a node beyond which it is looked up in a broadcast table; that has at most two rows for as many edges.
 HUB_EDGES = 100_000
+#: Nodes that a task of ``spanning`` keeps at most; then it starts anew.
+SPAN_NODES = 1 << 20
 
 
 def _with_least(edges: DataFrame, end: str, least: DataFrame) -> DataFrame:
@@ -20,6 +25,36 @@ def _with_least(edges: DataFrame, end: str, least: DataFrame) -> DataFrame:
     return plain.select("u", "v", "m").union(marked.where("hub IS NOT NULL").select("u", "v", "hub_m"))
 
 
+def spanning(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """``(src, dst)``: of the edges that a task reads, those that join two of its trees; the components stay the same.
+
+    For pairs that come from few nodes a task, before they are shuffled. Edges with a null end are left out.
+    """
+
+    def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        up: dict = {}
+
+        def root(x):
+            while (above := up.setdefault(x, x)) != x:
+                up[x] = up[above]
+                x = above
+            return x
+
+        for f in frames:
+            kept = []
+            for a, b in zip(f[src].tolist(), f[dst].tolist(), strict=True):
+                ra, rb = root(a), root(b)
+                if ra != rb:
+                    up[ra] = rb
+                    kept.append((a, b))
+            yield pd.DataFrame(kept, columns=[src, dst])
+            if len(up) > SPAN_NODES:
+                up.clear()
+
+    e = edges.select(src, dst).where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+    return e.mapInPandas(thin, e.schema)
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
