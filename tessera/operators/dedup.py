@@ -65,14 +65,18 @@ def near_codes(rows: DataFrame, key: str, code: str, aspect: str, distance: int,
     return near.select(*ends, "distance").distinct(), members
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row; named in a lambda itself, it would be computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def signature(v: Column) -> Column:
     """Mean-centred and L2-normalised; a constant vector stays zero."""
     d = v.cast("array<double>")
-    n = F.size(d)
-    mean = F.aggregate(d, F.lit(0.0), lambda a, x: a + x) / n
-    centred = F.transform(d, lambda x: x - mean)
-    norm = F.sqrt(F.aggregate(centred, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(centred, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
+    mean = F.try_divide(F.aggregate(d, F.lit(0.0), lambda a, x: a + x), F.size(d))
+    centred = _let(mean, lambda m: F.transform(d, lambda x: x - m))
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
+    return _let(centred, lambda c: _let(norm(c), lambda n: F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(0.0))))
 
 
 def dot(a: Column, b: Column) -> Column:

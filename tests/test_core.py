@@ -158,3 +158,22 @@ def test_edges_of_a_hub_are_joined_by_broadcast(spark, monkeypatch):
     rows = spark.createDataFrame(edges, "src long, dst long").repartition(3)
     got = {r.node: r.component for r in components.connected_components(rows).collect()}
     assert got == {**{i: 0 for i in [*range(60), *range(100, 160), 5000]}, **{i: 200 for i in range(200, 231)}}
+
+
+def test_signature_passes_over_long_vectors_a_few_times(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tessera.operators.dedup import signature
+
+    rows = [(i, [float((i * k) % 7) for k in range(n)]) for i, n in enumerate((1, 3, 64, 1500))] + [(9, [2.0] * 5), (10, None), (11, []), (12, [1.0, None])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    began = time.time()
+    got = {r.id: r.s for r in df.select("id", signature(F.col("v")).alias("s")).collect()}
+    assert time.time() - began < 60  # cubic in the length, 1,500 elements take hours
+    for i, v in rows[:5]:
+        m = sum(v) / len(v)
+        n = sum((x - m) ** 2 for x in v) ** 0.5
+        assert got[i] == [(x - m) / n if n else 0.0 for x in v] or max(abs(a - (x - m) / n) for a, x in zip(got[i], v, strict=True)) < 1e-12
+    assert got[10] is None and got[11] == [] and got[12] == [0.0, 0.0]
