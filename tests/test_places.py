@@ -38,7 +38,7 @@ def test_common_values_are_broadcast_and_no_row_is_lost(spark, most_bytes):
     assert sorted(map(str, got.select("id", "w", "n", "k").collect())) == sorted(map(str, rows.join(table, "w").select("id", "w", "n", "k").collect()))
 
 
-@pytest.mark.parametrize("name", ["wash", "wash_drops"])
+@pytest.mark.parametrize("name", ["wash", "wash_drops", "vocab_lookup", "lowfreq_drop", "category_drop", "dict_check", "alias_resolve"])
 def test_equal_to_sql(spark, tmp_path, name):
     assert same(spark, tmp_path, name, documents=(odd_documents(), DOCS))
 
