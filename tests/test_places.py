@@ -49,3 +49,16 @@ def test_a_long_row_is_not_compared_tag_by_tag(spark):
     began = time.time()
     (line,) = lines_of(t, "id", Rules()).collect()
     assert line.n_tags == n // 2 and line.line.startswith("t1, t3, t5") and time.time() - began < 15
+
+
+def test_slots_are_ordered_in_place(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rows = [r for r in odd_documents() if r[0] != 3] + [(None, "aa b", "s", 1)]
+    got = same(spark, tmp_path, "slot_order", documents=(rows, DOCS))
+    assert len(got) > 50
+    plan = entry.queries()["slot_order"](spark, str(tmp_path))
+    assert "collect_list" not in plan.where("doc_id IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
+    spark.createDataFrame([(3, "a bb b", "s", 5), (3, "ccc zz c_c", "s", 5), (4, "x", "s", 5), (5, None, "s", 0)], DOCS).write.parquet(f"{tmp_path}/two/documents.parquet")
+    two = sorted((r.doc_id, r.ordered) for r in entry.queries()["slot_order"](spark, f"{tmp_path}/two").collect())
+    assert two == [(3, "a b bb zz ccc c c"), (4, "x")]
