@@ -2,7 +2,10 @@
 
 import random
 from difflib import SequenceMatcher
+from itertools import combinations
+from threading import Timer
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +25,46 @@ def test_every_near_pair(spark, most):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("most", [1, 2, 3, 4])
+def test_near_pairs_of_short_and_long_names(spark, most):
+    """Names of 9 to 17 letters, terms by up to ``most`` + 1 edits from them."""
+    rng = random.Random(most)
+    names = sorted({"".join(rng.choice("abé𝒳") for _ in range(rng.randrange(9, 18))) for _ in range(60)})
+    terms = set()
+    for w in names:
+        for _ in range(rng.randrange(most + 2)):
+            i = rng.randrange(len(w) + 1)
+            w = rng.choice([w[:i] + rng.choice("aé𝒳") + w[i:], w[:i] + w[i + 1 :], w[:i] + "b" + w[i + 1 :]])
+        terms.add(w)
+    rows = lambda w: spark.createDataFrame([(x,) for x in w], "w string")
+    got = [tuple(r) for r in spelling.near_spellings(rows(sorted(terms)), "w", rows(names), "w", most).collect()]
+    want = {(t, n, distance(t, n)) for t in terms for n in names if t != n and distance(t, n) <= most}
+    assert len(got) == len(set(got)) and set(got) == want and {len(n) > spelling.SHORT for _, n, _ in want} == {True, False}
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5])
+def test_left_over(size):
+    rng = random.Random(size)
+    words = ["".join(rng.choice("ab字") for _ in range(size)) for _ in range(30)]
+    keys = spelling.left_over(np.array([[*map(ord, w)] for w in words], np.uint32).reshape(30, size), 2)
+    left = [["".join(c for i, c in enumerate(w) if i not in out) for m in range(min(2, size) + 1) for out in combinations(range(size), m)] for w in words]
+    pairs = {(k, s) for row, strings in zip(keys.tolist(), left, strict=True) for k, s in zip(row, strings, strict=True)}
+    assert len(pairs) == len({k for k, _ in pairs}) == len({s for _, s in pairs})
+
+
+def test_names_of_one_beginning(spark):
+    """3.6 billion pairs share a third of a name; each term is one letter off its name."""
+    rest = "substring(translate(md5(cast(id AS string)), '0123456789', 'ghijklmnop'), 1, 7)"
+    n = spark.range(60_000).selectExpr(f"concat('begin', {rest}) AS name", f"concat('begin', {rest}, 'x') AS term")
+    late = Timer(120, spark.sparkContext.cancelAllJobs)
+    late.start()
+    try:
+        near = spelling.near_spellings(n, "term", n, "name", 2)
+        assert near.where("distance = 1 AND term = concat(name, 'x')").count() == n.distinct().count()
+    finally:
+        late.cancel()
+
+
 def test_suggestions_by_ratio(spark):
     names = [("straightforward", 90), ("strange", 80), ("stranger", 80), ("orange", 70), ("rare", 1)]
     v = spark.createDataFrame(names, "name string, posts long")
