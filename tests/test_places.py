@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_against_sql import same
 from tessera.functions import text as T
-from tessera.operators.places import join_common, word_places
+from tessera.operators.places import join_common, word_counts, word_places
 from tessera.operators.wash import Rules, lines_of
 
 DOCS = "doc_id long, text string, source string, n_chars long"
@@ -62,3 +62,11 @@ def test_slots_are_ordered_in_place(spark, tmp_path):
     spark.createDataFrame([(3, "a bb b", "s", 5), (3, "ccc zz c_c", "s", 5), (4, "x", "s", 5), (5, None, "s", 0)], DOCS).write.parquet(f"{tmp_path}/two/documents.parquet")
     two = sorted((r.doc_id, r.ordered) for r in entry.queries()["slot_order"](spark, f"{tmp_path}/two").collect())
     assert two == [(3, "a b bb zz ccc c c"), (4, "x")]
+
+
+def test_word_counts(spark):
+    texts = ["a\tB\n\nb  c", " A\r\fa ", None, "", " ", "\n", "ΟΔΟΣ\tΣ ΟΔΟΣ. İ", "x\x0by z x", "ΟΔΟΣ"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = {r.w: r.n for r in rows.select(F.explode(T.words(F.col("text"))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    got = [tuple(r) for r in word_counts(rows, "text").collect()]
+    assert len(got) == len(want) and dict(got) == want and want["a"] == 3 and "" not in want
