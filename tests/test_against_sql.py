@@ -42,3 +42,14 @@ def test_tags_folded_before_joins(spark, tmp_path):
     for name in ("alias_resolve", "implication_fold", "dict_check"):
         (tmp_path / name).mkdir()
         assert same(spark, tmp_path / name, name, documents=docs)
+
+
+def test_aliases_of_aliases_are_resolved(spark, tmp_path):
+    words = {"waters": 3, "waterss": 2, "water": 60, "plants": 30, "plantss": 1, "plant": 4, "rivers": 25, "river": 50, "riverss": 1}
+    docs = ([(i, f"{w} " * n, "s", 0) for i, (w, n) in enumerate(words.items())] + [(99, None, "s", 0)], "doc_id long, text string, source string, n_chars long")
+    (tmp_path / "all").mkdir()
+    (tmp_path / "one").mkdir()
+    got = dict(same(spark, tmp_path / "all", "alias_resolve_all", documents=docs))
+    one = dict(same(spark, tmp_path / "one", "alias_resolve", documents=docs))
+    assert got == {"exact": 165, "alias": 3 + 2 + 1, "deprecated": 1 + 4}
+    assert one == {"exact": 165, "alias": 3 + 1 + 1, "deprecated": 2 + 4}
