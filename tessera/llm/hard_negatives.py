@@ -8,8 +8,10 @@ distances to each subtree, by those ranges and by the hyperplanes between split
 query meets are left out, and every row of the other leaves is compared. A query first visits the leaf that it would
 belong to; the k-th best score found there narrows its annuli for the rest.
 
-The split points come from a bounded sample of rows (``SAMPLE_ROWS``), the ranges and leaves from all rows. Leaves and
-queries are dealt in blocks of bounded size, so that no leaf, label or group of copies is one task's work. Of equal vectors
+The split points come from a bounded sample of rows (``SAMPLE_ROWS``), the ranges and leaves from all rows. Neighbouring
+leaves of few rows form a bundle, which a query meets once, if it may meet any of its leaves. Bundles and queries are dealt
+in blocks of bounded size, so that no leaf, label or group of copies is one task's work, and a query's way to the leaves is
+found for a bounded number of queries at a time (``ROUTE_PAIRS``). Of equal vectors
 with equal labels only those with the least ids can be among the first, so no more are indexed than are asked for; equal
 queries are asked once.
 
@@ -37,6 +39,8 @@ SAMPLE_ROWS = 16384
 WAYS, MOST_LEAVES, LEAF_ROWS = 12, 4096, 1024
 #: Rows and queries that meet in one group at most, roughly.
 BLOCK_ROWS, LOT_QUERIES, TILE = 8192, 8192, 256
+#: Pairs of a query's window and a leaf that are held at once while queries are routed.
+ROUTE_PAIRS = 1 << 20
 LEAST, MOST = -(2**63), 2**63 - 1
 WINDOWS = "array<struct<key: bigint, low: bigint, high: bigint>>"
 
@@ -198,28 +202,55 @@ def build(rows: DataFrame) -> tuple[Tree, DataFrame] | None:
     return tree, index
 
 
-def _route(tree: Tree, queries: DataFrame) -> DataFrame:
-    """``queries`` (qid, label, code, home, windows) once for each leaf but their home that one of their windows may meet."""
+def bundles(tree: Tree, index: DataFrame) -> list[tuple[int, int, int]]:
+    """(leaf, bundle, blocks of the bundle): neighbouring leaves of up to ``BLOCK_ROWS`` rows together; a larger leaf alone, in blocks."""
+    rows = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count("*").alias("n")).toLocalIterator()}  # by MOST_LEAVES
+    of, held = [], [0]
+    for leaf in range(tree.leaves):
+        n = rows.get(leaf, 0)
+        if held[-1] and held[-1] + n > BLOCK_ROWS:
+            held.append(0)
+        held[-1] += n
+        of.append(len(held) - 1)
+    return [(leaf, b, max(1, -(-held[b] // BLOCK_ROWS))) for leaf, b in enumerate(of)]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b = b.reset_index(drop=True)
-            of = np.repeat(np.arange(len(b)), [len(w) for w in b["windows"]])
-            if not len(of):
-                continue
+
+def routed(tree: Tree, of: np.ndarray, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of ``batch`` (qid, label, code, home, windows) once for each bundle but their home's that one of their windows may meet.
+
+    ``of`` has the bundle of each leaf, in ascending order. About ``ROUTE_PAIRS`` pairs of a window and a leaf are held at once.
+    """
+    batch = batch[batch["windows"].map(len) > 0]
+    ends = batch["windows"].map(len).cumsum().to_numpy()
+    part = ends // max(1, ROUTE_PAIRS // tree.leaves)
+    for start, end in zip(*(lambda cuts: (np.r_[0, cuts], np.r_[cuts, len(batch)]))(np.flatnonzero(np.diff(part)) + 1), strict=True):
+        b = batch.iloc[start:end]
+        if len(b):
+            row = np.repeat(np.arange(len(b)), [len(w) for w in b["windows"]])
             low, high = (np.array([w[k] for ws in b["windows"] for w in ws], np.int64) for k in ("low", "high"))
-            q = tree.unpack(b["code"]).astype(float)[of]
+            q = tree.unpack(b["code"]).astype(float)[row]
             at, leaf = tree.visits(q, *_annuli(tree, q, low, high))
-            pairs = np.unique(of[at] * np.int64(tree.leaves) + leaf)
-            at, leaf = pairs // tree.leaves, pairs % tree.leaves
-            away = leaf != b["home"].to_numpy()[at]
-            yield b.iloc[at[away]].assign(leaf=leaf[away].astype("int32"))
+            meets = np.zeros((len(b), int(of[-1]) + 1), bool)
+            meets[row[at], of[leaf]] = True
+            meets[np.arange(len(b)), of[b["home"].to_numpy()]] = False
+            at, bundle = np.nonzero(meets)
+            yield b.iloc[at].assign(bundle=bundle.astype("int32"))
+
+
+def _route(tree: Tree, places: list[tuple[int, int, int]], queries: DataFrame, n: int) -> DataFrame:
+    """The ``n`` ``queries`` (qid, label, code, home, windows) once for each bundle but that of their home that one of their windows may meet."""
+    of = np.array([b for _, b, _ in places])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield from routed(tree, of, b)
 
-    return queries.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in queries.dtypes) + ", leaf int")
+    spread = queries.repartition(max(1, -(-n * tree.leaves // ROUTE_PAIRS)), "qid")
+    return spread.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in queries.dtypes) + ", bundle int")
 
 
-def _meet(tree: Tree, index: DataFrame, blocks: DataFrame, lots: int, visits: DataFrame, k: int, same: bool) -> DataFrame:
-    """``(qid, key, score, id)``: the first ``k`` rows of each group of a leaf's block and a lot of queries, by window."""
+def _meet(tree: Tree, index: DataFrame, places: list[tuple[int, int, int]], lots: int, visits: DataFrame, k: int, same: bool) -> DataFrame:
+    """``(qid, key, score, id)``: the first ``k`` rows of each group of a bundle's block and a lot of queries, by window."""
 
     def run(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -242,11 +273,12 @@ def _meet(tree: Tree, index: DataFrame, blocks: DataFrame, lots: int, visits: Da
                         out += [(qid, w["key"], int(s[i]), ids[fit[i]]) for i in at]
         return pd.DataFrame(out, columns=["qid", "key", "score", "id"])
 
-    key = ["leaf", "block", "lot"]
-    rows = index.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.select("id", "label", "code", "leaf", "block", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
-    asked = visits.join(F.broadcast(blocks), "leaf").withColumn("lot", F.pmod(F.xxhash64("qid"), F.lit(lots)).cast("int"))
-    asked = asked.select("qid", "label", "code", "windows", "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lot")
+    key = ["bundle", "block", "lot"]
+    table = lambda rows, schema: F.broadcast(index.sparkSession.createDataFrame(rows, schema))
+    rows = index.join(table(places, "leaf int, bundle int, blocks int"), "leaf").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    rows = rows.select("id", "label", "code", "bundle", "block", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
+    asked = visits.join(table(sorted({x[1:] for x in places}), "bundle int, blocks int"), "bundle").withColumn("lot", F.pmod(F.xxhash64("qid"), F.lit(lots)).cast("int"))
+    asked = asked.select("qid", "label", "code", "windows", "bundle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lot")
     return rows.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(run, f"qid binary, key bigint, score bigint, id {dict(index.dtypes)['id']}")
 
 
@@ -260,14 +292,15 @@ def search(tree: Tree, index: DataFrame, queries: DataFrame, k: int, same: bool)
 
     Only rows of the query's own label are taken if ``same``, else only those of other labels.
     """
-    blocks = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))  # a row a leaf
-    blocks = materialize(blocks, "gnat-blocks")
-    lots = max(1, -(-queries.count() // LOT_QUERIES))
-    home = materialize(_first(_meet(tree, index, blocks, lots, queries.withColumn("leaf", F.col("home")), k, same), k), "gnat-home")
+    places = bundles(tree, index)
+    n = queries.count()
+    lots = max(1, -(-n // LOT_QUERIES))
+    own = queries.join(F.broadcast(index.sparkSession.createDataFrame([x[:2] for x in places], "home int, bundle int")), "home")
+    home = materialize(_first(_meet(tree, index, places, lots, own, k, same), k), "gnat-home")
     bound = home.where(F.col("rank") == k).groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("key", "score"))).alias("bound"))
     raised = F.transform("windows", lambda w: F.struct(w["key"].alias("key"), F.coalesce(F.greatest(w["low"], F.col("bound")[w["key"]]), w["low"]).alias("low"), w["high"].alias("high")))
     narrowed = queries.join(bound, "qid", "left").select("qid", "label", "code", "home", raised.alias("windows"))
-    rest = _meet(tree, index, blocks, lots, _route(tree, narrowed), k, same)
+    rest = _meet(tree, index, places, lots, _route(tree, places, narrowed, n), k, same)
     return _first(home.drop("rank").unionByName(rest), k)
 
 

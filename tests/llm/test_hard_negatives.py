@@ -1,7 +1,9 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,47 @@ def test_tree_leaves_out_only_what_cannot_match():
     assert len(visited) < 0.6 * len(q) * tree.leaves
 
 
+def wide_tree(leaves, dims=4):
+    """One node of ``leaves`` leaves, all of which every query meets."""
+    rng = np.random.default_rng(5)
+    tree = hn.Tree(dims, 1e6, "<i2", leaves=leaves)
+    splits = tree.lifted(rng.integers(-300, 300, (leaves, dims)))
+    tree.nodes.append(hn.Node(splits, [-1 - j for j in range(leaves)], hn.distances(splits, splits), np.zeros((leaves, leaves)), np.full((leaves, leaves), 1e9)))
+    return tree
+
+
+def asked_of(n, windows, tree):
+    whole = [{"key": j, "low": hn.LEAST, "high": hn.MOST} for j in range(windows)]
+    code = tree.pack(pd.Series([[i % 90, 1] for i in range(n)]))
+    return pd.DataFrame({"qid": [b"%d" % i for i in range(n)], "label": 0, "code": code, "home": [i % tree.leaves for i in range(n)], "windows": [whole] * n})
+
+
+def test_routes_of_many_queries_are_found_in_bounded_memory(monkeypatch):
+    """10,000 queries of three windows, all of which meet 100 leaves: 3 million pairs."""
+    monkeypatch.setattr(hn, "ROUTE_PAIRS", 1 << 15)
+    tree, batch = wide_tree(100), asked_of(10_000, 3, wide_tree(100))
+    tracemalloc.start()
+    try:
+        n = largest = 0
+        for part in hn.routed(tree, np.arange(100) // 10, batch):
+            n, largest = n + len(part), max(largest, len(part))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 10_000 * 9 and largest <= 1100 and peak < 8 << 20
+
+
+def test_a_query_meets_each_bundle_once(monkeypatch):
+    monkeypatch.setattr(hn, "ROUTE_PAIRS", 60)
+    tree = wide_tree(7)
+    batch = asked_of(25, 2, tree)
+    batch.at[3, "windows"] = []
+    of = np.array([0, 0, 1, 1, 1, 2, 3])
+    got = sorted((r.qid, r.bundle) for part in hn.routed(tree, of, batch) for r in part.itertuples())
+    assert got == sorted((b"%d" % i, b) for i in range(25) for b in range(4) if i != 3 and b != of[i % 7])
+    assert list(hn.routed(tree, of, batch[:0])) == list(hn.routed(tree, of, batch[3:4])) == []
+
+
 def test_query(spark, sf):
     rows = [(r.vec_id, r.label, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     rows = [(i, (y + 1) % 10 if i % 7 == 0 else y, [math.floor(256 * float(c)) for c in v]) for i, y, v in rows]
