@@ -7,13 +7,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.components import connected_components
 from tessera.operators.correlate import correlated_pairs  # noqa: F401
-from tessera.operators.settle import dropped, settle
-from tessera.storage import materialize
+from tessera.operators.settle import dropped, hashable, settle
+from tessera.storage import broadcast_if_small, materialize
+
+#: Boxes of one image and label that are settled in one task, and rounds of them that a larger one takes.
+LOCAL_BOXES, FRONTS = 100_000, 8
+EDGES = ["x1", "y1", "x2", "y2"]
 
 
 def sign_bits(v: Column) -> Column:
@@ -246,24 +250,113 @@ def overlapping_pairs(boxes: DataFrame, iou: float) -> DataFrame:
     return j.select(F.col("b").alias("a"), F.col("other").alias("b"))
 
 
+def _strike_out(edges: np.ndarray, iou: float) -> Callable[[np.ndarray], np.ndarray]:
+    """A function of a box that gives the numbers of those of ``edges`` (x1, y1, x2, y2) that overlap it by ``iou`` and strikes them out.
+
+    Boxes are held by their left edge; those struck out are dropped when they are half of them.
+    """
+    left = np.argsort(edges[:, 0], kind="stable")
+    x1, y1, x2, y2 = edges[left].T.copy()
+    live = np.ones(len(left), bool)
+
+    def strike(box: np.ndarray) -> np.ndarray:
+        nonlocal left, x1, y1, x2, y2, live
+        if 2 * np.count_nonzero(live) < len(live):
+            left, x1, y1, x2, y2 = (c[live] for c in (left, x1, y1, x2, y2))
+            live = np.ones(len(left), bool)
+        w, h = box[2] - box[0], box[3] - box[1]
+        far = (1 - iou) / iou + 1e-9  # how far edges are apart at most, in sides of the box
+        reach = far * w + 1e-12 * abs(box[0])
+        lo, hi = np.searchsorted(x1, box[0] - reach), np.searchsorted(x1, box[0] + reach, "right")
+        at = lo + np.flatnonzero(live[lo:hi] & (np.abs(y1[lo:hi] - box[1]) <= far * h + 1e-12 * abs(box[1])))
+        both = np.maximum(0, np.minimum(x2[at], box[2]) - np.maximum(x1[at], box[0])) * np.maximum(0, np.minimum(y2[at], box[3]) - np.maximum(y1[at], box[1]))
+        at = at[both / np.maximum((x2[at] - x1[at]) * (y2[at] - y1[at]) + w * h - both, 1e-12) >= iou]
+        live[at] = False
+        return left[at]
+
+    return strike
+
+
+def _kept_boxes(frame: pd.DataFrame, iou: float) -> pd.DataFrame:
+    """The rows of one image and label that greedy suppression keeps."""
+    key = frame["box"].map(hashable) if frame["box"].dtype == object else frame["box"]
+    frame = frame.iloc[pd.DataFrame({"s": -frame["score"], "k": key}).reset_index(drop=True).sort_values(["s", "k"]).index]
+    wide = ((frame["x2"] > frame["x1"]) & (frame["y2"] > frame["y1"])).to_numpy()
+    flat, frame = frame[~wide], frame[wide].drop_duplicates(EDGES)
+    edges, gone = frame[EDGES].to_numpy(), np.zeros(len(frame), bool)
+    strike = _strike_out(edges, iou)
+    with np.errstate(all="ignore"):
+        for i, box in enumerate(edges):
+            if not gone[i]:
+                gone[strike(box)] = True
+                gone[i] = False
+    return pd.concat([frame[~gone], flat])
+
+
+def _free_boxes(frame: pd.DataFrame, kept: pd.DataFrame, iou: float) -> pd.DataFrame:
+    """The rows of ``frame`` that overlap none of ``kept``; a box without area overlaps nothing."""
+    wide = lambda b: ((b["x2"] > b["x1"]) & (b["y2"] > b["y1"])).to_numpy()
+    gone, asked = np.zeros(len(frame), bool), np.flatnonzero(wide(frame))
+    strike = _strike_out(frame[EDGES].to_numpy()[asked], iou)
+    with np.errstate(all="ignore"):
+        for box in kept.loc[wide(kept), EDGES].to_numpy():
+            gone[asked[strike(box)]] = True
+    return frame[~gone]
+
+
+def _suppress_pairs(boxes: DataFrame, iou: float) -> DataFrame:
+    """Greedy suppression by all overlapping pairs, settled in rounds, whatever the size of a group."""
+    first = F.struct((-F.col("score")).alias("s"), "box")
+    wide = "x2 > x1 AND y2 > y1 AND NOT isnan(x2) AND NOT isnan(y2)"
+    folded = materialize(boxes.where(wide).groupBy("image", "label", *EDGES).agg(F.min_by("box", first).alias("box"), F.min_by("score", first).alias("score")), "boxes")
+    name = lambda x: F.struct(f"{x}.image", f"{x}.label", f"{x}.box")
+    gone = dropped(overlapping_pairs(folded, iou).select(name("a").alias("better"), name("b").alias("worse"))).select("node.*")
+    return folded.join(gone, ["image", "label", "box"], "left_anti").unionByName(boxes.where(f"NOT ({wide})"))
+
+
 def suppress(boxes: DataFrame, iou: float = 0.6, least: DataFrame | None = None) -> DataFrame:
     """Greedy non-maximum suppression of ``(image, label, box, score, x1, y1, x2, y2)`` in each image and label: ``(image, label, box, score)`` kept.
 
     ``least(label, score)`` is the least score of a class, if given; a label that it does not name is left out. Boxes of a
     higher score come first, ties by least box. Equal boxes of one image and label are one class, whose first box stands
-    for all. Boxes without area overlap nothing and stay; a null score or edge takes no part. ``box`` is unique in its
+    for all. Boxes without area, or with an edge that is no number, overlap nothing and stay; a null score or edge takes no part. ``box`` is unique in its
     image and label.
+
+    An image and label of at most ``LOCAL_BOXES`` boxes is settled at once, against the boxes that stay, so that no pairs
+    are made. Of a larger one the first ``LOCAL_BOXES`` boxes are settled so and what they suppress is taken from the
+    others, in blocks of bounded size; after ``FRONTS`` such rounds what is left goes by overlapping pairs.
     """
+    if not 0 < iou <= 1:
+        raise ValueError("an overlap is above 0 and at most 1")
     if least is not None:
-        limits = least.groupBy(F.col("label").alias("of")).agg(F.max("score").alias("limit"))
-        boxes = boxes.join(limits, (boxes.label == F.col("of")) & (boxes.score >= F.col("limit"))).select(boxes.columns)
-    edges = ["x1", "y1", "x2", "y2"]
-    sound = boxes.where(" AND ".join(f"{c} IS NOT NULL" for c in ["image", "label", "box", "score", *edges]))
-    first = F.struct((-F.col("score")).alias("s"), "box")
-    folded = sound.where("x2 > x1 AND y2 > y1").groupBy("image", "label", *edges).agg(F.min_by("box", first).alias("box"), F.min_by("score", first).alias("score"))
-    folded = materialize(folded, "boxes")
-    name = lambda x: F.struct(f"{x}.image", f"{x}.label", f"{x}.box")
-    pairs = overlapping_pairs(folded, iou).select(name("a").alias("better"), name("b").alias("worse"))
-    gone = dropped(pairs).select("node.*")
-    kept = folded.join(gone, ["image", "label", "box"], "left_anti").select("image", "label", "box", "score")
-    return kept.union(sound.where("NOT (x2 > x1 AND y2 > y1)").select("image", "label", "box", "score"))
+        limits = materialize(least.groupBy(F.col("label").alias("of")).agg(F.max("score").alias("limit")), "box-limits")
+        boxes = boxes.join(broadcast_if_small(limits), (boxes.label == F.col("of")) & (boxes.score >= F.col("limit"))).select(boxes.columns)
+    group, out = ["image", "label"], ["image", "label", "box", "score"]
+    left = boxes.where(" AND ".join(f"{c} IS NOT NULL" for c in [*out, *EDGES])).select(*out, *(F.col(c).cast("double").alias(c) for c in EDGES))
+    schema = ", ".join(f"{c} {t}" for c, t in left.dtypes)
+    settled = lambda rows: rows.groupBy(*group).applyInPandas(lambda frame: _kept_boxes(frame, iou), schema)
+    free = lambda rows, kept: _free_boxes(rows, kept, iou)[[*out, *EDGES]]
+    rank = F.struct((-F.col("score")).alias("s"), "box")
+    parts = []
+    for i in range(FRONTS + 1):
+        large = materialize(left.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > LOCAL_BOXES), "box-groups")
+        if large.isEmpty():
+            parts.append(settled(left))
+            break
+        parts.append(settled(left.join(F.broadcast(large), group, "left_anti")))
+        rest = left.join(F.broadcast(large), group)
+        if i == FRONTS:
+            parts.append(_suppress_pairs(rest.drop("n"), iou))
+            break
+        front = materialize(rest.withColumn("r", F.rank().over(Window.partitionBy(*group).orderBy(rank))).where(F.col("r") <= LOCAL_BOXES).drop("r"), "box-front")
+        kept = materialize(settled(front.drop("n")), "box-kept")
+        last = front.groupBy(*group).agg(F.max(rank).alias("last"))
+        blocks = F.ceil(F.col("n") / LOCAL_BOXES).cast("int")
+        after = rest.join(F.broadcast(last), group).where(rank > F.col("last")).withColumn("part", F.pmod(F.xxhash64("box"), blocks).cast("int")).drop("n", "last")
+        copies = kept.join(F.broadcast(large), group).withColumn("part", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("n")
+        left = materialize(after.groupBy(*group, "part").cogroup(copies.groupBy(*group, "part")).applyInPandas(free, schema), "boxes")
+        parts.append(kept)
+    done = parts[0].select(*out)
+    for p in parts[1:]:
+        done = done.union(p.select(*out))
+    return done

@@ -1,5 +1,6 @@
 """Greedy choice by rank and its callers, against the plain sequential pass."""
 
+import math
 import random
 
 import pytest
@@ -98,6 +99,26 @@ def test_boxes(spark, iou):
     assert dedup.suppress(frame.where("false"), iou).count() == 0
 
 
+@pytest.mark.parametrize(("local", "fronts"), [(1000, 1), (40, 30), (25, 2), (60, 0)])
+def test_boxes_of_large_images(spark, monkeypatch, local, fronts):
+    """The first boxes of an image are settled at once, what they leave in further rounds, the rest by pairs."""
+    monkeypatch.setattr(dedup, "LOCAL_BOXES", local)
+    monkeypatch.setattr(dedup, "FRONTS", fronts)
+    rng = random.Random(local)
+    rows = [(rng.choice([1, 1, 1, 2, 3]), rng.choice("aab"), f"b{i}é", rng.choice([0.1, 0.5, 0.5, 0.9]), x := rng.uniform(-9, 9), y := rng.uniform(0, 2), x + rng.choice([0, 0.5, 3, 4, 5]), y + rng.choice([1, 3, 3.3])) for i in range(600)]
+    rows += [(*r[:2], r[2] + "x", *r[3:]) for r in rows[:60]] + [(1, "a", "z", None, 0.0, 0.0, 1.0, 1.0), (9, "a", "one", 0.5, 0.0, 0.0, 1.0, 1.0), (9, "a", "nan", 0.4, 0.0, 0.0, math.nan, 1.0)]
+    frame = spark.createDataFrame(rows, "image long, label string, box string, score double, x1 double, y1 double, x2 double, y2 double")
+    got = [tuple(r) for r in dedup.suppress(frame, 0.5).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_boxes(rows, 0.5)
+    assert dedup.suppress(frame.where("false"), 0.5).count() == 0
+
+
+def test_suppression_makes_no_pairs(spark):
+    """40,000 boxes of one image on one another: 800 million pairs, of which one box stays."""
+    frame = spark.range(40_000).selectExpr("1 AS image", "'a' AS label", "id AS box", "id % 1000 / 1000 AS score", "id / 1e6 AS x1", "0.0 AS y1", "10 + id / 1e6 AS x2", "10.0 AS y2")
+    assert [tuple(r) for r in dedup.suppress(frame).collect()] == [(1, "a", 999, 0.999)]
+
+
 def test_fingerprint(spark):
     rows = spark.createDataFrame([(b"x" * 10, ), (b"x" * 9 + b"y",), (None,)], "content binary").select(dedup.fingerprint("content", 9).alias("f")).collect()
     assert rows[0].f == rows[1].f and rows[0].f.bytes == 10 and rows[2].f.bytes is None
