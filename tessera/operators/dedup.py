@@ -17,6 +17,8 @@ from tessera.storage import broadcast_if_small, materialize
 
 #: Boxes of one image and label that are settled in one task, and rounds of them that a larger one takes.
 LOCAL_BOXES, FRONTS = 100_000, 8
+#: Boxes that are judged together, by rank, and those of them that meet others at once.
+HEAD, NEIGHBOURS = 128, 16
 EDGES = ["x1", "y1", "x2", "y2"]
 
 
@@ -250,29 +252,42 @@ def overlapping_pairs(boxes: DataFrame, iou: float) -> DataFrame:
     return j.select(F.col("b").alias("a"), F.col("other").alias("b"))
 
 
+def _box_overlaps(boxes: np.ndarray, others: np.ndarray, iou: float) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all pairs of ``boxes`` and ``others`` (columns x1, y1, x2, y2) that overlap by ``iou``; edges far apart are left out first."""
+    x1, y1, x2, y2 = others.T
+    near = np.abs(x1 - boxes[:, :1]) <= _reach(boxes, 0, iou)[:, None]
+    near &= np.abs(y1 - boxes[:, 1:2]) <= _reach(boxes, 1, iou)[:, None]
+    i, j = np.nonzero(near)
+    a1, b1, a2, b2 = boxes[i].T
+    both = np.maximum(0, np.minimum(x2[j], a2) - np.maximum(x1[j], a1)) * np.maximum(0, np.minimum(y2[j], b2) - np.maximum(y1[j], b1))
+    hit = both / np.maximum((x2[j] - x1[j]) * (y2[j] - y1[j]) + (a2 - a1) * (b2 - b1) - both, 1e-12) >= iou
+    return i[hit], j[hit]
+
+
+def _reach(boxes: np.ndarray, side: int, iou: float) -> np.ndarray:
+    """How far the left (``side`` 0) or upper (1) edges of boxes that overlap by ``iou`` are from those of ``boxes`` at most."""
+    return ((1 - iou) / iou + 1e-9) * (boxes[:, side + 2] - boxes[:, side]) + 1e-12 * np.abs(boxes[:, side])
+
+
 def _strike_out(edges: np.ndarray, iou: float) -> Callable[[np.ndarray], np.ndarray]:
-    """A function of a box that gives the numbers of those of ``edges`` (x1, y1, x2, y2) that overlap it by ``iou`` and strikes them out.
+    """A function of boxes that gives the numbers of those of ``edges`` that overlap one of them by ``iou``, and forgets these.
 
-    Boxes are held by their left edge; those struck out are dropped when they are half of them.
+    ``edges`` are held by their left edge, and a few neighbouring boxes at a time meet those in their reach.
     """
     left = np.argsort(edges[:, 0], kind="stable")
-    x1, y1, x2, y2 = edges[left].T.copy()
-    live = np.ones(len(left), bool)
-
-    def strike(box: np.ndarray) -> np.ndarray:
-        nonlocal left, x1, y1, x2, y2, live
-        if 2 * np.count_nonzero(live) < len(live):
-            left, x1, y1, x2, y2 = (c[live] for c in (left, x1, y1, x2, y2))
-            live = np.ones(len(left), bool)
-        w, h = box[2] - box[0], box[3] - box[1]
-        far = (1 - iou) / iou + 1e-9  # how far edges are apart at most, in sides of the box
-        reach = far * w + 1e-12 * abs(box[0])
-        lo, hi = np.searchsorted(x1, box[0] - reach), np.searchsorted(x1, box[0] + reach, "right")
-        at = lo + np.flatnonzero(live[lo:hi] & (np.abs(y1[lo:hi] - box[1]) <= far * h + 1e-12 * abs(box[1])))
-        both = np.maximum(0, np.minimum(x2[at], box[2]) - np.maximum(x1[at], box[0])) * np.maximum(0, np.minimum(y2[at], box[3]) - np.maximum(y1[at], box[1]))
-        at = at[both / np.maximum((x2[at] - x1[at]) * (y2[at] - y1[at]) + w * h - both, 1e-12) >= iou]
-        live[at] = False
-        return left[at]
+    held = edges[left]
+
+    def strike(boxes: np.ndarray) -> np.ndarray:
+        nonlocal left, held
+        live = np.ones(len(left), bool)
+        boxes = boxes[np.argsort(boxes[:, 0], kind="stable")]
+        for at in range(0, len(boxes), NEIGHBOURS):
+            some = boxes[at : at + NEIGHBOURS]
+            reach = _reach(some, 0, iou)
+            lo, hi = np.searchsorted(held[:, 0], (some[:, 0] - reach).min()), np.searchsorted(held[:, 0], (some[:, 0] + reach).max(), "right")
+            live[lo + _box_overlaps(some, held[lo:hi], iou)[1]] = False
+        gone, left, held = left[~live], left[live], held[live]
+        return gone
 
     return strike
 
@@ -283,24 +298,28 @@ def _kept_boxes(frame: pd.DataFrame, iou: float) -> pd.DataFrame:
     frame = frame.iloc[pd.DataFrame({"s": -frame["score"], "k": key}).reset_index(drop=True).sort_values(["s", "k"]).index]
     wide = ((frame["x2"] > frame["x1"]) & (frame["y2"] > frame["y1"])).to_numpy()
     flat, frame = frame[~wide], frame[wide].drop_duplicates(EDGES)
-    edges, gone = frame[EDGES].to_numpy(), np.zeros(len(frame), bool)
-    strike = _strike_out(edges, iou)
+    edges, gone, kept = frame[EDGES].to_numpy(), np.zeros(len(frame), bool), np.zeros(len(frame), bool)
+    strike, todo = _strike_out(edges, iou), np.arange(len(frame))
     with np.errstate(all="ignore"):
-        for i, box in enumerate(edges):
-            if not gone[i]:
-                gone[strike(box)] = True
-                gone[i] = False
-    return pd.concat([frame[~gone], flat])
+        while len(todo):  # the next boxes by rank that nothing kept so far overlaps: among themselves, then against the rest
+            head, todo = todo[:HEAD], todo[HEAD:]
+            meets, out = np.zeros((len(head), len(head)), bool), np.zeros(len(head), bool)
+            meets[_box_overlaps(edges[head], edges[head], iou)] = True
+            for i, at in enumerate(head):
+                if not out[i]:
+                    kept[at] = True
+                    out |= meets[i]
+            gone[strike(edges[head[kept[head]]])] = True
+            todo = todo[~gone[todo]]
+    return pd.concat([frame[kept], flat])
 
 
 def _free_boxes(frame: pd.DataFrame, kept: pd.DataFrame, iou: float) -> pd.DataFrame:
     """The rows of ``frame`` that overlap none of ``kept``; a box without area overlaps nothing."""
     wide = lambda b: ((b["x2"] > b["x1"]) & (b["y2"] > b["y1"])).to_numpy()
     gone, asked = np.zeros(len(frame), bool), np.flatnonzero(wide(frame))
-    strike = _strike_out(frame[EDGES].to_numpy()[asked], iou)
     with np.errstate(all="ignore"):
-        for box in kept.loc[wide(kept), EDGES].to_numpy():
-            gone[asked[strike(box)]] = True
+        gone[asked[_strike_out(frame[EDGES].to_numpy()[asked], iou)(kept.loc[wide(kept), EDGES].to_numpy())]] = True
     return frame[~gone]
 
 
